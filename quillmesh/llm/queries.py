@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quillmesh.llm import exact_dedup, warc
+from quillmesh.llm import exact_dedup, packing, sharding, warc
 
-MODULES = [exact_dedup, warc]
+MODULES = [packing, exact_dedup, sharding, warc]
 
 
 def queries() -> dict:
