@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quillmesh.llm import exact_dedup, packing, sharding, warc
+from quillmesh.llm import exact_dedup, packing, sharding, sketch_join, warc
 
-MODULES = [packing, exact_dedup, sharding, warc]
+MODULES = [packing, exact_dedup, sketch_join, sharding, warc]
 
 
 def queries() -> dict:
