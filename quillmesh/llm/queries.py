@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quillmesh.llm import exact_dedup, packing, sharding, sketch_join, warc
+from quillmesh.llm import brown, exact_dedup, packing, sharding, sketch_join, substrings, warc
 
-MODULES = [packing, exact_dedup, sketch_join, sharding, warc]
+MODULES = [brown, packing, exact_dedup, sketch_join, sharding, substrings, warc]
 
 
 def queries() -> dict:
