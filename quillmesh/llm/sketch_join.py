@@ -6,7 +6,8 @@ elements' hashes, so that each element in only one of two sets changes one block
 sets therefore agree in a block, which is what they are joined on. Candidates are hung on the
 smallest id of each block value, tested by a 1024-bit parity sketch (its Hamming distance is a lower
 bound of the symmetric difference) and then exactly. Where a block value still holds several
-components, all its pairs between components are tested, in blocks of bounded size.
+components, pairs between components are tested, in blocks of bounded size: in each round the
+nearest few of each component, in the last all of them.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ SKETCH_BITS = 1024
 HELD_KEYS = 2_000_000
 #: Members of a block value that are compared with as many others in one task.
 GROUP_BLOCK = 512
+#: Pairs per component and block value that the rounds test; None: all.
+NEAREST = (1, 8, 64, None)
 
 EMITTED = "bucket int, keys binary, docs binary, key long, doc long, hub long, n long, sketch array<long>"
 _NAMES = [x.split()[0] for x in EMITTED.split(", ")]
@@ -196,8 +199,19 @@ def _verified(pairs: DataFrame, texts: DataFrame, meta: DataFrame, k: int, num:
     return full.where(both * den >= (F.col("na") + F.col("nb") - both) * num).select("a", "b")
 
 
-def _between(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of one block value that lie in different components and that size and sketch admit."""
+def _nth(label: np.ndarray) -> np.ndarray:
+    """How many equal elements come before each."""
+    order = np.argsort(label, kind="stable")
+    first = np.concatenate([[True], label[order][1:] != label[order][:-1]])
+    out = np.empty(len(label), np.int64)
+    at = np.arange(len(label))
+    out[order] = at - np.maximum.accumulate(np.where(first, at, 0))
+    return out
+
+
+def _between(batches: Iterator[pa.RecordBatch], num: int, den: int, nearest: int | None) -> Iterator[pa.RecordBatch]:
+    """Pairs of one block value that lie in different components and that size and sketch admit:
+    the nearest ones of each component, or all."""
     for group in sorted_groups(batches, "part"):
         side = group.column("side").to_numpy()
         doc, label, n = (group.column(c).to_numpy() for c in ("doc", "label", "n"))
@@ -210,12 +224,19 @@ def _between(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[
         na, nb = n[low][:, None], n[high][None, :]
         good = (apart * (den + num) <= (na + nb) * (den - num)) & (label[low][:, None] != label[high][None, :]) & (na * den >= nb * num) & (nb * den >= na * num)
         i, j = np.nonzero(good)
+        if nearest and len(i):
+            order = np.argsort(apart[i, j], kind="stable")
+            i, j = i[order], j[order]
+            once = _nth(label[low[i]] * np.int64(1_000_003) ^ label[high[j]]) == 0
+            i, j = i[once], j[once]
+            chosen = np.minimum(_nth(label[low[i]]), _nth(label[high[j]])) < nearest
+            i, j = i[chosen], j[chosen]
         a, b = doc[low[i]], doc[high[j]]
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
-def _leftover_pairs(members: DataFrame, labels: DataFrame, meta: DataFrame, num: int, den: int) -> DataFrame:
-    """Untested pairs between components that still share a block value."""
+def _leftover_pairs(members: DataFrame, labels: DataFrame, meta: DataFrame, num: int, den: int, nearest: int | None) -> DataFrame:
+    """Pairs between components that still share a block value."""
     known = F.coalesce("component", F.col("doc"))
     named = members.join(labels, "doc", "left").withColumn("label", known)
     mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"))
@@ -232,7 +253,7 @@ def _leftover_pairs(members: DataFrame, labels: DataFrame, meta: DataFrame, num:
         .withColumn("part", F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")))
         .select("part", "side", "doc", "label", "n", "sketch")
     )
-    return spread.repartition("part").sortWithinPartitions("part").mapInArrow(lambda x: _between(x, num, den), "a long, b long").distinct()
+    return spread.repartition("part").sortWithinPartitions("part").mapInArrow(lambda x: _between(x, num, den, nearest), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -265,10 +286,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = materialize(_verified(pairs, texts, meta, k, num, den), "links")
     labels = components(links)
     members = hung.select("key", "doc").unionByName(hung.select("key", F.col("hub").alias("doc"))).distinct()
-    more = materialize(_leftover_pairs(members, labels, meta, num, den), "leftover")
-    if not more.isEmpty():
+    members = materialize(members, "members")
+    tested = materialize(pairs, "tested")
+    for nearest in NEAREST:
+        more = _leftover_pairs(members, labels, meta, num, den, nearest)
+        more = materialize(more.join(tested, ["a", "b"], "left_anti"), "leftover")
+        if more.isEmpty():
+            continue
         found = _verified(more, texts, meta, k, num, den)
         labels = components(labels.select(F.col("doc").alias("a"), F.col("component").alias("b")).unionByName(found))
+        tested = tested.unionByName(more)
 
     known = firsts.join(meta.select(F.col("doc").alias("rep"), "n"), "rep", "left").join(labels.withColumnRenamed("doc", "rep"), "rep", "left")
     size = F.coalesce("n", F.lit(0))
