@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from quillmesh.llm.texts import distinct_texts
 from quillmesh.llm.words import ascii_words, gram_hashes, mix, sorted_groups, word_hashes
-from quillmesh.storage import materialize, small_side
+from quillmesh.storage import materialize
 
 WINDOW = 35
 ANCHOR_WORDS = 4
@@ -207,20 +207,21 @@ aggregate(array_sort(collect_list(struct(s, e))), cast(array() AS array<struct<s
 def repeated_spans(texts: DataFrame, entries: DataFrame, length: int, most: int = SEGMENTS_PER_AUTOMATON) -> DataFrame:
     """``key, spans``: the words of each text that a repeated window covers."""
     entries = entries.where("anchor IS NOT NULL").select("key", "anchor", "seg", "a", "b")
-    twice = entries.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("seg").alias("lo"), F.max("seg").alias("hi")).where("n > 1")
-    shared = materialize(entries.join(twice.select("anchor", (F.col("lo") == F.col("hi")).alias("same")), "anchor"), "shared")
-    counted = shared.where("NOT same").groupBy("anchor", "seg").agg(F.count(F.lit(1)).alias("c"), F.min("key").alias("rep"))
+    twice = entries.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    shared = materialize(entries.join(twice, "anchor"), "shared")
+    counted = shared.groupBy("anchor", "seg").agg(F.count(F.lit(1)).alias("c"), F.min("key").alias("rep"))
     counted = materialize(counted, "segments")
     kinds = counted.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"))
-    placed = materialize(shared.where("NOT same").join(counted, ["anchor", "seg"]).join(kinds, "anchor"), "placed")
-    whole = shared.where("same").unionByName(placed.where("c > 1").select(shared.columns)).select("key", F.col("a").alias("s"), (F.col("b") + length).alias("e"))
+    placed = materialize(shared.join(counted.join(kinds, "anchor"), ["anchor", "seg"]), "placed")
+    whole = placed.where("c > 1").select("key", F.col("a").alias("s"), (F.col("b") + length).alias("e"))
 
-    wanted = placed.where("key = rep").dropDuplicates(["anchor", "seg"])
+    wanted = placed.where("kinds > 1 AND key = rep").dropDuplicates(["anchor", "seg"])
     by_key = wanted.groupBy("key", (F.col("kinds") > most).alias("hot")).agg(F.collect_list(F.struct("anchor", "a", "b", "c")).alias("wanted"))
     by_key = materialize(by_key, "wanted")
 
     def fetch(hot: bool, schema: str) -> DataFrame:
-        asked = small_side(by_key.where(F.col("hot") == hot).drop("hot"))
+        # rows of any length, so their number bounds no broadcast
+        asked = by_key.where(F.col("hot") == hot).drop("hot")
         return texts.join(asked, "key").select("key", "text", "wanted").mapInArrow(lambda x: _contents(x, length, hot), schema)
 
     parts = fetch(False, "anchor long, key long, a int, c long, words binary").repartition("anchor").sortWithinPartitions("anchor")
@@ -247,7 +248,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     prints, classes, texts = distinct_texts(docs, id_col, text_col)
     entries = materialize(texts.mapInArrow(lambda x: _entries(x, length), ENTRIES), "entries")
     spans = materialize(repeated_spans(texts, entries, length, most), "spans")
-    changed = texts.join(small_side(spans), "key").select("key", "text", "spans").mapInArrow(_kept, "key long, n_removed long, kept_sha string, kept_text string").dropDuplicates(["key"])
+    changed = texts.join(spans, "key").select("key", "text", "spans").mapInArrow(_kept, "key long, n_removed long, kept_sha string, kept_text string").dropDuplicates(["key"])
     meta = entries.where("n_words IS NOT NULL").select("key", "n_words", "sha").dropDuplicates(["key"])
     gone = (F.col("rows") > 1) & (F.col("n_words") >= length)
     known = classes.join(meta, "key").join(changed, "key", "left").join(spans, "key", "left").select(
