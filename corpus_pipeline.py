@@ -1,15 +1,87 @@
-"""The corpus pipeline; its stages follow."""
+"""The corpus pipeline: documents to packed training sequences.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept; all but the
+last return rows of ``docs`` with their columns unchanged. Rows are told apart by id and text, so
+null ids are no obstacle; extra columns go along. Empty tables give empty results.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillmesh.llm.decontaminate import contaminated
+from quillmesh.llm.exact_dedup import exact_duplicates
+from quillmesh.llm.packing import pack_documents
+from quillmesh.llm.quality import quality
+from quillmesh.llm.sketch_join import near_duplicates
+from quillmesh.session import ship_package
+from quillmesh.storage import materialize, small_side
+
+#: Word shingles and similarity (a percentage) of near duplicates.
+SHINGLE_WORDS, SIMILARITY = 5, 80
+
+
+def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id and text hash are in ``dropped`` (doc_id, text_hash)."""
+    gone = small_side(materialize(dropped.select(F.col("doc_id").alias("__dropped_id"), F.col("text_hash").alias("__dropped_hash")).distinct(), "dropped"))
+    text_hash = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__dropped_id")) & (text_hash == F.col("__dropped_hash")), "left_anti")
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: documents whose perplexity the classifier rejects go, as do those without a word."""
+    verdicts = quality(docs, ship_package(spark).read.parquet(f"{sf_dir}/labels.parquet"))
+    return _without(docs, verdicts.where("NOT keep"))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 3: of equal texts the largest id stays, and of rows with the same id and text one."""
+    found = materialize(exact_duplicates(docs).select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), "kept"), "copies")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.sha2(F.coalesce("text", F.lit("")), 256) == F.col("__sha"))
+    gone = small_side(materialize(found.where("NOT kept").drop("kept").distinct(), "dropped"))
+    left = docs.join(gone, same, "left_anti")
+    repeated = materialize(found.where("kept").groupBy("__id", "__sha").count().where("count > 1").drop("count"), "repeated")
+    if repeated.isEmpty():
+        return left
+    repeated = small_side(repeated)
+    return left.join(repeated, same, "left_anti").unionByName(left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: of each component of near duplicates the smallest id stays."""
+    found = near_duplicates(docs, k=SHINGLE_WORDS, num=SIMILARITY, den=100).where("component_id <> doc_id")
+    gone = small_side(materialize(found.select(F.col("doc_id").alias("__dropped_id")).distinct(), "dropped"))
+    return docs.join(gone, F.col("doc_id") == F.col("__dropped_id"), "left_anti")
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: documents with a passage of the benchmark go."""
+    found = contaminated(docs, ship_package(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(docs, found)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: the pieces of all documents and their places in sequences."""
+    ship_package(spark)
+    return pack_documents(docs)
+
+
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("exact dedup", drop_copies),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("benchmark decontamination", drop_benchmark),
+    ("packing", pack),
+]
 
-STAGES: list = []
+#: SQL can't express the model, the tokenizer or the components.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages on the documents of a folder of tables."""
+    docs = ship_package(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

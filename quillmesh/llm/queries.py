@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quillmesh.llm import brown, exact_dedup, language, packing, quality, sharding, sketch_join, substrings, warc
+from quillmesh.llm import brown, decontaminate, exact_dedup, language, packing, quality, sharding, sketch_join, substrings, warc
 
-MODULES = [brown, packing, exact_dedup, sketch_join, sharding, substrings, warc, language, quality]
+MODULES = [brown, packing, exact_dedup, sketch_join, sharding, substrings, warc, language, quality, decontaminate]
 
 
 def queries() -> dict:
