@@ -215,7 +215,8 @@ def _between(batches: Iterator[pa.RecordBatch], num: int, den: int, nearest: int
     for group in sorted_groups(batches, "part"):
         side = group.column("side").to_numpy()
         doc, label, n = (group.column(c).to_numpy() for c in ("doc", "label", "n"))
-        sketch = np.array(group.column("sketch").to_pylist(), np.int64)
+        # bitwise_count takes signed numbers by their absolute value
+        sketch = np.array(group.column("sketch").to_pylist(), np.int64).view(np.uint64)
         low = np.flatnonzero(side != 1)
         high = np.flatnonzero(side != 0)
         apart = np.zeros((len(low), len(high)), np.int32)

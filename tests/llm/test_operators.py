@@ -1,0 +1,386 @@
+"""Operators against brute force, with the odd rows that tables may hold."""
+
+import math
+import random
+import zlib
+from collections import Counter
+
+import brute
+import pytest
+from pyspark.sql import functions as F
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, h string, key string, t string, doc string, n string, id string, size string, word string"
+
+
+def frame(spark, rows):
+    """Documents with columns that clash with the operators' own names."""
+    return spark.createDataFrame([(i, t, lang, "src", None, "x", None, "y", "z", "1", "i", None, "w") for i, t, lang in rows], DOCS)
+
+
+def prose(seed, n, vocabulary=400):
+    rng = random.Random(seed)
+    return " ".join(f"w{int(rng.random() ** 3 * vocabulary)}" for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def odd_rows():
+    """Copies, near copies, shared passages, nulls, empty and long texts, repeated rows, null ids."""
+    passage = prose(99, 80)
+    base = prose(1, 300)
+    near = base.split()
+    near[150] = "changed"
+    rows = [(i, prose(i, 60 + 13 * i), ["en", "de", None][i % 3]) for i in range(2, 24)]
+    rows += [(50, base, "en"), (51, base, "en"), (52, " ".join(near), "en"), (53, base.upper(), "de")]
+    rows += [(60, prose(60, 40) + " " + passage + " " + prose(61, 30), "en"), (61, prose(62, 55) + "\n" + passage, "en"), (62, passage + " " + passage, "de")]
+    rows += [(70, None, "en"), (71, "", None), (72, " \t\n", "en"), (73, "one", "en"), (74, "one two", "en"), (75, "one  two", "de"), (76, "1234 5678", "en")]
+    rows += [(80, prose(80, 30_000), "en"), (81, "a" * 5000 + " b", "en"), (82, "é ü ß x\x1c\u0000y <|endoftext|> 'll", "fr")]
+    rows += [(90, prose(90, 100), "en"), (90, prose(90, 100), "en"), (None, base, "en"), (None, prose(91, 90), None), (None, None, None)]
+    return rows
+
+
+def result(df, *columns):
+    return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("keep", ["largest", "smallest"])
+@pytest.mark.parametrize("weak", [False, True])
+def test_exact_dedup(spark, odd_rows, keep, weak):
+    from quillmesh.llm.exact_dedup import content_hash, exact_duplicates
+
+    # the weak fingerprint makes most texts collide: bytes decide
+    print_of = (lambda t: (F.length(t) % 3).cast("string").cast("binary")) if weak else content_hash
+    got = exact_duplicates(frame(spark, odd_rows), keep=keep, fingerprint=print_of)
+    groups = {}
+    for i, t, _ in odd_rows:
+        groups.setdefault(t or "", []).append(i)
+    best = max if keep == "largest" else min
+    want = []
+    for i, t, _ in odd_rows:
+        ids = groups[t or ""]
+        known = [x for x in ids if x is not None]
+        k = best(known) if known else None
+        want.append((i, k, len(ids), i == k))
+    assert result(got, "doc_id", "keep_id", "group_size", "kept") == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("k,num", [(3, 90), (5, 80), (1, 50)])
+def test_near_duplicates(spark, odd_rows, k, num):
+    from quillmesh.llm.sketch_join import near_duplicates
+
+    got = near_duplicates(frame(spark, odd_rows), k=k, num=num, den=100)
+    named = {i: t for i, t, _ in odd_rows if i is not None}
+    want = brute.components(named, k, num, 100)
+    expected = [(i, *want[i]) if i is not None else (None, len(brute.shingle_set(t, k)), None) for i, t, _ in odd_rows]
+    assert result(got, "doc_id", "n_shingles", "component_id") == sorted(expected, key=repr)
+
+
+def test_near_duplicates_of_a_large_near_group(spark, monkeypatch):
+    """Edits of one text that are further from each other than from it: links chain through it."""
+    from quillmesh.llm import sketch_join
+
+    monkeypatch.setattr(sketch_join, "GROUP_BLOCK", 16)
+    rng, base = random.Random(5), prose(7, 120, 5000).split()
+    rows = []
+    for i in range(120):
+        w = list(base)
+        for _ in range(rng.randrange(4)):
+            w[rng.randrange(len(w))] = f"e{rng.randrange(10**6)}"
+        rows.append((1000 - i, " ".join(w), "en"))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in sketch_join.near_duplicates(frame(spark, rows)).collect()}
+    assert got == brute.components({i: t for i, t, _ in rows}, 3, 90, 100)
+
+
+def test_block_keys_meet_for_linked_sets():
+    import numpy as np
+    from quillmesh.llm.sketch_join import Bands, block_keys
+
+    rng = np.random.default_rng(0)
+    for num in (50, 80, 90):
+        bands = Bands(num, 100)
+        for n in [1, 2, 5, 9, 10, 17, 30, 64, 200, 999]:
+            for _ in range(20):
+                a = rng.integers(0, 2**63, n, dtype=np.uint64)
+                drop = rng.integers(0, bands.differ(n) + 1)
+                b = np.concatenate([a[drop:], rng.integers(0, 2**63, rng.integers(0, 3), dtype=np.uint64)])
+                both = len(np.intersect1d(a, b))
+                if len(b) and both * 100 >= num * (len(a) + len(b) - both):
+                    assert len(np.intersect1d(block_keys(np.unique(a), bands), block_keys(np.unique(b), bands)))
+
+
+@pytest.mark.parametrize("length,most", [(35, 2048), (35, 1), (3, 2048), (1, 2048)])
+def test_substring_removal(spark, odd_rows, length, most):
+    from quillmesh.llm.substrings import remove_repeats
+
+    got = remove_repeats(frame(spark, odd_rows), length=length, most=most)
+    want = brute.without_repeats([t for _, t, _ in odd_rows], length)
+    assert result(got, "doc_id", "n_words", "n_removed", "kept_sha256") == sorted(((i, *w) for (i, _, _), w in zip(odd_rows, want)), key=repr)
+
+
+def test_suffix_automaton_matches_brute_force():
+    from quillmesh.llm.substrings import SuffixAutomaton
+
+    rng = random.Random(3)
+    for _ in range(200):
+        texts = [([rng.randrange(3) for _ in range(rng.randrange(1, 14))], rng.choice([1, 1, 2])) for _ in range(rng.randrange(1, 5))]
+        count = Counter()
+        for t, w in texts:
+            for a in range(len(t)):
+                for b in range(a + 1, len(t) + 1):
+                    count[tuple(t[a:b])] += w
+        automaton = SuffixAutomaton()
+        for t, w in texts:
+            automaton.add(t, w)
+        automaton.finish()
+        for t, _ in texts:
+            want = [max((e - a for a in range(e) if count[tuple(t[a:e])] >= 2), default=0) for e in range(1, len(t) + 1)]
+            assert list(automaton.matching(t)) == want
+
+
+def test_packing(spark, odd_rows):
+    import numpy as np
+    import public_tokenizers
+    from quillmesh.llm.packing import pack_documents
+    from tokenizers import Tokenizer
+
+    exact = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = {}
+    for i, t, _ in odd_rows:
+        ids.setdefault(i, []).append(exact.encode(t or "", add_special_tokens=False).ids + [1])
+    rows = [r.asDict() for r in pack_documents(frame(spark, odd_rows)).collect()]
+    pieces = Counter((r["doc_id"], r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]) for r in rows)
+    for i, every in ids.items():
+        for tokens in every:
+            own, at = [p for p in pieces if p[0] == i and p[4] == len(tokens) and pieces[p] > 0], 0
+            while at < len(tokens):
+                piece = next(p for p in own if p[1] == at and p[3] == zlib.crc32(np.array(tokens[at : at + p[2]], "<u4").tobytes()) and pieces[p] > 0)
+                pieces[piece] -= 1
+                at += piece[2]
+            assert at == len(tokens)
+    assert not +pieces
+    padding = total = 0
+    by_sequence = {}
+    for r in rows:
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for placed in by_sequence.values():
+        end = 0
+        for offset, length in sorted(placed):
+            assert offset == end
+            end += length
+        assert end <= 2048
+        total += end
+        padding += 0 if end & (end - 1) == 0 else 2048 - end
+    assert padding <= 2048 + 0.03 * total
+
+
+def test_cut_is_whole():
+    from quillmesh.llm.packing import cut
+
+    for n in range(1, 5000):
+        pieces = cut(n)
+        assert sum(pieces) == n and all(0 < p <= 2048 for p in pieces) and (n < 64 or min(pieces) >= 64)
+
+
+def test_sharding(spark, odd_rows):
+    from quillmesh.llm.sharding import shard_by_bytes
+
+    rows = odd_rows + [(1000 + i, prose(i, 50), "en") for i in range(800)] + [(3000 + i, "the same text", "en") for i in range(400)]
+    got = shard_by_bytes(frame(spark, rows)).collect()
+    want = sorted((i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t, _ in rows if i is not None)
+    assert sorted((r.doc_id, r["size"], r.text_crc32) for r in got if r.doc_id is not None) == want
+    assert len(got) == len(rows)
+    sizes, slots = Counter(), {}
+    for r in got:
+        assert 0 <= r.shard < 24 and r.law == "bytes" and r.grown_shard is None
+        sizes[r.shard] += r["size"]
+        slots.setdefault(r.shard, []).append(r.slot)
+    for s in slots.values():
+        assert sorted(s) == list(range(len(s)))
+    share, largest = sum(sizes.values()) / 24, max(r["size"] for r in got)
+    assert all(abs(sizes[s] - share) <= largest + 0.08 * share for s in range(24))
+
+
+def test_brown_scores(spark, odd_rows):
+    from quillmesh.llm.brown import END, class_model_scores
+
+    rows = odd_rows + [(200 + i, prose(300 + i, 200), "en") for i in range(40)]
+    got = class_model_scores(frame(spark, rows), core=64, classes=8, dictionary=200).collect()
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
+    tokens = [(i, [*brute.words(t), END]) for i, t, _ in rows]
+    count = Counter(w for i, ws in tokens if not held(i) for w in ws)
+    total, kinds = sum(count.values()), len(count)
+    want = sorted(((i, held(i), len(ws), sum(w in count for w in ws), total, round(sum(math.log10((count[w] + 0.5) / (total + 0.5 * (kinds + 1))) for w in ws), 5)) for i, ws in tokens), key=repr)
+    assert sorted(((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in got), key=repr) == want
+    assert sum(r.score for r in got if r.held_out) > sum(r.base_score for r in got if r.held_out)
+
+
+def test_brown_probabilities_sum_to_one(spark, odd_rows):
+    from quillmesh.llm import brown
+
+    texts = frame(spark, odd_rows).select("text")
+    model, rare, x = brown.train(texts, core=32, classes=6, dictionary=100)
+    words, classes = len(model.ids), model.transitions.shape[0]
+    in_class = [0.0] * classes
+    for i in range(words):
+        in_class[model.classes[i]] += 10 ** model.emissions[i]
+    weight = max(x["rare_tokens"], 1)
+    in_class[-1] += sum((r.c - x["discount"]) / weight for r in rare.collect()) + x["discount"] * x["rare_kinds"] / weight
+    for row in model.transitions:
+        assert sum(10**p * e for p, e in zip(row, in_class)) == pytest.approx(1, abs=1e-6)
+
+
+def test_exchange_finds_the_classes():
+    import numpy as np
+    from quillmesh.llm.brown import exchange
+
+    # two languages of words that follow their own kind
+    rng = np.random.default_rng(1)
+    kind = np.array([0, 1] * 10)
+    bigrams = np.where(kind[:, None] == kind[None, :], 50, 1) + rng.integers(0, 3, (20, 20))
+    found = exchange(bigrams.astype(float), 2)
+    assert len({(k, c) for k, c in zip(kind, found)}) == 2
+
+
+def test_language(spark, odd_rows, tables):
+    from quillmesh.llm.language import identify
+
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    known = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
+    got = identify(docs).collect()
+    assert all(r.lang_pred == known[r.doc_id] and 0 <= r.score <= 1 for r in got if r.held_out)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
+    odd = identify(frame(spark, odd_rows)).collect()
+    assert len(odd) == len(odd_rows)
+    silent = {i for i, t, _ in odd_rows if i is not None and not any(c.isalpha() for c in t or "")}
+    assert {r.doc_id for r in odd if r.lang_pred == "und" and r.doc_id is not None} == silent
+
+
+def test_lattice_sums_all_segmentations():
+    import numpy as np
+    from quillmesh.llm.language import Lattice, UNCOVERED
+
+    pieces = ["a", "b", "ab", "aba", "ba"]
+    probs = np.append(np.array([0.1, 0.2, 0.3, 0.15, 0.25]), 0.0)[:, None]
+
+    def total(word):
+        if not word:
+            return 1.0
+        one = probs[pieces.index(word[0]), 0] if word[0] in pieces else UNCOVERED
+        return one * total(word[1:]) + sum(probs[i, 0] * total(word[len(p) :]) for i, p in enumerate(pieces) if len(p) > 1 and word.startswith(p))
+
+    words = ["a", "ab", "abab", "babax", "aabbaabab"]
+    got = Lattice(pieces).log_likelihoods(words, probs)[:, 0]
+    assert np.allclose(got, [math.log(total(w)) for w in words])
+
+
+def test_quality(spark, tables):
+    from quillmesh.llm.quality import quality
+
+    docs, labels = (spark.read.parquet(f"{tables}/{n}.parquet") for n in ("documents", "labels"))
+    got = {r.doc_id: r.keep for r in quality(docs, labels).collect()}
+    good = [r.doc_id for r in labels.where("quality = 1 AND toxic = 0").collect()]
+    bad = [r.doc_id for r in labels.where("quality = 0").collect()]
+    assert sum(got[i] for i in good) >= 0.98 * len(good)
+    assert sum(got[i] for i in bad) <= 0.4 * len(bad)
+
+
+def test_quality_of_odd_rows(spark, odd_rows):
+    from quillmesh.llm.quality import quality
+
+    docs = frame(spark, odd_rows)
+    labels = spark.createDataFrame([(i, 1, None) for i in range(2, 24)] + [(None, 1, 0), (50, None, None), (51, 0, 0)], "doc_id long, quality int, toxic int")
+    got = quality(docs, labels).collect()
+    assert len(got) == len(odd_rows)
+    assert all(not r.keep and r.perplexity is None for r in got if r.doc_id in (70, 71, 72))
+    assert all(r.keep for r in got if r.doc_id in range(2, 24))
+    unlabelled = quality(docs, labels.limit(0)).collect()
+    assert all(r.keep == (r.symbols > 0) for r in unlabelled)
+
+
+def test_kneser_ney_is_a_distribution(spark):
+    import numpy as np
+    from quillmesh.llm.quality import CHARACTERS, fit, score_units
+
+    texts = spark.createDataFrame([("the cat the hat that cat",), ("a hat. the end",)], "text string")
+    model = fit(texts)
+    # next symbols after "the" at a text's start: units differ in their last symbol alone
+    alphabet = sorted(set("the cat that hat. a end"))
+    ends = [f"\n th{c}" for c in alphabet]
+    logs = score_units(ends, model) - score_units(["\n th"], model)
+    assert np.exp(logs).sum() + (CHARACTERS - len(alphabet)) / CHARACTERS * 0.01 == pytest.approx(1, abs=0.02)
+
+
+def test_contamination(spark, odd_rows):
+    from quillmesh.llm.decontaminate import contaminated
+
+    rng = random.Random(8)
+    items = [(i, prose(500 + i, 25, 3000)) for i in range(12)] + [(20, None), (21, ""), (None, prose(501, 25, 3000)), (22, prose(505, 25, 3000))]
+    planted = []
+    for i in range(12):
+        w = items[i][1].split()
+        if i % 3 == 1:
+            w[rng.randrange(len(w))] = "other"
+        if i % 3 == 2:
+            w = [x for j, x in enumerate(w) if j % 6 != 5]
+        text = f"{prose(700 + i, 20 + 31 * i, 3000)} {' '.join(w).upper()}, {prose(800 + i, 40, 3000)}"
+        planted.append((5000 + i, text, "en"))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = contaminated(frame(spark, odd_rows + planted), benchmark)
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(5000 + i, i) for i in range(12)} | {(5005, 22)}
+
+
+def test_latent_space_keeps_inner_products(spark):
+    import numpy as np
+    from quillmesh.llm.decontaminate import randomised_svd
+
+    rng = np.random.default_rng(2)
+    dense = np.where(rng.random((30, 200)) < 0.1, rng.random((30, 200)), 0.0)
+    rows = spark.createDataFrame([(np.flatnonzero(r).tolist(), r[np.flatnonzero(r)].tolist()) for r in dense], "ids array<int>, values array<double>")
+    space = randomised_svd(rows, 200, 30)
+    probe = rng.random(200)
+    assert np.allclose((dense @ space) @ (space.T @ probe), dense @ probe, atol=1e-6)
+    best = np.linalg.svd(dense, compute_uv=False)
+    low = randomised_svd(rows, 200, 5)
+    assert np.linalg.norm(dense @ low) >= 0.97 * np.linalg.norm(best[:5])
+
+
+def test_warc_round_trip(spark, tmp_path):
+    from quillmesh.llm.warc import read_warc, write_warc
+
+    fake = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:666>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    long = "<p>é</p>" * 300
+    pages = [(1, "http://a/", long), (2, None, long), (3, "http://b/\r\nX: y", fake), (4, "u", None), (5, "u", ""), (6, "u", "short"), (7, "u", "short"), (8, "u", "x" * 999 + "é"), (9, "u", long), (10, "u", fake * 40), (11, "u", fake * 40 + "WARC/1.1\r\n")]
+    df = spark.createDataFrame([(i, u, h, "x") for i, u, h in pages], "page_id long, url string, html string, t string").repartition(3)
+    write_warc(df, str(tmp_path / "w"), records_per_file=4)
+    got = read_warc(spark, str(tmp_path / "w")).collect()
+    import hashlib
+
+    want = []
+    for i, _, h in pages:
+        data = (h or "").encode()
+        last = max(j for j, _, g in pages if (g or "") == (h or ""))
+        again = len(data) >= 1000 and i < last
+        want.append((i, len(data), hashlib.sha1(data).hexdigest(), "revisit" if again else "response", last if again else None, True))
+    assert sorted((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to, r.intact) for r in got) == sorted(want, key=lambda x: x[0])
+
+
+def test_empty_tables(spark, tmp_path):
+    from quillmesh.llm import brown, decontaminate, exact_dedup, language, packing, quality, sharding, sketch_join, substrings, warc
+
+    docs = frame(spark, []).cache()
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    benchmark = spark.createDataFrame([], "item_id long, text string")
+    for got in (
+        exact_dedup.exact_duplicates(docs),
+        sketch_join.near_duplicates(docs),
+        substrings.remove_repeats(docs),
+        packing.pack_documents(docs),
+        sharding.shard_by_bytes(docs),
+        language.identify(docs),
+        brown.class_model_scores(docs),
+        quality.quality(docs, labels),
+        decontaminate.contaminated(docs, benchmark),
+    ):
+        assert got.count() == 0
+    assert decontaminate.contaminated(frame(spark, [(1, "a b c", "en")]), benchmark).count() == 0
+    warc.write_warc(spark.createDataFrame([], "page_id long, url string, html string"), str(tmp_path / "w"))
+    assert warc.read_warc(spark, str(tmp_path / "w")).count() == 0
