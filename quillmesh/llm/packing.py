@@ -117,9 +117,12 @@ def encoder(vocabulary_json: str, ranks: str) -> Encoder:
 
 
 def cut(length: int, capacity: int = CAPACITY, grain: int = GRAIN) -> list[int]:
-    """Piece lengths: full sequences, halves, quarters, ..., and a last piece shorter than two grains."""
-    pieces = [capacity] * (length // capacity)
-    rest, size = length % capacity, capacity // 2
+    """Piece lengths: full sequences, halves, quarters, ..., and a last piece shorter than two grains.
+    A short rest takes a full sequence with it, so that no piece of a longer text is below a grain."""
+    full, rest = divmod(length, capacity)
+    if full and 0 < rest < grain:
+        full, rest = full - 1, rest + capacity
+    pieces, size = [capacity] * full, capacity // 2
     while size >= grain:
         if rest == size or rest - size >= grain:
             pieces.append(size)

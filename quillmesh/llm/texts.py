@@ -15,7 +15,7 @@ class Distinct(NamedTuple):
     prints: DataFrame
     #: h, key, rows: one row per distinct text; key is a long of its own
     classes: DataFrame
-    #: key, text: the text of each class (more than once if a row repeats)
+    #: key, text: the text of each class, once
     texts: DataFrame
 
 
@@ -34,4 +34,11 @@ def distinct_texts(docs: DataFrame, id_col: str, text_col: str) -> Distinct:
     texts = rows.join(copies, F.col("doc").eqNullSafe(F.col("copy")) & (F.col("h") == F.col("copy_h")), "left_anti")
     odd = small_side(classes.where("own").select("h", "key"))
     texts = texts.join(odd, "h", "left").select(F.coalesce("key", "doc").alias("key"), "text")
+    same = F.col("doc").eqNullSafe(F.col("rep"))
+    repeated = prints.groupBy("h", "doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").join(classes.where("rows > 1").select("h", "rep", "key"), "h").where(same).select("key")
+    repeated = materialize(repeated, "repeated")
+    if not repeated.isEmpty():
+        repeated = small_side(repeated)
+        once = texts.join(repeated, "key", "left_semi").dropDuplicates(["key"])
+        texts = texts.join(repeated, "key", "left_anti").unionByName(once)
     return Distinct(prints, classes.select("h", "key", "rows"), texts)
