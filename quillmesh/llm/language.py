@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from quillmesh.llm.brown import remainder
 from quillmesh.llm.packing import vocabulary
 from quillmesh.llm.texts import distinct_texts
+from quillmesh.llm.words import CACHES, freeing
 from quillmesh.storage import materialize
 
 #: Longer pieces are left out; longer words are scored in parts.
@@ -31,7 +32,7 @@ EM_ROUNDS = 3
 SMOOTHING = 0.05
 #: About so many labelled texts are learned from (a sample by hash of the id).
 TRAINING_TEXTS = 20_000
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
 _LETTER = re.compile(r"[^\W\d_]")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -191,14 +192,15 @@ def train(texts: DataFrame, path: str, rounds: int = EM_ROUNDS, limit: int = TRA
     return langs, probs, np.log(rows["n"].to_numpy() / total)
 
 
-_scored: dict[int, dict[str, np.ndarray]] = {}
+_scored: dict[str, np.ndarray] = {}
+CACHES.append(_scored)
 
 
-def _predict(batches: Iterator[pa.RecordBatch], path: str, langs: list[str], sent, run: int) -> Iterator[pa.RecordBatch]:
+@freeing
+def _predict(batches: Iterator[pa.RecordBatch], path: str, langs: list[str], sent) -> Iterator[pa.RecordBatch]:
     found, (probs, prior) = lattice(path), sent.value
-    if run not in _scored:
-        _scored.clear()
-    known = _scored.setdefault(run, {})
+    known = _scored
+    known.clear()
     for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
         if len(known) > CACHED_WORDS:
             known.clear()
@@ -236,8 +238,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     langs, probs, prior = train(train_rows, path)
     prints, classes, texts = distinct_texts(docs, id_col, text_col)
     sent = docs.sparkSession.sparkContext.broadcast((probs, prior))
-    run = id(sent)
-    predicted = materialize(texts.mapInArrow(lambda x: _predict(x, path, langs, sent, run), "key long, lang_pred string, score double"), "languages")
+    predicted = materialize(texts.mapInArrow(lambda x: _predict(x, path, langs, sent), "key long, lang_pred string, score double"), "languages")
     known = classes.select("h", "key").join(predicted.dropDuplicates(["key"]), "key")
     return prints.join(known, "h").select(F.col("doc").alias("doc_id"), (remainder(F.col("doc"), folds) == held).alias("held_out"), "lang_pred", "score")
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import itertools
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -19,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmesh.llm.words import CACHES, freeing
 from quillmesh.storage import materialize
 
 CAPACITY = 2048
@@ -28,7 +30,7 @@ GRAIN = 64
 WORKERS_TOGETHER = 64
 #: The id that ends each document.
 END_ID = 1
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 LONG_WORD = 1000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, class int, worker int, open boolean"
@@ -46,6 +48,7 @@ class _Words(dict):
     def __init__(self, prefix: str, encode):
         super().__init__()
         self.prefix, self.encode = prefix, encode
+        CACHES.append(self)
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHED_WORDS:
@@ -65,12 +68,12 @@ class Encoder:
     def __init__(self, vocabulary_json: str, ranks: str):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(ranks, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.slow = Tokenizer.from_file(vocabulary_json)
-        self.special = [t.content for t in self.slow.get_added_tokens_decoder().values()]
+        self.vocabulary_json, self.slow = vocabulary_json, None
+        with open(vocabulary_json, encoding="utf-8") as f:
+            self.special = [t["content"] for t in json.load(f)["added_tokens"]]
         self.quick = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
         self.first, self.later = _Words("", self._word), _Words(" ", self._word)
         self.newline = self._bytes([table[b"\n"]])
@@ -80,6 +83,10 @@ class Encoder:
         return b"".join(i.to_bytes(4, "little") for i in ids)
 
     def _exact(self, text: str) -> bytes:
+        if self.slow is None:
+            from tokenizers import Tokenizer
+
+            self.slow = Tokenizer.from_file(self.vocabulary_json)
         return self._bytes(self.slow.encode(text, add_special_tokens=False).ids)
 
     def _word(self, word: str) -> bytes:
@@ -131,6 +138,7 @@ def cut(length: int, capacity: int = CAPACITY, grain: int = GRAIN) -> list[int]:
     return pieces + [rest] * (rest > 0)
 
 
+@freeing
 def _pack_partition(batches: Iterator[pa.RecordBatch], capacity: int, grain: int, vocabulary_json: str, ranks: str) -> Iterator[pa.RecordBatch]:
     encode, worker = encoder(vocabulary_json, ranks).encode, TaskContext.get().partitionId()
     names = [x.split()[0] for x in PIECES.split(", ")]

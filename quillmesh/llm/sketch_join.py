@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmesh.llm.links import components
-from quillmesh.llm.words import ascii_words, mix, shingles, sorted_groups, word_hashes
+from quillmesh.llm.words import ascii_words, freeing, mix, shingles, sorted_groups, word_hashes
 from quillmesh.storage import materialize, small_side
 
 BAND_RATIO = 1.4
@@ -109,6 +109,7 @@ def parity_sketch(items: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+@freeing
 def _emit(batches: Iterator[pa.RecordBatch], k: int, bands: Bands, buckets: int) -> Iterator[pa.RecordBatch]:
     """Sizes and sketches of all sets; block values by bucket, each once from this task with its
     smallest id; and the task's own members of values that it holds more than once."""
@@ -168,6 +169,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(key[more].view(np.int64)), pa.array(doc[more]), pa.array(hub[more])], ["key", "doc", "hub"])
 
 
+@freeing
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in range(0, batch.num_rows, 256):

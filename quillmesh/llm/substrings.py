@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmesh.llm.texts import distinct_texts
-from quillmesh.llm.words import ascii_words, gram_hashes, mix, sorted_groups, word_hashes
+from quillmesh.llm.words import ascii_words, freeing, gram_hashes, mix, sorted_groups, word_hashes
 from quillmesh.storage import materialize
 
 WINDOW = 35
@@ -57,6 +57,7 @@ def segments(hashes: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     return grams[place[first]].view(np.int64), content.view(np.int64), first, last
 
 
+@freeing
 def _entries(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     names = [x.split()[0] for x in ENTRIES.split(", ")]
     for batch in batches:
@@ -149,6 +150,7 @@ def maximal_spans(automaton: SuffixAutomaton, sequence: list[int], length: int)
     return [(a, b) for a, b in spans]
 
 
+@freeing
 def _contents(batches: Iterator[pa.RecordBatch], length: int, single_windows: bool) -> Iterator[pa.RecordBatch]:
     """Word hashes of the wanted segments, or hashes of their windows."""
     for batch in batches:

@@ -2,13 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
+
+#: Dicts that tasks fill; they are empty again when a task ends, as its worker may then wait idle
+#: or work for another operator.
+CACHES: list[dict] = []
+
+
+def freeing(task: Callable) -> Callable:
+    """A generator that empties all caches at its end."""
+
+    @wraps(task)
+    def run(*args):
+        try:
+            yield from task(*args)
+        finally:
+            for cache in CACHES:
+                cache.clear()
+            pa.default_memory_pool().release_unused()
+
+    return run
 
 
 def ascii_words(text: str | None, lower: bool = True) -> list[bytes]:
@@ -26,6 +46,7 @@ class _Hashes(dict):
 
 
 _hashes = _Hashes()
+CACHES.append(_hashes)
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
