@@ -3,7 +3,7 @@
 import brute
 from pyspark.sql import functions as F
 
-from test_operators import frame, odd_rows, prose  # noqa: F401
+from test_llm_operators import frame, odd_rows, prose  # noqa: F401
 
 
 def texts(df):
