@@ -130,6 +130,24 @@ def duplicate_text_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.duplicate_leaderboard(table(spark, sf_dir, "documents"))
 
 
+_FIRST_HALF = "list_cosine_similarity(q.embedding[1:32]::DOUBLE[], t.embedding[1:32]::DOUBLE[])"
+
+
+@register(
+    f"""WITH b AS (SELECT q.vec_id AS query_id, t.vec_id AS target_id, {_COSINE} AS whole, round({_FIRST_HALF}, 9) AS half FROM embeddings q JOIN embeddings t ON q.vec_id <> t.vec_id AND q.vec_id % 100 = 0),
+    w AS (SELECT query_id, target_id FROM b QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY whole DESC, target_id) = 1),
+    h AS (SELECT query_id, target_id FROM b QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY half DESC, target_id) = 1)
+    SELECT query_id, w.target_id AS best_whole, h.target_id AS best_half, w.target_id = h.target_id AS agree FROM w JOIN h USING (query_id)"""
+)
+def representation_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best hit by two representations: the vector, and its first half."""
+    few, every = _vectors(spark, sf_dir)
+    half = lambda rows: rows.withColumn("embedding", F.slice("embedding", 1, 32))
+    whole = retrieval.top_k(few, every, 1).select("query_id", F.col("target_id").alias("best_whole"))
+    part = retrieval.top_k(half(few), half(every), 1).select("query_id", F.col("target_id").alias("best_half"))
+    return whole.join(part, "query_id").withColumn("agree", F.col("best_whole") == F.col("best_half"))
+
+
 # --- samples ------------------------------------------------------------------------------------
 
 
@@ -336,6 +354,31 @@ def event_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("path", F.array_join(F.transform("path", lambda x: x.cast("string")), "/"))
 
 
+@register(
+    f"""WITH p AS (SELECT page_id, url, lower({_HOST}) AS host FROM pages), f AS (SELECT host, min(page_id) AS first_page, arg_min(url, page_id) AS first_url FROM p GROUP BY host)
+    SELECT page_id, CASE WHEN page_id <> first_page THEN first_page END AS discovered_by, CASE WHEN page_id <> first_page THEN first_url END AS discovered_from FROM p JOIN f USING (host)"""
+)
+def discovering_artifact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page with the page that led to it: the first of its host, which itself has none."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", urls.domain(F.col("url")).alias("host"))
+    first = pages.groupBy("host").agg(F.min("page_id").alias("first_page"), F.min_by("url", "page_id").alias("first_url"))
+    other = F.col("page_id") != F.col("first_page")
+    return pages.join(first, "host").select("page_id", F.when(other, F.col("first_page")).alias("discovered_by"), F.when(other, F.col("first_url")).alias("discovered_from"))
+
+
+@register(
+    """SELECT s.source, coalesce(e.events, 0) AS events, coalesce(e.succeeded, 0) AS succeeded, e.last_event FROM (SELECT DISTINCT source FROM documents) s
+    LEFT JOIN (SELECT source, count(*) AS events, count(*) FILTER (quality = 1) AS succeeded, max(doc_id) AS last_event FROM documents JOIN labels USING (doc_id) GROUP BY source) e
+    ON e.source IS NOT DISTINCT FROM s.source"""
+)
+def artifact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Artifacts (sources) with their events (labelled documents), also those without any."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    events = docs.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+    labelled = F.col("quality").isNotNull()
+    return events.groupBy("source").agg(F.count_if(labelled).alias("events"), F.count_if(F.col("quality") == 1).alias("succeeded"), F.max(F.when(labelled, F.col("doc_id"))).alias("last_event"))
+
+
 # --- ledger -------------------------------------------------------------------------------------
 
 _ATTEMPTS = """a AS (SELECT *, row_number() OVER (PARTITION BY run_id, url ORDER BY occurred_at, attempt_id) - 1 AS retry_number FROM (
