@@ -33,7 +33,7 @@ HELD_KEYS = 2_000_000
 #: Members of a block value that are compared with as many others in one task.
 GROUP_BLOCK = 512
 #: Pairs per component and block value that the rounds test; None: all.
-NEAREST = (1, 8, 64, None)
+NEAREST = (1, 16, None)
 
 EMITTED = "bucket int, keys binary, docs binary, key long, doc long, hub long, n long, sketch array<long>"
 _NAMES = [x.split()[0] for x in EMITTED.split(", ")]
@@ -296,9 +296,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         more = materialize(more.join(tested, ["a", "b"], "left_anti"), "leftover")
         if more.isEmpty():
             continue
-        found = _verified(more, texts, meta, k, num, den)
-        labels = components(labels.select(F.col("doc").alias("a"), F.col("component").alias("b")).unionByName(found))
         tested = tested.unionByName(more)
+        found = materialize(_verified(more, texts, meta, k, num, den), "links")
+        if found.isEmpty():
+            continue
+        labels = components(labels.select(F.col("doc").alias("a"), F.col("component").alias("b")).unionByName(found))
 
     known = firsts.join(meta.select(F.col("doc").alias("rep"), "n"), "rep", "left").join(labels.withColumnRenamed("doc", "rep"), "rep", "left")
     size = F.coalesce("n", F.lit(0))
