@@ -65,3 +65,14 @@ def html_escaped(text: Column) -> Column:
 
 def sha256_text(text: Column) -> Column:
     return F.sha2(F.encode(F.coalesce(text, F.lit("")), "utf-8"), 256)
+
+
+def iso_text(stamp: Column) -> Column:
+    """ISO 8601 with offset; a fraction only if there is one."""
+    fraction = F.date_format(stamp, ".SSSSSS")
+    return F.concat(F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss"), F.when(fraction == ".000000", "").otherwise(fraction), F.date_format(stamp, "xxx"))
+
+
+def per_unit(total: Column, units: Column) -> Column:
+    """Time per text or query; null without any."""
+    return F.try_divide(total, units)

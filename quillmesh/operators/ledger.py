@@ -183,3 +183,18 @@ def adaptive_concurrency(attempts: DataFrame, policy: ConcurrencyPolicy | None =
     step = lambda s, m: F.struct(F.get(m["to"], s["at"]).alias("at"), (s["down"] + F.get(m["down"], s["at"])).alias("down"), (s["up"] + F.get(m["up"], s["at"])).alias("up"))
     out = maps.groupBy("domain").agg(parts.alias("parts")).select("domain", F.aggregate("parts", seed, step).alias("s"))
     return out.select("domain", (F.floor(F.col("s.at") / policy.restore) + 1).alias("concurrency"), F.col("s.down").alias("reductions"), F.col("s.up").alias("restorations"))
+
+
+def decision_counts(decisions: DataFrame) -> DataFrame:
+    return decisions.groupBy("run_id", "decision_type").agg(F.count(F.lit(1)).alias("decisions"))
+
+
+def page_outcome(fetched: Column, supported: Column, extracted_before: Column, extracted: Column) -> Column:
+    """What became of a URL in the simple pipeline, the first that applies."""
+    return (
+        F.when(~fetched, "acquisition_failed")
+        .when(~supported, "unsupported_content")
+        .when(extracted_before, "duplicate_content")
+        .when(~extracted, "extraction_failed")
+        .otherwise("acquired")
+    )

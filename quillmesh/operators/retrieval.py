@@ -120,3 +120,25 @@ def duplicate_leaderboard(rows: DataFrame, id_col: str = "doc_id", text: str = "
     """The texts repeated most, named by their first id."""
     groups = rows.groupBy(F.sha2(text, 256).alias("text_sha256")).agg(F.count(F.lit(1)).alias("n"), F.min(id_col).alias("first_id"))
     return groups.where("n > 1").orderBy(F.desc("n"), "first_id").limit(most)
+
+
+def embed(rows: DataFrame, embedder, dimension: int, id_col: str = "evidence_id", text_col: str = "text", batch: int = 64) -> DataFrame:
+    """``id, embedding, embedded_text_checksum``: unit vectors of texts by an injected function from a
+    list of texts to a list of vectors, called with at most ``batch`` texts in the rows' order.
+
+    A wrong number of vectors or a wrong dimension is an error. Equal texts are embedded once.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for at in range(0, len(pdf), batch):
+                part = pdf.iloc[at : at + batch]
+                vectors = embedder(list(part["text"]))
+                if len(vectors) != len(part) or any(len(v) != dimension for v in vectors):
+                    raise ValueError(f"expected {len(part)} vectors of {dimension} dimensions")
+                yield pd.DataFrame({"checksum": part["checksum"], "embedding": [v.tolist() for v in _unit(vectors)]})
+
+    keyed = rows.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.sha2(text_col, 256).alias("checksum"))
+    texts = keyed.groupBy("checksum").agg(F.min("text").alias("text"))
+    vectors = texts.mapInPandas(run, "checksum string, embedding array<double>")
+    return keyed.drop("text").join(vectors, "checksum").select(F.col("id").alias(id_col), "embedding", F.col("checksum").alias("embedded_text_checksum"))
