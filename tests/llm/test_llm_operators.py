@@ -283,6 +283,20 @@ def test_quality(spark, tables):
     assert sum(got[i] for i in bad) <= 0.4 * len(bad)
 
 
+def test_quality_threshold_is_the_quantile_of_unseen_texts(spark, tables):
+    from quillmesh.llm.quality import quality, trusted_ids
+
+    docs, labels = (spark.read.parquet(f"{tables.replace('sf0.001', 'sf0.01')}/{n}.parquet") for n in ("documents", "labels"))
+    trusted = {r.doc_id for r in trusted_ids(labels).collect()}
+    hidden = {i for i in trusted if zlib.crc32(b"%d" % i) % 5 == 0}
+    got = quality(docs, labels.where(~F.col("doc_id").isin(*hidden))).collect()
+    highest = max(r.score / r.threshold for r in got if r.doc_id in trusted - hidden)
+    assert 0.99 <= highest <= 1.2
+    assert sum(not r.keep for r in got if r.doc_id in hidden) <= 0.06 * len(hidden)
+    bad = {r.doc_id for r in labels.where("quality = 0").collect()}
+    assert sum(r.keep for r in got if r.doc_id in bad) <= 0.02 * len(bad)
+
+
 def test_quality_of_odd_rows(spark, odd_rows):
     from quillmesh.llm.quality import quality
 
