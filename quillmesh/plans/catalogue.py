@@ -493,17 +493,28 @@ def http_outcome_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy(ledger.outcome(*pair).alias("outcome"), ledger.outcome_detail(*pair).alias("detail")).agg(F.count(F.lit(1)).alias("attempts"))
 
 
-@register()
+@register(
+    """SELECT date_trunc('hour', ts)::TIMESTAMP AS start, count(*) AS attempts, count(*) FILTER (event_type IS NULL OR event_type NOT IN ('error', 'signup')) AS successes
+    FROM events WHERE ts IS NOT NULL GROUP BY ALL"""
+)
 def ledger_progress_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ledger read as a stream of files, with windowed progress written as a table."""
+    """The ledger read as a stream of files; each batch writes the whole progress so far, so that no
+    window stays open and no row is late, and the last batch's table is the result."""
     from quillmesh.storage import new_path
 
     stream = ledger_stream.read_events(spark, f"{sf_dir}/events.parquet*")
     attempts = stream.select(F.col("ts").cast("timestamp").alias("occurred_at"), F.when(F.col("event_type").isin("error", "signup"), "FAILED").otherwise("SUCCESS").alias("final_result"))
     out, state = new_path(spark, "progress"), new_path(spark, "progress-state")
-    run = ledger_stream.progress(attempts, "1 hour").writeStream.format("parquet").option("path", out).option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start()
+    last = []
+
+    def write(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{out}/{batch}")
+        last[:] = [f"{out}/{batch}"]
+
+    run = ledger_stream.progress(attempts, "1 hour", None).writeStream.foreachBatch(write).option("checkpointLocation", state).outputMode("complete").trigger(availableNow=True).start()
     run.awaitTermination()
-    return spark.read.schema("start timestamp, attempts long, successes long").parquet(out)
+    schema = "start timestamp, attempts long, successes long"
+    return spark.read.schema(schema).parquet(*last) if last else spark.createDataFrame([], schema)
 
 
 # --- evidence -----------------------------------------------------------------------------------

@@ -17,11 +17,12 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
 
 
-def progress(attempts: DataFrame, every: str = "5 minutes", late: str = "10 minutes") -> DataFrame:
-    """Attempts and successes by window of event time; closed windows only, late rows dropped after
-    the watermark."""
+def progress(attempts: DataFrame, every: str = "5 minutes", late: str | None = "10 minutes") -> DataFrame:
+    """Attempts and successes by window of event time; in append mode closed windows only, late rows
+    dropped after the watermark. With ``late`` None there is no watermark, for complete mode."""
     window = F.window("occurred_at", every)
-    out = attempts.withWatermark("occurred_at", late).groupBy(window).agg(F.count(F.lit(1)).alias("attempts"), F.count_if(F.col("final_result") == "SUCCESS").alias("successes"))
+    rows = attempts if late is None else attempts.withWatermark("occurred_at", late)
+    out = rows.groupBy(window).agg(F.count(F.lit(1)).alias("attempts"), F.count_if(F.col("final_result") == "SUCCESS").alias("successes"))
     return out.select(F.col("window.start").alias("start"), "attempts", "successes")
 
 

@@ -39,3 +39,8 @@ def test_entry_module(spark):
 
     assert set(catalogue.queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).count() > 0
+
+
+def test_progress_stream_counts_every_event(spark, tables):
+    rows = catalogue.queries()["ledger_progress_stream"](spark, tables).collect()
+    assert sum(r.attempts for r in rows) == spark.read.parquet(f"{tables}/events.parquet").where("ts IS NOT NULL").count()
