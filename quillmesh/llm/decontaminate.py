@@ -6,8 +6,10 @@ space, and windows near a passage (by its cosine, not lowered by the window's ot
 candidates. A weighted longest
 common subsequence of passage and window, and of the passage's answer (its last sentence), decides.
 
-A space has at least as many dimensions as passages (large benchmarks are cut into blocks with a
-space each), so that a cosine with a passage loses nothing by projection.
+A passage of more words than a window is cut into parts that each have a row of their own, so that
+a window can hold enough of one; the windows of all its parts are candidates for the whole passage.
+A space has at least as many dimensions as parts (large benchmarks are cut into blocks with a space
+each), so that a cosine with a part loses nothing by projection.
 """
 
 from __future__ import annotations
@@ -27,11 +29,11 @@ from quillmesh.llm.texts import distinct_texts
 from quillmesh.storage import materialize, small_side
 
 WINDOW, STRIDE = 48, 16
-#: Passages per latent space, and the dimensions sought beyond that number.
+#: Parts of passages per latent space, and the dimensions sought beyond that number.
 BLOCK, OVERSAMPLING, POWER_ROUNDS = 256, 8, 1
 #: Words of less inverse document frequency are left out of the vectors of passages that have others.
 LEAST_IDF = 1.5
-#: Candidates hold so much of a passage's squared weight (its cosine times the ratio of lengths).
+#: Candidates hold so much of the squared weight of a passage's part (its cosine times the ratio of lengths).
 CONTAINED = 0.3
 #: Weighted share of a passage found in order, alone, or with that share of its answer.
 WHOLE, PART, ANSWER = 0.6, 0.4, 0.6
@@ -51,15 +53,32 @@ def answer_of(text: str | None) -> list[str]:
     return sentences[-1] if len(sentences) > 1 else words_of(text)[-8:]
 
 
+def parts_of(words: list[str]) -> list[list[str]]:
+    """Cuts of about the same length, none longer than a window."""
+    n = -(-len(words) // WINDOW)
+    return [words[len(words) * i // n : len(words) * (i + 1) // n] for i in range(n)]
+
+
+class Passage(NamedTuple):
+    item: int
+    words: list[str]
+    weights: np.ndarray  # of the words
+    answer: list[str]
+    answer_weights: np.ndarray
+
+    @property
+    def step(self) -> int:
+        """Windows that start in one stretch of so many words are candidates together."""
+        return max(STRIDE, len(self.words) // 8 // STRIDE * STRIDE)
+
+
 class Block(NamedTuple):
-    items: list[int]
-    words: list[list[str]]
-    answers: list[list[str]]
+    owners: list[int]  # the passage of each part
     ids: dict[str, int]
     idf: np.ndarray
     counts: np.ndarray  # whether a feature is in the vectors; -1 is none
-    products: np.ndarray  # of a feature's weight with each passage (of length 1) in the latent space
-    norms: np.ndarray  # of the passages
+    products: np.ndarray  # of a feature's weight with each part (of length 1) in the latent space
+    norms: np.ndarray  # of the parts
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch], vocabulary) -> Iterator[pa.RecordBatch]:
@@ -117,8 +136,8 @@ def randomised_svd(rows: DataFrame, features: int, rank: int, rounds: int = POWE
     return basis @ vectors[:, order[values[order] > 1e-12 * max(values.max(), 1e-300)]]
 
 
-def latent_blocks(benchmark: DataFrame, texts: DataFrame, total: int, id_col: str, text_col: str) -> list[Block]:
-    """Latent spaces of the benchmark; ``texts`` (text, rows) give document frequencies."""
+def latent_blocks(benchmark: DataFrame, texts: DataFrame, total: int, id_col: str, text_col: str) -> tuple[list[Passage], list[Block]]:
+    """The benchmark's passages and latent spaces of their parts; ``texts`` (text, rows) give document frequencies."""
     spark = benchmark.sparkSession
     taken = benchmark.select(F.col(id_col).cast("long").alias("item"), F.col(text_col).alias("text")).where("item IS NOT NULL").limit(MOST_PASSAGES + 1).toPandas()
     if len(taken) > MOST_PASSAGES:
@@ -132,17 +151,23 @@ def latent_blocks(benchmark: DataFrame, texts: DataFrame, total: int, id_col: st
         found = texts.mapInArrow(lambda x: _frequencies(x, sent), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
         counted[found["id"]] = found["n"]
     idf = np.log((total + 1.0) / (counted + 0.5))
+    weight_of = np.maximum(idf, 0.05)
+    of = lambda ws: weight_of[[vocabulary[w] for w in ws]]
+    passages = [Passage(i, ws, of(ws), answer, of(answer)) for i, ws, answer in passages]
+    parts = []
+    for owner, passage in enumerate(passages):
+        least = LEAST_IDF if (passage.weights >= LEAST_IDF).any() else 0.0
+        telling = [[w for w in ws if weight_of[vocabulary[w]] >= least] for ws in parts_of(passage.words)]
+        parts.extend((owner, ws) for ws in telling if ws)
     blocks = []
-    for at in range(0, len(passages), BLOCK):
-        part = passages[at : at + BLOCK]
-        ids = {w: i for i, w in enumerate(sorted({w for _, ws, _ in part for w in ws}))}
-        weights = np.maximum(np.array([idf[vocabulary[w]] for w in ids]), 0.05)
+    for at in range(0, len(parts), BLOCK):
+        part = parts[at : at + BLOCK]
+        owners = [owner for owner, _ in part]
+        ids = {w: i for i, w in enumerate(sorted({w for owner in set(owners) for w in passages[owner].words}))}
+        weights = of(ids)
         rows = []
-        for _, ws, _ in part:
+        for _, ws in part:
             found, n = np.unique([ids[w] for w in ws], return_counts=True)
-            telling = weights[found] >= LEAST_IDF
-            if telling.any():
-                found, n = found[telling], n[telling]
             rows.append((found.tolist(), (n * weights[found]).tolist()))
         table = spark.createDataFrame(rows, "ids array<int>, values array<double>")
         space = randomised_svd(table, len(ids), len(part))
@@ -151,8 +176,8 @@ def latent_blocks(benchmark: DataFrame, texts: DataFrame, total: int, id_col: st
         products = (weights[:, None] * (space @ (latent / norms[:, None]).T)).astype(np.float32)
         counts = np.zeros(len(ids) + 1, bool)
         counts[sorted({i for found, _ in rows for i in found})] = True
-        blocks.append(Block([i for i, _, _ in part], [w for _, w, _ in part], [a for _, _, a in part], ids, np.append(weights, 0.0), counts, products, norms.astype(np.float32)))
-    return blocks
+        blocks.append(Block(owners, ids, np.append(weights, 0.0), counts, products, norms.astype(np.float32)))
+    return passages, blocks
 
 
 def weighted_lcs(a: list[str], b: list[str], weights: np.ndarray) -> float:
@@ -167,9 +192,9 @@ def weighted_lcs(a: list[str], b: list[str], weights: np.ndarray) -> float:
 
 
 def _windows(words: list[str], block: Block, unknown: float) -> Iterator[tuple[int, int, float]]:
-    """(first word, passage, cosine) of the windows that hold enough of a passage.
+    """(first word, part, cosine) of the windows that hold enough of a part.
 
-    The products of window and passages in the latent space are sums over the window's words, so
+    The products of window and parts in the latent space are sums over the window's words, so
     they are added up once for each stretch of words, and a window is a few stretches.
     """
     ids = np.fromiter(map(block.ids.get, words, repeat(-1)), np.int64, len(words))
@@ -178,16 +203,16 @@ def _windows(words: list[str], block: Block, unknown: float) -> Iterator[tuple[i
         return
     stretch = at // STRIDE
     first = np.flatnonzero(np.concatenate([[True], stretch[1:] != stretch[:-1]]))
-    sums = np.zeros((len(words) // STRIDE + WINDOW // STRIDE, len(block.items)), np.float32)
+    sums = np.zeros((len(words) // STRIDE + WINDOW // STRIDE, len(block.norms)), np.float32)
     sums[stretch[first]] = np.add.reduceat(block.products[ids[at]], first, axis=0)
     total = sum(sums[i : len(sums) - WINDOW // STRIDE + 1 + i] for i in range(WINDOW // STRIDE))
     near = np.argwhere(total >= CONTAINED * block.norms)
     if len(near):
         mass = np.concatenate([[0.0], np.cumsum(np.where(ids >= 0, block.idf[ids], unknown) ** 2)])
-        for w, item in near:
+        for w, part in near:
             start = int(w) * STRIDE
             norm = mass[min(start + WINDOW, len(words))] - mass[start]
-            yield start, int(item), float(total[w, item] / np.sqrt(max(norm, 1e-12)))
+            yield start, int(part), float(total[w, part] / np.sqrt(max(norm, 1e-12)))
 
 
 MATCH = "key long, item_id long, cosine double, passage_share double, answer_share double, start_word int, end_word int"
@@ -196,30 +221,37 @@ MATCH = "key long, item_id long, cosine double, passage_share double, answer_sha
 def _matches(batches: Iterator[pa.RecordBatch], sent, unknown: float) -> Iterator[pa.RecordBatch]:
     kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int32(), pa.int32()]
     names = [x.split()[0] for x in MATCH.split(", ")]
+    passages, blocks = sent.value
     for batch in batches:
         out = []
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             words = words_of(text.as_py())
-            for block in sent.value if words else ():
-                best: dict[int, tuple] = {}
-                for start, item, cosine in _windows(words, block, unknown):
-                    passage, answer = block.words[item], block.answers[item]
-                    if item in best and best[item][1] > 0.99:
-                        continue
-                    a, b = max(0, start - len(passage)), min(len(words), start + WINDOW + len(passage))
-                    region = words[a:b]
-                    weights = block.idf[[block.ids[w] for w in passage]]
-                    present = set(region)
-                    if weights[[w in present for w in passage]].sum() < PART * weights.sum():
-                        continue  # no subsequence can be heavier than the words that occur
-                    whole = weighted_lcs(passage, region, weights) / weights.sum()
-                    if whole < PART or item in best and best[item][1] >= whole:
-                        continue
-                    weights = block.idf[[block.ids[w] for w in answer]]
-                    part = weighted_lcs(answer, region, weights) / max(weights.sum(), 1e-12)
-                    if whole >= WHOLE or part >= ANSWER:
-                        best[item] = (cosine, whole, part, a, b)
-                out.extend((key, block.items[i], *x) for i, x in best.items())
+            near: dict[tuple[int, int], float] = {}
+            for block in blocks if words else ():
+                for start, part, cosine in _windows(words, block, unknown):
+                    owner = block.owners[part]
+                    at = owner, start - start % passages[owner].step
+                    near[at] = max(cosine, near.get(at, cosine))
+            best: dict[int, tuple] = {}
+            for (owner, start), cosine in sorted(near.items()):
+                passage = passages[owner]
+                length, weight = len(passage.words), passage.weights.sum()
+                known = best[owner][1] if owner in best else 0.0
+                if known > 0.99:
+                    continue
+                a, b = max(0, start - length), min(len(words), start + passage.step - STRIDE + WINDOW + length)
+                region = words[a:b]
+                present = set(region)
+                most = passage.weights[[w in present for w in passage.words]].sum()
+                if most < max(PART, known) * weight:
+                    continue  # no subsequence can be heavier than the words that occur
+                whole = weighted_lcs(passage.words, region, passage.weights) / weight
+                if whole < PART or owner in best and known >= whole:
+                    continue
+                part = weighted_lcs(passage.answer, region, passage.answer_weights) / max(passage.answer_weights.sum(), 1e-12)
+                if whole >= WHOLE or part >= ANSWER:
+                    best[owner] = (cosine, whole, part, a, b)
+            out.extend((key, passages[i].item, *x) for i, x in best.items())
         columns = list(zip(*out)) if out else [()] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
@@ -238,8 +270,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     # texts with their number of copies, for document frequencies over all rows
     copied = small_side(classes.where("rows > 1").select("key", "rows"))
     weighted = texts.join(copied, "key", "left").select("text", F.coalesce("rows", F.lit(1)).alias("rows"))
-    blocks = latent_blocks(benchmark, weighted, total, item_col, item_text_col)
-    sent = docs.sparkSession.sparkContext.broadcast(blocks)
+    spaces = latent_blocks(benchmark, weighted, total, item_col, item_text_col)
+    sent = docs.sparkSession.sparkContext.broadcast(spaces)
     unknown = float(np.log((total + 1.0) / 1.5))
     found = materialize(texts.mapInArrow(lambda x: _matches(x, sent, unknown), MATCH).dropDuplicates(["key", "item_id"]), "matches")
     named = found.join(classes.select("h", "key"), "key").drop("key")

@@ -343,6 +343,22 @@ def test_contamination(spark, odd_rows):
     assert {(r.doc_id, r.item_id) for r in got.collect()} == {(5000 + i, i) for i in range(12)} | {(5005, 22)}
 
 
+def test_contamination_by_long_passages(spark, odd_rows):
+    from quillmesh.llm.decontaminate import contaminated
+
+    items = [(n, prose(900 + n, n, 3000)) for n in (48, 49, 100, 160, 200, 1000, 13_000)]
+    planted = []
+    for n, text in items:
+        words = text.split()
+        changes = [words, ["other" if j % 4 == 3 else w for j, w in enumerate(words)], [w for j, w in enumerate(words) if j % 4 != 3]]
+        for i, changed in enumerate(changes):
+            planted.append((10 * n + i, f"{prose(50_000 + n + i, 77, 3000)} {' '.join(changed)} {prose(70_000 + n + i, 50, 3000)}", "en"))
+    others = [(900_000 + i, prose(2000 + i, 40 * (i + 1), 3000), "en") for i in range(60)]
+    got = contaminated(frame(spark, odd_rows + planted + others), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == sorted((10 * n + i, n) for n, _ in items for i in range(3))
+    assert all(r.passage_share > 0.99 for r in got if r.doc_id % 10 == 0)
+
+
 def test_latent_space_keeps_inner_products(spark):
     import numpy as np
     from quillmesh.llm.decontaminate import randomised_svd
