@@ -1,22 +1,21 @@
 """Benchmark decontamination by latent semantic retrieval (operator 9).
 
-TF-IDF rows of the benchmark's passages get a latent space by distributed randomised SVD; inverse
-document frequencies are counted over all documents. Each document's windows are projected into the
-space, and windows near a passage (by its cosine, not lowered by the window's other words) are
-candidates. A weighted longest
-common subsequence of passage and window, and of the passage's answer (its last sentence), decides.
-
-A passage of more words than a window is cut into parts that each have a row of their own, so that
-a window can hold enough of one; the windows of all its parts are candidates for the whole passage.
-A space has at least as many dimensions as parts (large benchmarks are cut into blocks with a space
-each), so that a cosine with a part loses nothing by projection.
+TF-IDF rows of the benchmark's passages get a latent space of ``RANK`` dimensions by distributed
+randomised SVD; document frequencies are counted over all documents. Each document's windows are
+projected into the space, and passages whose cosine with a window reaches ``COSINE`` are candidates.
+A weighted longest common subsequence of passage and text around the window, and of the passage's
+answer (its last sentence), decides.
+
+A passage of more words than a window is cut into parts that each have a row of their own; the
+windows of all its parts are candidates for the whole passage. Large benchmarks are searched in
+groups of passages, each with its own space.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -29,16 +28,20 @@ from quillmesh.llm.texts import distinct_texts
 from quillmesh.storage import materialize, small_side
 
 WINDOW, STRIDE = 48, 16
-#: Parts of passages per latent space, and the dimensions sought beyond that number.
-BLOCK, OVERSAMPLING, POWER_ROUNDS = 256, 8, 1
+#: Dimensions of the latent space, and those sought beyond that number while it is computed.
+RANK, OVERSAMPLING, POWER_ROUNDS = 64, 16, 2
 #: Words of less inverse document frequency are left out of the vectors of passages that have others.
 LEAST_IDF = 1.5
-#: Candidates hold so much of the squared weight of a passage's part (its cosine times the ratio of lengths).
-CONTAINED = 0.3
+#: Latent cosine of a window and a passage's part from which on the passage is a candidate.
+COSINE = 0.4
+#: A window with less of the squared weight of a part can't hold enough of it to match.
+LEAST_MASS = 0.1
 #: Weighted share of a passage found in order, alone, or with that share of its answer.
 WHOLE, PART, ANSWER = 0.6, 0.4, 0.6
-#: Passages are held by every task; beyond this number the benchmark must be given in parts.
-MOST_PASSAGES = 100_000
+#: About so many passages are searched at once.
+PASSAGES_TOGETHER = 20_000
+#: Words of documents, and cosines, that a task computes together.
+WORDS_TOGETHER, COSINES_TOGETHER = 60_000, 1_000_000
 FEATURES_TOGETHER = 512
 _WORD = re.compile(r"[^\W_]+")
 
@@ -72,13 +75,14 @@ class Passage(NamedTuple):
         return max(STRIDE, len(self.words) // 8 // STRIDE * STRIDE)
 
 
-class Block(NamedTuple):
-    owners: list[int]  # the passage of each part
-    ids: dict[str, int]
-    idf: np.ndarray
-    counts: np.ndarray  # whether a feature is in the vectors; -1 is none
-    products: np.ndarray  # of a feature's weight with each part (of length 1) in the latent space
-    norms: np.ndarray  # of the parts
+class Space(NamedTuple):
+    passages: list[Passage]
+    owners: np.ndarray  # the passage of each part
+    ids: dict[str, int]  # features; -1 is none
+    vectors: np.ndarray  # of each feature in the latent space, and of none
+    masses: np.ndarray  # squared weight of each feature that counts, and of none
+    parts: np.ndarray  # unit vectors of the parts in the latent space, a column each
+    norms: np.ndarray  # squared weights of the parts
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch], vocabulary) -> Iterator[pa.RecordBatch]:
@@ -136,48 +140,39 @@ def randomised_svd(rows: DataFrame, features: int, rank: int, rounds: int = POWE
     return basis @ vectors[:, order[values[order] > 1e-12 * max(values.max(), 1e-300)]]
 
 
-def latent_blocks(benchmark: DataFrame, texts: DataFrame, total: int, id_col: str, text_col: str) -> tuple[list[Passage], list[Block]]:
-    """The benchmark's passages and latent spaces of their parts; ``texts`` (text, rows) give document frequencies."""
+def latent_space(benchmark: DataFrame, texts: DataFrame, total: int, id_col: str, text_col: str, rank: int = RANK) -> Space:
+    """The passages and their latent space; ``texts`` (text, rows) give document frequencies."""
     spark = benchmark.sparkSession
-    taken = benchmark.select(F.col(id_col).cast("long").alias("item"), F.col(text_col).alias("text")).where("item IS NOT NULL").limit(MOST_PASSAGES + 1).toPandas()
-    if len(taken) > MOST_PASSAGES:
-        raise ValueError(f"give at most {MOST_PASSAGES} passages at once")
-    passages = [(int(i), words_of(t), answer_of(t)) for i, t in zip(taken["item"], taken["text"]) if isinstance(t, str)]
-    passages = sorted(p for p in passages if p[1])
+    taken = benchmark.select(F.col(id_col).cast("long").alias("item"), F.col(text_col).alias("text")).where("item IS NOT NULL AND text IS NOT NULL").toPandas()
+    passages = sorted(p for p in ((int(i), words_of(t), answer_of(t)) for i, t in zip(taken["item"], taken["text"])) if p[1])
     vocabulary = {w: i for i, w in enumerate(sorted({w for _, ws, _ in passages for w in ws}))}
     counted = np.zeros(len(vocabulary))
     if vocabulary:
         sent = spark.sparkContext.broadcast(vocabulary)
         found = texts.mapInArrow(lambda x: _frequencies(x, sent), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
         counted[found["id"]] = found["n"]
-    idf = np.log((total + 1.0) / (counted + 0.5))
-    weight_of = np.maximum(idf, 0.05)
-    of = lambda ws: weight_of[[vocabulary[w] for w in ws]]
+    weights = np.maximum(np.log((total + 1.0) / (counted + 0.5)), 0.05)
+    of = lambda ws: weights[[vocabulary[w] for w in ws]]
     passages = [Passage(i, ws, of(ws), answer, of(answer)) for i, ws, answer in passages]
-    parts = []
+    owners, rows, counts = [], [], np.zeros(len(vocabulary), bool)
     for owner, passage in enumerate(passages):
         least = LEAST_IDF if (passage.weights >= LEAST_IDF).any() else 0.0
-        telling = [[w for w in ws if weight_of[vocabulary[w]] >= least] for ws in parts_of(passage.words)]
-        parts.extend((owner, ws) for ws in telling if ws)
-    blocks = []
-    for at in range(0, len(parts), BLOCK):
-        part = parts[at : at + BLOCK]
-        owners = [owner for owner, _ in part]
-        ids = {w: i for i, w in enumerate(sorted({w for owner in set(owners) for w in passages[owner].words}))}
-        weights = of(ids)
-        rows = []
-        for _, ws in part:
-            found, n = np.unique([ids[w] for w in ws], return_counts=True)
-            rows.append((found.tolist(), (n * weights[found]).tolist()))
-        table = spark.createDataFrame(rows, "ids array<int>, values array<double>")
-        space = randomised_svd(table, len(ids), len(part))
-        latent = np.array([np.asarray(v) @ space[i] for i, v in rows])
-        norms = np.maximum(np.linalg.norm(latent, axis=1), 1e-12)
-        products = (weights[:, None] * (space @ (latent / norms[:, None]).T)).astype(np.float32)
-        counts = np.zeros(len(ids) + 1, bool)
-        counts[sorted({i for found, _ in rows for i in found})] = True
-        blocks.append(Block(owners, ids, np.append(weights, 0.0), counts, products, norms.astype(np.float32)))
-    return passages, blocks
+        for ws in parts_of(passage.words):
+            found, n = np.unique([i for w in ws if weights[i := vocabulary[w]] >= least], return_counts=True)
+            if len(found):
+                found = found.astype(np.int64)
+                owners.append(owner)
+                rows.append((found.tolist(), (n * weights[found]).tolist()))
+                counts[found] = True
+    if not rows:
+        return Space(passages, np.empty(0, np.int64), vocabulary, np.zeros((len(vocabulary) + 1, 0), np.float32), np.zeros(len(vocabulary) + 1), np.zeros((0, 0), np.float32), np.empty(0))
+    space = randomised_svd(spark.createDataFrame(rows, "ids array<int>, values array<double>"), len(vocabulary), rank)
+    latent = np.array([np.asarray(v) @ space[i] for i, v in rows])
+    latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
+    used = np.where(counts, weights, 0.0)
+    vectors = np.vstack([used[:, None] * space, np.zeros(space.shape[1])]).astype(np.float32)
+    norms = np.array([np.square(v).sum() for _, v in rows])
+    return Space(passages, np.array(owners), vocabulary, vectors, np.append(used**2, 0.0), np.ascontiguousarray(latent.T, np.float32), norms)
 
 
 def weighted_lcs(a: list[str], b: list[str], weights: np.ndarray) -> float:
@@ -191,90 +186,129 @@ def weighted_lcs(a: list[str], b: list[str], weights: np.ndarray) -> float:
     return float(best[-1])
 
 
-def _windows(words: list[str], block: Block, unknown: float) -> Iterator[tuple[int, int, float]]:
-    """(first word, part, cosine) of the windows that hold enough of a part.
+def candidates(texts: list[list[str]], space: Space) -> Iterator[tuple[int, int, int, float]]:
+    """(text, first word of a window, part, cosine) of all windows that are near a part.
 
-    The products of window and parts in the latent space are sums over the window's words, so
-    they are added up once for each stretch of words, and a window is a few stretches.
+    Texts are laid out in stretches of STRIDE words with blank ones behind each, so that a window is
+    the sum of neighbouring stretches and none crosses into another text.
     """
-    ids = np.fromiter(map(block.ids.get, words, repeat(-1)), np.int64, len(words))
-    at = np.flatnonzero(block.counts[ids])
+    lengths = np.array([len(ws) for ws in texts], np.int64)
+    starts = lengths // STRIDE + 1
+    wide = WINDOW // STRIDE
+    base = np.cumsum(starts + wide) - (starts + wide)
+    n = int(lengths.sum())
+    ids = np.fromiter(map(space.ids.get, chain.from_iterable(texts), repeat(-1)), np.int64, n)
+    at = np.flatnonzero(space.masses[ids] > 0)
     if not len(at):
         return
-    stretch = at // STRIDE
+    text = np.repeat(np.arange(len(texts)), lengths)[at]
+    stretch = base[text] + (at - (np.cumsum(lengths) - lengths)[text]) // STRIDE
     first = np.flatnonzero(np.concatenate([[True], stretch[1:] != stretch[:-1]]))
-    sums = np.zeros((len(words) // STRIDE + WINDOW // STRIDE, len(block.norms)), np.float32)
-    sums[stretch[first]] = np.add.reduceat(block.products[ids[at]], first, axis=0)
-    total = sum(sums[i : len(sums) - WINDOW // STRIDE + 1 + i] for i in range(WINDOW // STRIDE))
-    near = np.argwhere(total >= CONTAINED * block.norms)
-    if len(near):
-        mass = np.concatenate([[0.0], np.cumsum(np.where(ids >= 0, block.idf[ids], unknown) ** 2)])
-        for w, part in near:
-            start = int(w) * STRIDE
-            norm = mass[min(start + WINDOW, len(words))] - mass[start]
-            yield start, int(part), float(total[w, part] / np.sqrt(max(norm, 1e-12)))
+    sums = np.zeros((int((starts + wide).sum()), space.vectors.shape[1]), np.float32)
+    mass = np.zeros(len(sums))
+    sums[stretch[first]] = np.add.reduceat(space.vectors[ids[at]], first, axis=0)
+    mass[stretch[first]] = np.add.reduceat(space.masses[ids[at]], first)
+    count = len(sums) - wide + 1
+    mass = sum(mass[i : count + i] for i in range(wide))
+    heavy = np.flatnonzero(mass >= LEAST_MASS * space.norms.min())
+    step = max(1, COSINES_TOGETHER // max(1, len(space.norms)))
+    for i in range(0, len(heavy), step):
+        rows = heavy[i : i + step]
+        window = sum(sums[rows + k] for k in range(wide))
+        window /= np.maximum(np.linalg.norm(window, axis=1, keepdims=True), 1e-12)
+        cosines = window @ space.parts
+        near = np.argwhere((cosines >= COSINE) & (mass[rows][:, None] >= LEAST_MASS * space.norms))
+        owner = np.searchsorted(base, rows[near[:, 0]], "right") - 1
+        first_word = (rows[near[:, 0]] - base[owner]) * STRIDE
+        yield from zip(owner.tolist(), first_word.tolist(), near[:, 1].tolist(), cosines[near[:, 0], near[:, 1]].tolist())
+
+
+def region_of(passage: Passage, start: int, words: int) -> tuple[int, int]:
+    """Where a match is sought whose candidate windows start at ``start`` or within a step of it."""
+    length = len(passage.words)
+    return max(0, start - length), min(words, start + passage.step - STRIDE + WINDOW + length)
+
+
+def decide(passage: Passage, region: list[str], known: float = 0.0) -> tuple[float, float] | None:
+    """The shares of passage and answer found in order, if they are a match and more than ``known``."""
+    weight, present = passage.weights.sum(), set(region)
+    most = passage.weights[[w in present for w in passage.words]].sum()
+    if most < max(PART, known) * weight:
+        return None  # no subsequence can be heavier than the words that occur
+    whole = weighted_lcs(passage.words, region, passage.weights) / weight
+    if whole < PART or whole <= known:
+        return None
+    part = weighted_lcs(passage.answer, region, passage.answer_weights) / max(passage.answer_weights.sum(), 1e-12)
+    return (whole, part) if whole >= WHOLE or part >= ANSWER else None
 
 
 MATCH = "key long, item_id long, cosine double, passage_share double, answer_share double, start_word int, end_word int"
 
 
-def _matches(batches: Iterator[pa.RecordBatch], sent, unknown: float) -> Iterator[pa.RecordBatch]:
+def _matches(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
     kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int32(), pa.int32()]
     names = [x.split()[0] for x in MATCH.split(", ")]
-    passages, blocks = sent.value
+    space: Space = sent.value
+
+    def found(keys: list[int], texts: list[list[str]]) -> pa.RecordBatch:
+        near: dict[tuple[int, int, int], float] = {}
+        for text, start, part, cosine in candidates(texts, space):
+            owner = int(space.owners[part])
+            at = text, owner, start - start % space.passages[owner].step
+            near[at] = max(cosine, near.get(at, cosine))
+        best: dict[tuple[int, int], tuple] = {}
+        for (text, owner, start), cosine in sorted(near.items()):
+            known = best[text, owner][1] if (text, owner) in best else 0.0
+            if known > 0.99:
+                continue
+            a, b = region_of(space.passages[owner], start, len(texts[text]))
+            shares = decide(space.passages[owner], texts[text][a:b], known)
+            if shares:
+                best[text, owner] = (cosine, *shares, a, b)
+        out = [(keys[text], space.passages[owner].item, *x) for (text, owner), x in best.items()]
+        columns = list(zip(*out)) if out else [()] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    keys, texts, held = [], [], 0
     for batch in batches:
-        out = []
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             words = words_of(text.as_py())
-            near: dict[tuple[int, int], float] = {}
-            for block in blocks if words else ():
-                for start, part, cosine in _windows(words, block, unknown):
-                    owner = block.owners[part]
-                    at = owner, start - start % passages[owner].step
-                    near[at] = max(cosine, near.get(at, cosine))
-            best: dict[int, tuple] = {}
-            for (owner, start), cosine in sorted(near.items()):
-                passage = passages[owner]
-                length, weight = len(passage.words), passage.weights.sum()
-                known = best[owner][1] if owner in best else 0.0
-                if known > 0.99:
-                    continue
-                a, b = max(0, start - length), min(len(words), start + passage.step - STRIDE + WINDOW + length)
-                region = words[a:b]
-                present = set(region)
-                most = passage.weights[[w in present for w in passage.words]].sum()
-                if most < max(PART, known) * weight:
-                    continue  # no subsequence can be heavier than the words that occur
-                whole = weighted_lcs(passage.words, region, passage.weights) / weight
-                if whole < PART or owner in best and known >= whole:
-                    continue
-                part = weighted_lcs(passage.answer, region, passage.answer_weights) / max(passage.answer_weights.sum(), 1e-12)
-                if whole >= WHOLE or part >= ANSWER:
-                    best[owner] = (cosine, whole, part, a, b)
-            out.extend((key, passages[i].item, *x) for i, x in best.items())
-        columns = list(zip(*out)) if out else [()] * len(names)
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
-
-
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+            if words and len(space.norms):
+                keys.append(key)
+                texts.append(words)
+                held += len(words)
+            if held >= WORDS_TOGETHER:
+                yield found(keys, texts)
+                keys, texts, held = [], [], 0
+    if keys:
+        yield found(keys, texts)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", rank: int = RANK) -> DataFrame:
     """One row per document row and benchmark passage found in it: ``doc_id, item_id, cosine,
     passage_share, answer_share, start_word, end_word`` (the region of the best match), ``text_hash``
     (of 128 bits).
 
     * Words are runs of letters and digits, lower-cased; nulls have none and match nothing, nor do
       passages without an id. Rows that repeat are each reported; equal passages with several ids
-      are all reported. Empty tables give no row.
+      are all reported, an id's several passages as one. Empty tables give no row.
+    * Any number of passages is searched, in groups of about ``PASSAGES_TOGETHER``.
     """
     prints, classes, texts = distinct_texts(docs, id_col, text_col)
     total = prints.count()
     # texts with their number of copies, for document frequencies over all rows
     copied = small_side(classes.where("rows > 1").select("key", "rows"))
     weighted = texts.join(copied, "key", "left").select("text", F.coalesce("rows", F.lit(1)).alias("rows"))
-    spaces = latent_blocks(benchmark, weighted, total, item_col, item_text_col)
-    sent = docs.sparkSession.sparkContext.broadcast(spaces)
-    unknown = float(np.log((total + 1.0) / 1.5))
-    found = materialize(texts.mapInArrow(lambda x: _matches(x, sent, unknown), MATCH).dropDuplicates(["key", "item_id"]), "matches")
-    named = found.join(classes.select("h", "key"), "key").drop("key")
+    groups = max(1, -(-benchmark.count() // PASSAGES_TOGETHER))
+    found = None
+    for group in range(groups):
+        own = benchmark.where(F.pmod(F.xxhash64(F.col(item_col)), F.lit(groups)) == group)
+        sent = docs.sparkSession.sparkContext.broadcast(latent_space(own, weighted, total, item_col, item_text_col, rank))
+        rows = materialize(texts.mapInArrow(lambda x, sent=sent: _matches(x, sent), MATCH), "matches")
+        found = rows if found is None else found.unionByName(rows)
+    best = F.max_by(F.struct("cosine", "passage_share", "answer_share", "start_word", "end_word"), F.struct("passage_share", "cosine", "start_word")).alias("x")
+    once = found.groupBy("key", "item_id").agg(best).select("key", "item_id", "x.*")
+    named = once.join(classes.select("h", "key"), "key").drop("key")
     return prints.join(small_side(materialize(named, "leaks")), "h").withColumnsRenamed({"doc": "doc_id", "h": "text_hash"})
 
 

@@ -8,7 +8,6 @@ labelled texts, also over all segmentations.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,9 +22,10 @@ from quillmesh.llm.texts import distinct_texts
 from quillmesh.llm.words import CACHES, freeing
 from quillmesh.storage import materialize
 
-#: Longer pieces are left out; longer words are scored in parts.
-PIECE_LENGTH = 8
-PART_LENGTH = 32
+#: Longer words are summed in log space, where nothing underflows.
+PLAIN_LENGTH = 32
+#: Characters of words that are worked on together.
+CHARACTERS_TOGETHER = 200_000
 #: Probability of a character that no piece covers.
 UNCOVERED = 1e-9
 EM_ROUNDS = 3
@@ -33,25 +33,25 @@ SMOOTHING = 0.05
 #: About so many labelled texts are learned from (a sample by hash of the id).
 TRAINING_TEXTS = 20_000
 CACHED_WORDS = 100_000
-_LETTER = re.compile(r"[^\W\d_]")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def parts(text: str) -> list[str]:
-    """Lower-cased words, each after a word start mark, cut to parts of bounded length."""
-    out = []
-    for word in text.lower().split():
-        word = "▁" + word
-        out.extend([word] if len(word) <= PART_LENGTH else [word[i : i + PART_LENGTH] for i in range(0, len(word), PART_LENGTH)])
-    return out
+    """Lower-cased words, each after a word start mark."""
+    return ["▁" + word for word in text.lower().split()]
+
+
+def has_letter(text: str | None) -> bool:
+    return any(map(str.isalpha, text or ""))
 
 
 def load_pieces(path: str) -> list[str]:
+    """All pieces of the vocabulary that lower-cased text can have."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     every = (model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_byte(i) or model.is_unknown(i)))
-    return sorted({p for p in every if len(p) <= PIECE_LENGTH and p == p.lower()})
+    return sorted({p for p in every if p and p == p.lower()})
 
 
 def _codes(words: list[str]) -> np.ndarray:
@@ -60,75 +60,116 @@ def _codes(words: list[str]) -> np.ndarray:
 
 
 class Lattice:
-    """Finds the pieces of many words of one length at once."""
+    """Finds the pieces of many words of one length at once, along the pieces' prefixes."""
 
     def __init__(self, pieces: list[str]):
         self.size = len(pieces)
-        hashes = np.array([self._hash(_codes([p]))[0] for p in pieces], np.uint64)
-        self.order = np.argsort(hashes)
-        self.hashes = hashes[self.order]
-
-    @staticmethod
-    def _hash(codes: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(codes), np.uint64)
-        for i in range(codes.shape[1]):
-            total = total * _BASE + codes[:, i] + np.uint64(1)
-        return total
-
-    def pieces(self, codes: np.ndarray) -> list[np.ndarray]:
-        """For length l (from 1) and start i, the piece at [:, i], or the size where there is none."""
+        prefixes: dict[int, list] = {}
+        for i, piece in enumerate(pieces):
+            value = 0
+            for at, c in enumerate(piece, 1):
+                value = (value * int(_BASE) + ord(c) + 1) % 2**64
+                entry = prefixes.setdefault(value, [self.size, False])
+                if at == len(piece):
+                    entry[0] = i
+                else:
+                    entry[1] = True
+        self.hashes = np.array(sorted(prefixes), np.uint64)
+        self.piece, self.more = (np.array([prefixes[h][k] for h in self.hashes.tolist()]) for k in (0, 1))
+
+    def pieces(self, codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each size from 1: places (start * words + word, ascending) and the piece of that size there."""
         n, length = codes.shape
-        total, out = np.zeros((n, length), np.uint64), []
-        for size in range(1, min(PIECE_LENGTH, length) + 1):
-            total = total[:, : length - size + 1] * _BASE + codes[:, size - 1 :] + np.uint64(1)
-            at = np.minimum(np.searchsorted(self.hashes, total), self.size - 1)
-            out.append(np.where(self.hashes[at] == total, self.order[at], self.size))
+        flat = np.ascontiguousarray(codes.T).ravel()
+        at, total, out = np.arange(len(flat)), np.zeros(len(flat), np.uint64), []
+        for size in range(1, length + 1):
+            inside = np.searchsorted(at, (length - size + 1) * n)
+            at = at[:inside]
+            total = total[:inside] * _BASE + flat[at + (size - 1) * n] + np.uint64(1)
+            entry = np.minimum(np.searchsorted(self.hashes, total), len(self.hashes) - 1)
+            known = self.hashes[entry] == total
+            piece = np.where(known, self.piece[entry], self.size)
+            out.append((at[piece < self.size], piece[piece < self.size]))
+            alive = known & self.more[entry]
+            at, total = at[alive], total[alive]
+            if not len(at):
+                break
         return out
 
-    def forward(self, found: list[np.ndarray], probs: np.ndarray) -> np.ndarray:
-        """alpha[:, t]: the summed probability of all segmentations of the first t characters.
-        probs has a row for each piece and one for none, and a column for each model."""
-        n, length = found[0].shape
-        alpha = np.zeros((length + 1, n, probs.shape[1]))
-        alpha[0] = 1
-        for t in range(1, length + 1):
-            for size in range(1, min(len(found), t) + 1):
-                p = probs[found[size - 1][:, t - size]]
-                alpha[t] += alpha[t - size] * (np.maximum(p, UNCOVERED) if size == 1 else p)
-        return alpha
+    def _weights(self, found: list, n: int, length: int, probs: np.ndarray, log: bool) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Per size: places, their weights, and where each start's places begin. Each character has a weight."""
+        out = []
+        for size, (at, piece) in enumerate(found, 1):
+            if size == 1:
+                single = np.full(n * length, self.size)
+                single[at] = piece
+                at, weight = np.arange(n * length), np.maximum(probs[single], UNCOVERED)
+            else:
+                weight = probs[piece]
+            if log:
+                with np.errstate(divide="ignore"):
+                    weight = np.log(weight)
+            out.append((at, weight, np.searchsorted(at, np.arange(length + 1) * n)))
+        return out
 
-    def log_likelihoods(self, words: list[str], probs: np.ndarray) -> np.ndarray:
-        out = np.empty((len(words), probs.shape[1]))
+    def sums(self, weights: list, n: int, length: int, models: int, log: bool, backward: bool = False) -> np.ndarray:
+        """[t, word, model]: the summed weight of all segmentations of the first t characters, or,
+        backward, of those from character t on."""
+        out = np.full((length + 1, n, models), -np.inf if log else 0.0)
+        out[length if backward else 0] = 0.0 if log else 1.0
+        steps = range(length - 1, -1, -1) if backward else range(1, length + 1)
+        for t in steps:
+            for size, (at, weight, begins) in enumerate(weights, 1):
+                start = t if backward else t - size
+                if start < 0 or start + size > length:
+                    continue
+                a, b = begins[start], begins[start + 1]
+                if a == b:
+                    continue
+                rows = at[a:b] - start * n
+                other = out[start + size if backward else start, rows]
+                if log:
+                    out[t, rows] = np.logaddexp(out[t, rows], other + weight[a:b])
+                else:
+                    out[t, rows] += other * weight[a:b]
+        return out
+
+    @staticmethod
+    def _by_length(words: list[str]) -> Iterator[tuple[int, np.ndarray]]:
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         for length in np.unique(lengths):
-            rows = np.flatnonzero(lengths == length)
-            for at in range(0, len(rows), 20_000):
-                part = rows[at : at + 20_000]
-                alpha = self.forward(self.pieces(_codes([words[i] for i in part])), probs)
-                out[part] = np.log(np.maximum(alpha[-1], 1e-300))
+            rows, step = np.flatnonzero(lengths == length), max(1, CHARACTERS_TOGETHER // int(length))
+            for at in range(0, len(rows), step):
+                yield int(length), rows[at : at + step]
+
+    def log_likelihoods(self, words: list[str], probs: np.ndarray) -> np.ndarray:
+        """Of each word (none is empty) under each model: the log of the sum over all segmentations.
+        ``probs`` has a row for each piece and one of zeros, and a column for each model."""
+        out = np.empty((len(words), probs.shape[1]))
+        for length, rows in self._by_length(words):
+            log = length > PLAIN_LENGTH
+            found = self.pieces(_codes([words[i] for i in rows]))
+            total = self.sums(self._weights(found, len(rows), length, probs, log), len(rows), length, probs.shape[1], log)[-1]
+            out[rows] = total if log else np.log(np.maximum(total, 1e-300))
         return out
 
     def expected(self, words: list[str], counts: np.ndarray, probs: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece (and of none) under a single model, over all segmentations."""
+        """Expected uses of each piece (and, last, nothing) under a single model, over all segmentations."""
         out = np.zeros(self.size + 1)
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        for length in np.unique(lengths):
-            rows = np.flatnonzero(lengths == length)
-            for at in range(0, len(rows), 20_000):
-                part = rows[at : at + 20_000]
-                found = self.pieces(_codes([words[i] for i in part]))
-                alpha = self.forward(found, probs[:, None])[:, :, 0]
-                beta = np.zeros_like(alpha)
-                beta[length] = 1
-                for t in range(length - 1, -1, -1):
-                    for size in range(1, min(len(found), length - t) + 1):
-                        p = probs[found[size - 1][:, t]]
-                        beta[t] += beta[t + size] * (np.maximum(p, UNCOVERED) if size == 1 else p)
-                weight = counts[part] / np.maximum(alpha[length], 1e-300)
-                for size in range(1, len(found) + 1):
-                    for t in range(length - size + 1):
-                        piece = found[size - 1][:, t]
-                        out += np.bincount(piece, weight * alpha[t] * probs[piece] * beta[t + size], self.size + 1)
+        for length, rows in self._by_length(words):
+            n, log = len(rows), length > PLAIN_LENGTH
+            found = self.pieces(_codes([words[i] for i in rows]))
+            weights = self._weights(found, n, length, probs[:, None], log)
+            alpha, beta = (self.sums(weights, n, length, 1, log, backward).ravel() for backward in (False, True))
+            whole = alpha[length * n :]
+            for size, (at, piece) in enumerate(found, 1):
+                word = at % n
+                if log:
+                    with np.errstate(divide="ignore"):
+                        use = np.exp(alpha[at] + np.log(probs[piece]) + beta[at + size * n] - whole[word])
+                else:
+                    use = alpha[at] * probs[piece] * beta[at + size * n] / np.maximum(whole[word], 1e-300)
+                out += np.bincount(piece, use * counts[rows][word], self.size + 1)
         return out
 
 
@@ -142,7 +183,7 @@ def lattice(path: str) -> Lattice:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
         counts: Counter = Counter()
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             counts.update((lang, w) for w in parts(text.as_py() or ""))
@@ -205,10 +246,10 @@ def _predict(batches: Iterator[pa.RecordBatch], path: str, langs: list[str], sen
         if len(known) > CACHED_WORDS:
             known.clear()
         texts = [t.as_py() for t in batch.column(1)]
-        split = [parts(t) if t and _LETTER.search(t) and langs else None for t in texts]
+        split = [parts(t) if langs and has_letter(t) else None for t in texts]
         new = list({w for words in split if words for w in words if w not in known})
-        for at in range(0, len(new), 50_000):
-            part = new[at : at + 50_000]
+        for at in range(0, len(new), 20_000):
+            part = new[at : at + 20_000]
             known.update(zip(part, found.log_likelihoods(part, probs)))
         names, scores = [], []
         for words in split:
@@ -231,7 +272,8 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
       prediction depends on the text alone. Equal texts get equal predictions.
     * ``score`` is the posterior probability of the predicted language. Ties go to the first
       language by name.
-    * A text that is null or has no letter is "und" with score 0; so is all if nothing was learned.
+    * Words of any length and pieces of any length take part; text is lower-cased.
+    * A text that is null or has no letter (``str.isalpha``) is "und" with score 0; so is all if nothing was learned.
     """
     path = pieces or vocabulary("piece_bpe_32k.model")
     train_rows = docs.where(remainder(F.col(id_col), folds) != held).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))

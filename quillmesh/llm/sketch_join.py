@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmesh.llm.links import components
+from quillmesh.llm.texts import distinct_texts
 from quillmesh.llm.words import ascii_words, freeing, mix, shingles, sorted_groups, word_hashes
 from quillmesh.storage import materialize, small_side
 
@@ -29,7 +30,9 @@ BAND_RATIO = 1.4
 SEEDS = 4
 SKETCH_BITS = 1024
 #: Keys that a task holds before it sends them on.
-HELD_KEYS = 2_000_000
+HELD_KEYS = 500_000
+#: Text whose block values meet in one bucket.
+BYTES_PER_BUCKET = 4_000_000
 #: Members of a block value that are compared with as many others in one task.
 GROUP_BLOCK = 512
 #: Pairs per component and block value that the rounds test; None: all.
@@ -156,6 +159,7 @@ def _emit(batches: Iterator[pa.RecordBatch], k: int, bands: Bands, buckets: int)
         yield from flush()
 
 
+@freeing
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Members of the block values that several tasks sent, hung on the smallest id."""
     for group in sorted_groups(batches, "bucket"):
@@ -186,19 +190,32 @@ def _hamming(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, meta: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that link: by size, then sketch, then whole sets."""
+def _close(pairs: DataFrame, meta: DataFrame, num: int, den: int) -> DataFrame:
+    """``a, b, na, nb, apart``: the pairs (a, b) that sizes and sketches don't exclude."""
     left = meta.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     right = meta.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    close = pairs.join(left, "a").join(right, "b").where(_near(F.col("na"), F.col("nb"), num, den))
-    close = close.where(_hamming(F.col("sa"), F.col("sb")) * (den + num) <= (F.col("na") + F.col("nb")) * (den - num))
-    close = materialize(close.select("a", "b", "na", "nb"), "close")
+    sized = pairs.join(left, "a").join(right, "b").where(_near(F.col("na"), F.col("nb"), num, den)).withColumn("apart", _hamming(F.col("sa"), F.col("sb")))
+    close = sized.where(F.col("apart") * (den + num) <= (F.col("na") + F.col("nb")) * (den - num))
+    return materialize(close.select("a", "b", "na", "nb", "apart"), "close")
+
+
+def _linked(close: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """The pairs of ``close`` (a, b, na, nb) whose whole sets link."""
     ends = materialize(close.select(F.col("a").alias("doc")).union(close.select(F.col("b").alias("doc"))).distinct(), "ends")
     sets = texts.join(small_side(ends), "doc", "left_semi").mapInArrow(lambda x: _sets(x, k), "doc long, items array<long>")
     sets = materialize(sets.dropDuplicates(["doc"]), "sets")
     full = close.join(sets.select(F.col("doc").alias("a"), F.col("items").alias("ia")), "a").join(sets.select(F.col("doc").alias("b"), F.col("items").alias("ib")), "b")
     both = F.size(F.array_intersect("ia", "ib"))
-    return full.where(both * den >= (F.col("na") + F.col("nb") - both) * num).select("a", "b")
+    return materialize(full.where(both * den >= (F.col("na") + F.col("nb") - both) * num).select("a", "b"), "links")
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose ends are not yet in one component."""
+    named = pairs
+    for end in ("a", "b"):
+        label = labels.select(F.col("doc").alias(end), F.col("component").alias(f"of_{end}"))
+        named = named.join(label, end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
+    return named.where("of_a <> of_b").drop("of_a", "of_b")
 
 
 def _nth(label: np.ndarray) -> np.ndarray:
@@ -211,6 +228,7 @@ def _nth(label: np.ndarray) -> np.ndarray:
     return out
 
 
+@freeing
 def _between(batches: Iterator[pa.RecordBatch], num: int, den: int, nearest: int | None) -> Iterator[pa.RecordBatch]:
     """Pairs of one block value that lie in different components and that size and sketch admit:
     the nearest ones of each component, or all."""
@@ -260,60 +278,69 @@ def _leftover_pairs(members: DataFrame, labels: DataFrame, meta: DataFrame, num:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, num: int = 90, den: int = 100) -> DataFrame:
-    """One row per input row: ``doc_id, n_shingles, component_id``.
+    """One row per input row: ``doc_id, n_shingles, component_id, text_hash`` (of 128 bits of the
+    text with A-Z lower-cased).
 
     * A text's set are its distinct ``k``-word shingles (A-Z lower-cased); fewer words are one
       shingle; no words, or null, an empty set that links with nothing.
-    * Sets link when ``den * intersection >= num * union``; ``component_id`` is the smallest id
-      reachable by links. Shingles are compared by 64-bit, copies of a text by 128-bit hashes.
-    * A row with a null id keeps a null ``component_id`` and links nothing. Rows that repeat an id
-      are one document for links. An empty table gives an empty result.
+    * Sets link when ``den * intersection >= num * union``; ``component_id`` is the smallest id among
+      the rows of all texts reachable by links. Shingles are compared by 64-bit, copies of a text by
+      128-bit hashes.
+    * Rows link by their text: rows that repeat an id with other texts may lie in several components.
+      Rows with a null id link like others, but their id is no ``component_id``, which is null where
+      no linked row has an id. An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    lowered = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    prints = materialize(rows.select("doc", F.unhex(F.md5(lowered)).alias("h")), "prints")
-    firsts = materialize(prints.groupBy("h").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("rows")), "firsts")
-    copies = prints.join(small_side(firsts.where("rows > 1")), "h").where("doc IS NULL OR doc <> rep").select("doc")
-    texts = rows.where("doc IS NOT NULL").join(small_side(materialize(copies.distinct(), "copies")), "doc", "left_anti")
+    lowered = F.translate(F.coalesce(F.col(text_col), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    prints, classes, texts = distinct_texts(docs.select(F.col(id_col).alias("doc"), lowered.alias("text")), "doc", "text")
+    texts = texts.withColumnRenamed("key", "doc")
 
     bands = Bands(num, den)
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text_col))), F.lit(0))).first()[0]
+    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // BYTES_PER_BUCKET)
     emitted = materialize(texts.mapInArrow(lambda x: _emit(x, k, bands, buckets), EMITTED), "sketches")
     meta = emitted.where("n IS NOT NULL").select("doc", "n", "sketch").dropDuplicates(["doc"])
     sent = emitted.where("bucket IS NOT NULL").select("bucket", "keys", "docs")
     met = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_meet, "key long, doc long, hub long")
     hung = materialize(emitted.where("hub IS NOT NULL").select("key", "doc", "hub").unionByName(met), "hung")
 
-    pairs = hung.select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct()
-    links = materialize(_verified(pairs, texts, meta, k, num, den), "links")
+    # whole sets are compared with the nearest hub first, then only between different components
+    pairs = materialize(hung.select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct(), "pairs")
+    close = _close(pairs, meta, num, den)
+    nearest = close.groupBy("b").agg(F.min(F.struct("apart", "a", "na", "nb")).alias("x")).select("x.a", "b", "x.na", "x.nb")
+    links = _linked(nearest, texts, k, num, den)
     labels = components(links)
+    rest = materialize(_apart(close.join(nearest.select("a", "b"), ["a", "b"], "left_anti"), labels), "rest")
+    if not rest.isEmpty():
+        labels = _merged(labels, _linked(rest, texts, k, num, den))
     members = hung.select("key", "doc").unionByName(hung.select("key", F.col("hub").alias("doc"))).distinct()
     members = materialize(members, "members")
-    tested = materialize(pairs, "tested")
+    tested = pairs
     for nearest in NEAREST:
         more = _leftover_pairs(members, labels, meta, num, den, nearest)
         more = materialize(more.join(tested, ["a", "b"], "left_anti"), "leftover")
         if more.isEmpty():
             continue
         tested = tested.unionByName(more)
-        found = materialize(_verified(more, texts, meta, k, num, den), "links")
-        if found.isEmpty():
-            continue
-        labels = components(labels.select(F.col("doc").alias("a"), F.col("component").alias("b")).unionByName(found))
-
-    known = firsts.join(meta.select(F.col("doc").alias("rep"), "n"), "rep", "left").join(labels.withColumnRenamed("doc", "rep"), "rep", "left")
-    size = F.coalesce("n", F.lit(0))
-    # a text whose rows all have null ids has no sketch: its size is counted here
-    unnamed = rows.where("doc IS NULL").mapInArrow(lambda x: _sets(x, k), "doc long, items array<long>").select("doc", F.size("items").cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
-    named = prints.where("doc IS NOT NULL").join(known, "h").select(
-        "doc", size.alias("n_shingles"), F.when(size == 0, F.col("doc")).otherwise(F.coalesce("component", "rep")).alias("component_id")
-    )
-    return named.unionByName(unnamed).withColumnRenamed("doc", "doc_id")
+        found = _linked(_close(more, meta, num, den), texts, k, num, den)
+        if not found.isEmpty():
+            labels = _merged(labels, found)
+
+    by_key = classes.join(meta.select(F.col("doc").alias("key"), "n"), "key", "left").join(labels.withColumnRenamed("doc", "key"), "key", "left")
+    by_key = by_key.select("h", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("component", "key").alias("component"))
+    known = materialize(prints.groupBy("h").agg(F.min("doc").alias("rep")).join(by_key, "h"), "known")
+    several = known.groupBy("component").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("texts")).where("texts > 1").drop("texts")
+    named = known.join(several, "component", "left").select("h", F.col("n").alias("n_shingles"), F.coalesce("least", "rep").alias("least"))
+    return prints.join(named, "h").select(F.col("doc").alias("doc_id"), "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc")).otherwise(F.col("least")).alias("component_id"), F.col("h").alias("text_hash"))
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of earlier ones and new links."""
+    return components(labels.select(F.col("doc").alias("a"), F.col("component").alias("b")).unionByName(links))
 
 
 def op4_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("text_hash")
 
 
 QUERIES = {"op4_parity_sketch_join": op4_parity_sketch_join}
