@@ -49,10 +49,17 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: of each component of near duplicates the smallest id stays."""
-    found = near_duplicates(docs, k=SHINGLE_WORDS, num=SIMILARITY, den=100).where("component_id <> doc_id")
-    gone = small_side(materialize(found.select(F.col("doc_id").alias("__dropped_id")).distinct(), "dropped"))
-    return docs.join(gone, F.col("doc_id") == F.col("__dropped_id"), "left_anti")
+    """Operator 4: of each component of near duplicates the smallest id stays, with the smallest text
+    hash if that id has several texts there. Rows without an id go where a linked row has one."""
+    found = near_duplicates(docs, k=SHINGLE_WORDS, num=SIMILARITY, den=100).where("n_shingles > 0 AND component_id IS NOT NULL")
+    found = materialize(found.select("doc_id", "component_id", F.col("text_hash").alias("lowered_hash")), "near")
+    several = F.col("doc_id").isNull() | (F.col("doc_id") != F.col("component_id"))
+    twice = found.where("doc_id = component_id").groupBy("doc_id").agg(F.min("lowered_hash").alias("first"), F.max("lowered_hash").alias("last")).where("first <> last")
+    twice = found.where("doc_id = component_id").join(twice.select("doc_id", "first"), "doc_id").where("lowered_hash <> first")
+    dropped = found.where(several).select("doc_id", "lowered_hash").unionByName(twice.select("doc_id", "lowered_hash")).distinct()
+    gone = small_side(materialize(dropped.select(F.col("doc_id").alias("__dropped_id"), F.col("lowered_hash").alias("__dropped_hash")), "dropped"))
+    lowered = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__dropped_id")) & (F.unhex(F.md5(lowered)) == F.col("__dropped_hash")), "left_anti")
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
