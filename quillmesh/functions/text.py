@@ -6,17 +6,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SERIALIZER_VERSION = "1"
+# fixed values: what makes a page a shell of scripts
 SHELL_VISIBLE_BYTES, SHELL_SCRIPT_SHARE = 200, 0.4
 
 
+def stripped(text: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+
+
 def claim(line: Column) -> Column:
     """What stands before the first colon, or the whole line."""
-    return F.when(F.instr(line, ":") > 0, F.trim(F.substring_index(line, ":", 1))).otherwise(line)
+    return F.when(F.instr(line, ":") > 0, stripped(F.substring_index(line, ":", 1))).otherwise(line)
 
 
 def value(line: Column) -> Column:
     """What stands after the first colon, later colons included, or the whole line."""
-    return F.when(F.instr(line, ":") > 0, F.trim(F.substr(line, F.instr(line, ":") + 1))).otherwise(line)
+    return F.when(F.instr(line, ":") > 0, stripped(F.substr(line, F.instr(line, ":") + 1))).otherwise(line)
 
 
 def canonical(evidence_type: Column, role: Column, section: Column, context: Column) -> Column:
@@ -37,8 +43,9 @@ def is_shell(html: Column, content_type: Column) -> Column:
 
 
 def shortened(text: Column, most: int = 160) -> Column:
-    flat = F.trim(F.regexp_replace(text, "\n", " "))
-    return F.when(F.length(flat) > most, F.concat(F.substring(flat, 1, most), F.lit("…"))).otherwise(flat)
+    """On one line, of at most ``most`` characters, the last an ellipsis where something is cut off."""
+    flat = stripped(F.replace(text, F.lit("\n"), F.lit(" ")))
+    return F.when(F.length(flat) > most, F.concat(F.substring(flat, 1, most - 1), F.lit("…"))).otherwise(flat)
 
 
 def byte_text(size: Column) -> Column:
@@ -63,6 +70,11 @@ def html_escaped(text: Column) -> Column:
     return out
 
 
+def json_in_html(json_text: Column) -> Column:
+    """JSON that can stand in a script element."""
+    return F.replace(json_text, F.lit("</"), F.lit("<\\/"))
+
+
 def sha256_text(text: Column) -> Column:
     return F.sha2(F.encode(F.coalesce(text, F.lit("")), "utf-8"), 256)
 

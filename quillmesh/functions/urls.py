@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import mimetypes
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -89,9 +92,38 @@ EXTENSIONS = {
 }
 
 
+@cache
+def _registered() -> dict[str, str]:
+    """The extension that the standard library gives each registered type."""
+    known = mimetypes.MimeTypes()
+    return {kind: found for kind in sorted(set(known.types_map[True].values())) if (found := known.guess_extension(kind))}
+
+
+def _by_type(table: dict[str, str], content_type: Column) -> Column:
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), content_type)
+
+
 def extension(content_type: Column) -> Column:
-    known = F.create_map(*[F.lit(x) for pair in EXTENSIONS.items() for x in pair])
-    return F.coalesce(F.try_element_at(known, content_type), F.lit(".bin"))
+    return F.coalesce(_by_type(_registered() | EXTENSIONS, content_type), F.lit(".bin"))
+
+
+def viewed_extension(content_type: Column, raw_location: Column) -> Column:
+    """Suffix of a file in the viewer, without a dot: by category, then text, then the type's own."""
+    kind = F.lower(F.coalesce(content_type, F.lit("")))
+    category = viewed_category(content_type, raw_location)
+    own = F.substring(_by_type(_registered(), kind), 2, 100)
+    return F.when(category != "other", category).when(kind.contains("plain") | kind.contains("text"), "txt").otherwise(F.coalesce(own, F.lit("data")))
+
+
+def viewed_folder(suffix: Column) -> Column:
+    """Folder of an exported file, by its suffix."""
+    return F.when(suffix.isin("html", "htm"), "html").when(suffix.isin("xml", "rss", "atom"), "xml").when(suffix.isin("pdf", "json"), suffix).otherwise("other")
+
+
+def source_kind(url: Column) -> Column:
+    """How a source is read, by its scheme: "http", "file", or null where no reader exists."""
+    named = F.lower(scheme(url))
+    return F.when(named.isin("http", "https"), "http").when(named.isin("file", ""), "file")
 
 
 def file_name(url: Column, checksum: Column, suffix: Column) -> Column:
@@ -121,4 +153,5 @@ def resolve(base: Column, href: Column) -> Column:
 
 def redacted(text: Column) -> Column:
     """Without user and password of URLs."""
+    # fixed value: what counts as credentials
     return F.regexp_replace(text, r"(://)[^/@\s]+:[^/@\s]+@", "$1")

@@ -45,6 +45,21 @@ def absent(rows: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     return rows.join(existing.select(key), key, "left_anti")
 
 
+def is_allowed(content_type_column, allowed: list[str]):
+    """Whether a resolved content type is exactly one of the allowed."""
+    return F.coalesce(content_type_column.isin(*allowed), F.lit(False))
+
+
+def find(rows: DataFrame, order: list[str], required: bool = False, **wanted) -> DataFrame:
+    """The first row with the wanted values, or none; an error if one is ``required``."""
+    for name, value in wanted.items():
+        rows = rows.where(F.col(name).eqNullSafe(value))
+    found = rows.orderBy(*order).limit(1)
+    if required and found.isEmpty():
+        raise LookupError(f"no row with {wanted}")
+    return found
+
+
 def content_groups(rows: DataFrame, id_col: str, content: str) -> DataFrame:
     """``sha256, first_id, copies, byte_size`` of distinct contents."""
     sized = rows.select(F.col(id_col).alias("id"), tx.sha256_text(F.col(content)).alias("sha256"), F.octet_length(F.coalesce(content, F.lit(""))).alias("size"))

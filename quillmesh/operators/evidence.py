@@ -6,7 +6,7 @@ A lines table has artifact_id, page_number, line_no, text and a box l, t, r, b (
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmesh.functions import text as tx
@@ -15,8 +15,18 @@ HEADING_RATIO = 1.5
 ROW_TOLERANCE = 4.0
 
 
+def filled(lines: DataFrame) -> DataFrame:
+    """``lines`` with their text stripped, without blank ones, which count nowhere."""
+    return lines.withColumn("text", tx.stripped(F.col("text"))).where(F.col("text") != "")
+
+
+def location(left: Column, top: Column, right: Column, bottom: Column) -> Column:
+    return F.format_string("x0=%.2f,y0=%.2f,x1=%.2f,y1=%.2f", *(c.cast("double") for c in (left, top, right, bottom)))
+
+
 def headings(lines: DataFrame, height: str = "height") -> DataFrame:
-    """``lines`` with ``is_heading``: at least 1.5 times as high as the median line of the page."""
+    """The filled lines with ``is_heading``: at least 1.5 times as high as the page's median line."""
+    lines = filled(lines)
     medians = lines.groupBy("artifact_id", "page_number").agg(F.median(height).alias("__median"))
     flag = F.col(height) >= HEADING_RATIO * F.col("__median")
     return lines.join(medians, ["artifact_id", "page_number"]).withColumn("is_heading", F.coalesce(flag, F.lit(False))).drop("__median")
@@ -29,8 +39,10 @@ def sections(lines: DataFrame) -> DataFrame:
 
 
 def text_evidence(lines: DataFrame) -> DataFrame:
-    """One row a line: claim, value, role, section and canonical text; blank lines give none."""
-    rows = sections(headings(lines)).where(F.trim("text") != "")
+    """One row a line: claim, value, role, section and canonical text, and the location of lines with
+    a box; blank lines give none."""
+    rows = sections(headings(lines))
+    boxed = set("ltrb") <= set(lines.columns)
     role = F.when(F.col("is_heading"), "heading").otherwise("text")
     return rows.select(
         "artifact_id",
@@ -42,6 +54,7 @@ def text_evidence(lines: DataFrame) -> DataFrame:
         F.lit("text").alias("evidence_type"),
         role.alias("role"),
         "section",
+        (location(*map(F.col, "ltrb")) if boxed else F.lit(None).cast("string")).alias("location"),
         tx.canonical(F.lit("text"), role, F.col("section"), F.col("text")).alias("canonical_text"),
         F.lit(tx.SERIALIZER_VERSION).alias("canonical_serializer_version"),
     )
@@ -60,8 +73,9 @@ def table_rows(cells: list[tuple[float, float, int]], tolerance: float = ROW_TOL
 
 
 def tables(lines: DataFrame) -> DataFrame:
-    """``artifact_id, page_number, headers, rows, location, section``: the table of a page, if at
-    least two rows of several cells are equally wide; the first is the header.
+    """``artifact_id, page_number, headers, rows, location, section, evidence_type, claim, value,
+    supporting_context``: the table of a page, if at least two rows of several cells are equally wide;
+    the first is the header. The location's y0 is the top.
 
     One page is a group; pages are small. The section is that of the page's last line.
     """
@@ -77,25 +91,52 @@ def tables(lines: DataFrame) -> DataFrame:
         box = by_line.loc[[n for row in wide for n in row]]
         texts = [[by_line.loc[n, "text"] for n in row] for row in wide]
         # Python's rounding of the box differs from the JVM's, and is what readers of the text expect
-        place = f"x0={box['l'].min():.2f},y0={box['b'].min():.2f},x1={box['r'].max():.2f},y1={box['t'].max():.2f}"
+        place = f"x0={box['l'].min():.2f},y0={box['t'].max():.2f},x1={box['r'].max():.2f},y1={box['b'].min():.2f}"
         return pd.DataFrame([(pdf["artifact_id"].iloc[0], pdf["page_number"].iloc[0], texts[0], texts[1:], place, pdf["section"].iloc[-1])], columns=["artifact_id", "page_number", "headers", "rows", "location", "section"])
 
     rows = sections(headings(lines)).select("artifact_id", "page_number", "line_no", "text", "section", *(F.col(c).cast("double").alias(c) for c in "ltrb"))
-    return rows.groupBy("artifact_id", "page_number").applyInPandas(build, schema)
+    found = rows.groupBy("artifact_id", "page_number").applyInPandas(build, schema)
+    header = F.array_join("headers", " | ")
+    context = F.array_join(F.concat(F.array(header), F.transform("rows", lambda row: F.array_join(row, " | "))), "\n")
+    return found.select("*", F.lit("table").alias("evidence_type"), F.lit("Table").alias("claim"), header.alias("value"), context.alias("supporting_context"))
+
 
+def page_sections(lines: DataFrame, pages: DataFrame) -> DataFrame:
+    """``artifact_id, page_number, section``: the section at the end of each of ``pages``."""
+    own = sections(headings(lines)).groupBy("artifact_id", "page_number").agg(F.max_by("section", "line_no").alias("section"))
+    every = pages.select("artifact_id", "page_number").union(own.select("artifact_id", "page_number")).distinct().join(own, ["artifact_id", "page_number"], "left")
+    order = Window.partitionBy("artifact_id").orderBy("page_number").rowsBetween(Window.unboundedPreceding, 0)
+    return every.withColumn("section", F.last("section", ignorenulls=True).over(order))
 
-def visuals(bitmaps: DataFrame) -> DataFrame:
-    """One evidence row a bitmap."""
+
+def visuals(bitmaps: DataFrame, lines: DataFrame) -> DataFrame:
+    """One evidence row a bitmap (artifact_id, page_number, bitmap_no, l, t, r, b), in the section at its
+    page's end."""
     context = F.concat(F.lit("Embedded image on page "), F.col("page_number"))
-    return bitmaps.select("artifact_id", "page_number", "bitmap_no", F.lit("visual").alias("evidence_type"), F.lit("bitmap").alias("kind"), context.alias("supporting_context"))
+    return bitmaps.join(page_sections(lines, bitmaps), ["artifact_id", "page_number"], "left").select(
+        "artifact_id",
+        "page_number",
+        "bitmap_no",
+        F.lit("visual").alias("evidence_type"),
+        F.lit("bitmap").alias("kind"),
+        F.lit("Embedded image").alias("claim"),
+        F.lit("bitmap").alias("value"),
+        context.alias("supporting_context"),
+        location(*map(F.col, "ltrb")).alias("location"),
+        "section",
+    )
 
 
-def extraction_metadata(evidence: DataFrame) -> DataFrame:
-    """Counts by role of each artifact's text evidence."""
-    return evidence.groupBy("artifact_id").agg(
+def extraction_metadata(evidence: DataFrame, found_tables: DataFrame | None = None, found_visuals: DataFrame | None = None) -> DataFrame:
+    """Counts of each artifact's evidence; headings are text too. ``page_count`` is of pages with text."""
+    out = evidence.groupBy("artifact_id").agg(
         F.count_distinct("page_number").alias("page_count"),
-        F.count_if(F.col("role") == "text").alias("text_count"),
+        F.count(F.lit(1)).alias("text_count"),
         F.count_if(F.col("role") == "heading").alias("heading_count"),
     )
+    for name, rows in (("table_count", found_tables), ("visual_count", found_visuals)):
+        if rows is not None:
+            out = out.join(rows.groupBy("artifact_id").agg(F.count(F.lit(1)).alias(name)), "artifact_id", "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    return out
 
 

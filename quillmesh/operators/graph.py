@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,7 +51,9 @@ def crawl(captured: DataFrame, links: DataFrame, root: str, most_depth: int = 2,
     host = urls.domain(F.lit(root))
     start = spark.range(1).select(F.posexplode(urls.seeds(F.lit(root))).alias("place", "url")).select("place", normal(F.col("url")).alias("url"), F.lit(0).alias("depth"), F.lit(None).cast("string").alias("parent"))
     queue, waves, spent, last = materialize(start, "queue"), [], 0, -1
-    for wave in range(most_hops):
+    for wave in count():
+        if wave == most_hops:
+            raise RuntimeError(f"the crawl hasn't ended after {most_hops} waves")
         first = Window.partitionBy("url").orderBy("place")
         fresh = queue.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")
         if waves:
@@ -81,16 +84,21 @@ def crawl(captured: DataFrame, links: DataFrame, root: str, most_depth: int = 2,
     return reduce(DataFrame.unionByName, waves).drop("place")
 
 
-def lineage(events: DataFrame, most_depth: int = 10_000) -> DataFrame:
+def lineage(events: DataFrame) -> DataFrame:
     """``run_id, event_id, depth, path`` of events reachable from an event without parent in their
-    run; ordering by path gives a pre-order walk. Orphans and cycles are left out."""
-    level = materialize(events.where("parent_event_id IS NULL").select("run_id", "event_id", F.lit(0).alias("depth"), F.array("event_id").alias("path")), "lineage")
-    levels = [level]
-    children = events.where("parent_event_id IS NOT NULL").select("run_id", "event_id", "parent_event_id")
-    for depth in range(1, most_depth):
-        above = level.select("run_id", F.col("event_id").alias("parent_event_id"), "path")
-        level = materialize(children.join(above, ["run_id", "parent_event_id"]).select("run_id", "event_id", F.lit(depth).alias("depth"), F.array_append("path", F.col("event_id")).alias("path")), "lineage")
-        if level.isEmpty():
+    run; ordering by path gives a pre-order walk. Orphans and cycles are left out.
+
+    Pointer doubling: each event knows its path below an ancestor, and takes over that ancestor's own
+    path, so that rounds are the logarithm of the depth. An event that ends in no root after as many
+    rounds as the number of events allows is in a cycle or hangs on one.
+    """
+    state = materialize(events.select("run_id", "event_id", F.col("parent_event_id").alias("above"), F.array("event_id").alias("path")), "lineage")
+    for _ in range(max(1, state.count()).bit_length() + 1):
+        open_ = state.where("above IS NOT NULL")
+        if open_.isEmpty():
             break
-        levels.append(level)
-    return reduce(DataFrame.unionByName, levels)
+        heads = state.select("run_id", F.col("event_id").alias("above"), F.col("above").alias("next"), F.col("path").alias("head"))
+        # the join drops events whose ancestor isn't there
+        moved = open_.join(heads, ["run_id", "above"]).select("run_id", "event_id", F.col("next").alias("above"), F.concat("head", "path").alias("path"))
+        state = materialize(state.where("above IS NULL").unionByName(moved), "lineage")
+    return state.where("above IS NULL").select("run_id", "event_id", (F.size("path") - 1).alias("depth"), "path")

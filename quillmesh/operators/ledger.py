@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from quillmesh.storage import materialize
 UNHEALTHY_AFTER = 3
 BACKOFF_BASE, BACKOFF_MOST = 1.0, 60.0
 
+
 def _success() -> Column:
     return F.col("final_result") == "SUCCESS"
 
@@ -198,3 +200,82 @@ def page_outcome(fetched: Column, supported: Column, extracted_before: Column, e
         .when(~extracted, "extraction_failed")
         .otherwise("acquired")
     )
+
+
+def crawl_counts(pages: DataFrame) -> DataFrame:
+    """``run_id, discovered, acquired, rejected`` of a crawl's visits (run_id, url, acquired boolean): URLs,
+    those with an artifact, and the difference."""
+    by_url = pages.groupBy("run_id", "url").agg(F.bool_or("acquired").alias("acquired"))
+    out = by_url.groupBy("run_id").agg(F.count(F.lit(1)).alias("discovered"), F.count_if("acquired").alias("acquired"))
+    return out.withColumn("rejected", F.col("discovered") - F.col("acquired"))
+
+
+def failures(attempts: DataFrame) -> DataFrame:
+    """Attempts without success, by state and then by time."""
+    return attempts.where(~_success()).orderBy("final_result", "occurred_at", "attempt_id")
+
+
+def failure_counts(attempts: DataFrame) -> DataFrame:
+    """``final_result, failures``, most frequent first."""
+    return attempts.where(~_success()).groupBy("final_result").agg(F.count(F.lit(1)).alias("failures")).orderBy(F.desc("failures"), "final_result")
+
+
+def sorted_by(rows: DataFrame, column: str, descending: bool = False, ties: tuple[str, ...] = ()) -> DataFrame:
+    """``rows`` by one column in either direction; nulls come last in both."""
+    order = F.desc_nulls_last(column) if descending else F.asc_nulls_last(column)
+    return rows.orderBy(order, *ties)
+
+
+def append(rows: DataFrame, path: str) -> None:
+    """Add rows to a ledger table; a table with other columns or types is refused."""
+    try:
+        existing = rows.sparkSession.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    else:
+        if dict(existing.dtypes) != dict(rows.dtypes):
+            raise ValueError(f"the table at {path} has {existing.dtypes}, not {rows.dtypes}")
+    rows.write.mode("append").parquet(path)
+
+
+def of_run(table: DataFrame, run_id, order: tuple[str, ...] = ("occurred_at", "attempt_id")) -> DataFrame:
+    """The rows of one run, in order."""
+    return table.where(F.col("run_id") == run_id).orderBy(*order)
+
+
+def redirect_chains(hops: DataFrame) -> DataFrame:
+    """``key, redirect_chain, final_url`` from hops (key, hop, url, status): an array of (url, status) in
+    order of the hops, and the last URL."""
+    gathered = hops.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("hop", "url", "status"))).alias("hops"))
+    return gathered.select("key", F.transform("hops", lambda h: F.struct(h["url"].alias("url"), h["status"].alias("status"))).alias("redirect_chain"), F.element_at("hops", -1)["url"].alias("final_url"))
+
+
+def redirect_hops(chains: DataFrame) -> DataFrame:
+    """``key, hop, url, status``: the hops of chains again, counted from 0."""
+    return chains.select("key", F.posexplode("redirect_chain").alias("hop", "x")).select("key", "hop", "x.url", "x.status")
+
+
+def escalated(attempts: DataFrame, dynamic: Column, browser_result: Column) -> DataFrame:
+    """The ledger with escalations: a successful HTTP attempt whose content is dynamic is recorded as
+    PENDING_RETRY and followed by a browser attempt with the same retry number, whose result is
+    ``browser_result``. ``step`` orders the two; the URL's last result is the browser's."""
+    up = _success() & (F.col("acquisition_method") == "http") & F.coalesce(dynamic, F.lit(False))
+    none = F.lit(None).cast("string")
+    kept = F.struct(F.lit(0).alias("step"), F.col("acquisition_method").alias("method"), F.col("final_result").alias("result"), none.alias("why"), none.alias("decision"))
+    http = F.struct(F.lit(0).alias("step"), F.lit("http").alias("method"), F.lit("PENDING_RETRY").alias("result"), F.lit("escalated_to_browser").alias("why"), F.lit("method_escalated").alias("decision"))
+    browser = F.struct(F.lit(1).alias("step"), F.lit("browser").alias("method"), browser_result.alias("result"), none.alias("why"), none.alias("decision"))
+    rows = attempts.withColumn("__x", F.explode(F.when(up, F.array(http, browser)).otherwise(F.array(kept))))
+    changed = {"acquisition_method": F.col("__x.method"), "final_result": F.col("__x.result"), "failure_classification": F.col("__x.why"), "adaptive_decision": F.col("__x.decision"), "step": F.col("__x.step")}
+    return rows.withColumns(changed).drop("__x")
+
+
+def run_states(events: DataFrame) -> DataFrame:
+    """``run_id, status, error_message`` after all events (run_id, event_id, event_type, status,
+    error_message) in order: every failure sets the run to failed with its message, a completion
+    (event_type "completion") sets its status and clears the message; without either it runs."""
+    failed = F.col("status") == "failed"
+    done = F.col("event_type") == "completion"
+    state = F.when(done, F.struct(F.col("status").alias("status"), F.lit(None).cast("string").alias("error_message"))).when(failed, F.struct(F.lit("failed").alias("status"), F.col("error_message").alias("error_message")))
+    last = F.max_by(state, F.when(state.isNotNull(), F.col("event_id"))).alias("x")
+    return events.groupBy("run_id").agg(last).select("run_id", F.coalesce("x.status", F.lit("running")).alias("status"), F.col("x.error_message").alias("error_message"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quillmesh.functions import text as tx
 from quillmesh.functions import urls
-from quillmesh.operators import artifacts, evidence, graph, ledger, retrieval, sampling
+from quillmesh.operators import artifacts, evidence, exports, graph, ledger, pools, retrieval, sampling
 from quillmesh.sources.links import anchor_hrefs
 from quillmesh.storage import materialize
 from quillmesh.streaming import ledger as ledger_stream
@@ -482,13 +482,13 @@ _STATUSES = [200, 429, 401, 403, 408, 404, 500, 302]
     f"""SELECT CASE WHEN f = 0 AND event_type = 'signup' THEN 'TIMEOUT' WHEN st = 429 THEN 'RATE_LIMITED' WHEN st IN (401, 403) THEN 'ACCESS_DENIED' WHEN st = 408 THEN 'TIMEOUT'
     WHEN st = 404 THEN 'NOT_FOUND' WHEN st >= 400 THEN 'NETWORK_ERROR' ELSE 'SUCCESS' END AS outcome,
     CASE WHEN f = 0 AND event_type = 'signup' THEN 'connect_timeout' WHEN st >= 400 THEN 'http_' || st END AS detail, count(*) AS attempts
-    FROM (SELECT event_type, event_id % 3 AS f, ({_STATUSES})[(floor(value)::BIGINT % 8 + 1)::INTEGER] AS st FROM events WHERE value >= 0) GROUP BY ALL"""
+    FROM (SELECT event_type, event_id % 3 AS f, ({_STATUSES})[((floor(value)::BIGINT % 8 + 8) % 8 + 1)::INTEGER] AS st FROM events) GROUP BY ALL"""
 )
 def http_outcome_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A status for each event by its value; every third signup had none."""
-    status = F.get(F.array(*map(F.lit, _STATUSES)), (F.floor("value") % 8).cast("int"))
+    status = F.get(F.array(*map(F.lit, _STATUSES)), F.pmod(F.floor("value"), F.lit(8)).cast("int"))
     failure = F.when((F.col("event_id") % 3 == 0) & (F.col("event_type") == "signup"), "timeout")
-    rows = table(spark, sf_dir, "events").where("value >= 0").select(status.alias("status"), failure.alias("failure"))
+    rows = table(spark, sf_dir, "events").select(status.alias("status"), failure.alias("failure"))
     pair = (F.col("status"), F.col("failure"))
     return rows.groupBy(ledger.outcome(*pair).alias("outcome"), ledger.outcome_detail(*pair).alias("detail")).agg(F.count(F.lit(1)).alias("attempts"))
 
@@ -519,21 +519,22 @@ def ledger_progress_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- evidence -----------------------------------------------------------------------------------
 
-_LINES = """n AS (SELECT doc_id, text AS line, line_no FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents))"""
+_LINES = r"""w AS (SELECT doc_id, regexp_replace(text, '^\s+|\s+$', '', 'g') AS line, line_no FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents)),
+n AS (SELECT * FROM w WHERE line <> '')"""
 _HEADED = f"""{_LINES}, m AS (SELECT doc_id, median(length(line)) AS m FROM n GROUP BY 1),
 g AS (SELECT n.*, length(line) >= 1.5 * m AS is_heading FROM n JOIN m USING (doc_id)),
 c AS (SELECT *, last_value(CASE WHEN is_heading THEN line END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section FROM g)"""
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of documents; a line's length stands for its height."""
+    """Lines of documents, blank ones included; a stripped line's length stands for its height."""
     rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("artifact_id"), F.lit(1).alias("page_number"), F.posexplode(F.split("text", "\n")).alias("line_no", "text"))
-    return rows.withColumn("height", F.length("text").cast("double"))
+    return rows.withColumn("height", F.length(tx.stripped(F.col("text"))).cast("double"))
 
 
 @register(
-    f"""WITH {_LINES}, v AS (SELECT doc_id, line_no, 'line ' || line_no || ': ' || line AS t FROM n)
-    SELECT doc_id, line_no, trim(split_part(t, ':', 1)) AS claim, md5(trim(substr(t, instr(t, ':') + 1))) AS value_md5 FROM v"""
+    rf"""WITH {_LINES}, v AS (SELECT doc_id, line_no, 'line ' || line_no || ': ' || line AS t FROM w)
+    SELECT doc_id, line_no, trim(split_part(t, ':', 1)) AS claim, md5(regexp_replace(substr(t, instr(t, ':') + 1), '^\s+|\s+$', '', 'g')) AS value_md5 FROM v"""
 )
 def claim_value_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines numbered as claims, since the texts have no colon of their own."""
@@ -555,7 +556,7 @@ def section_carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     f"""WITH {_HEADED} SELECT doc_id, line_no, md5(CASE WHEN is_heading OR coalesce(section, '') = '' THEN line ELSE section || ': ' || line END) AS canonical_md5
-    FROM c WHERE trim(line) <> ''"""
+    FROM c"""
 )
 def canonical_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = evidence.text_evidence(_lines(spark, sf_dir))
@@ -563,8 +564,8 @@ def canonical_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register(
-    f"""WITH {_HEADED} SELECT doc_id, 1::BIGINT AS page_count, count(*) FILTER (NOT is_heading) AS text_count, count(*) FILTER (is_heading) AS heading_count
-    FROM c WHERE trim(line) <> '' GROUP BY 1"""
+    f"""WITH {_HEADED} SELECT doc_id, 1::BIGINT AS page_count, count(*) AS text_count, count(*) FILTER (is_heading) AS heading_count
+    FROM c GROUP BY 1"""
 )
 def extraction_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evidence.extraction_metadata(evidence.text_evidence(_lines(spark, sf_dir))).withColumnRenamed("artifact_id", "doc_id")
@@ -612,8 +613,8 @@ def manifest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register(
-    f"""WITH {_LINES} SELECT unnest(['checksum is not sha-256', 'byte size is negative', 'source url is empty', 'claim is empty', 'value is empty', 'canonical text is empty']) AS rule,
-    unnest([0, 0, (SELECT count(*) FILTER (coalesce(url, '') = '') FROM pages), (SELECT count(*) FILTER (line = '') FROM n), (SELECT count(*) FILTER (line = '') FROM n), (SELECT count(*) FILTER (line = '') FROM n)])::BIGINT AS rows"""
+    f"""WITH {_LINES}, u AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) SELECT unnest(['checksum is not sha-256', 'byte size is negative', 'source url is empty', 'claim is empty', 'value is empty', 'canonical text is empty']) AS rule,
+    unnest([0, 0, (SELECT count(*) FILTER (coalesce(url, '') = '') FROM pages), (SELECT count(*) FILTER (line = '') FROM u), (SELECT count(*) FILTER (line = '') FROM u), (SELECT count(*) FILTER (line = '') FROM u)])::BIGINT AS rows"""
 )
 def constraint_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select(F.col("url").alias("source_url"), tx.sha256_text(F.col("html")).alias("checksum"), F.octet_length("html").alias("byte_size"))
@@ -631,7 +632,194 @@ def credential_redaction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register(
-    """SELECT doc_id, CASE WHEN length(t) > 160 THEN substr(t, 1, 160) || '…' ELSE t END AS shown FROM (SELECT doc_id, trim(replace(text, chr(10), ' ')) AS t FROM documents)"""
+    r"""SELECT doc_id, CASE WHEN length(t) > 160 THEN substr(t, 1, 159) || '…' ELSE t END AS shown FROM (SELECT doc_id, regexp_replace(replace(text, chr(10), ' '), '^\s+|\s+$', '', 'g') AS t FROM documents)"""
 )
 def truncated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", tx.shortened(F.col("text")).alias("shown"))
+
+
+# --- events, runs and reports -------------------------------------------------------------------
+
+_EVENTS = """x AS (SELECT cast(cast(ts AS DATE) AS VARCHAR) AS run_id, event_id, CASE event_type WHEN 'view' THEN 'discovery' WHEN 'signup' THEN 'completion' WHEN 'purchase' THEN 'extraction' ELSE 'acquisition' END AS event_type,
+  CASE WHEN event_type = 'error' OR (event_type = 'view' AND value < 5) THEN 'failed' ELSE 'succeeded' END AS status,
+  CASE WHEN event_type = 'error' OR (event_type = 'view' AND value < 5) THEN 'event ' || event_id END AS error_message, CASE WHEN event_type <> 'view' THEN user_id END AS artifact_id FROM events)"""
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of crawls: views stand for discoveries (rejected below 5), signups for completions of a
+    run (a day), purchases for extractions, errors for failed acquisitions, users for artifacts."""
+    kind = F.col("event_type")
+    failed = F.coalesce((kind == "error") | ((kind == "view") & (F.col("value") < 5)), F.lit(False))
+    return table(spark, sf_dir, "events").select(
+        F.col("ts").cast("date").cast("string").alias("run_id"),
+        "event_id",
+        F.when(kind == "view", "discovery").when(kind == "signup", "completion").when(kind == "purchase", "extraction").otherwise("acquisition").alias("event_type"),
+        F.when(failed, "failed").otherwise("succeeded").alias("status"),
+        F.when(failed, F.concat(F.lit("event "), F.col("event_id"))).alias("error_message"),
+        F.when(kind != "view", F.col("user_id")).alias("artifact_id"),
+    )
+
+
+@register(f"WITH {_EVENTS} SELECT event_type, status, count(*) AS events, min(event_id) AS first_event FROM x GROUP BY ALL")
+def event_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events(spark, sf_dir).groupBy("event_type", "status").agg(F.count(F.lit(1)).alias("events"), F.min("event_id").alias("first_event"))
+
+
+@register(f"WITH {_EVENTS} SELECT CASE event_type WHEN 'acquisition' THEN 0 ELSE 1 END AS branch, event_id, error_message FROM x WHERE status = 'failed' AND event_type IN ('acquisition', 'discovery')")
+def failed_and_rejected_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exports.failed_and_rejected(_events(spark, sf_dir)).select("branch", "event_id", "error_message")
+
+
+@register(f"WITH {_EVENTS} SELECT DISTINCT artifact_id FROM x WHERE event_type = 'acquisition' AND status = 'succeeded' AND artifact_id IS NOT NULL")
+def exported_artifact_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exports.exported_artifacts(_events(spark, sf_dir))
+
+
+@register(
+    f"""WITH {_EVENTS}, l AS (SELECT run_id, arg_max(event_id, event_id) FILTER (status = 'failed' OR event_type = 'completion') AS event_id FROM x GROUP BY 1)
+    SELECT l.run_id, CASE WHEN x.event_id IS NULL THEN 'running' WHEN x.event_type = 'completion' THEN x.status ELSE 'failed' END AS status, CASE WHEN x.event_type <> 'completion' THEN x.error_message END AS error_message
+    FROM l LEFT JOIN x ON x.event_id = l.event_id"""
+)
+def run_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of a run's status: the last failure, or the completion after it."""
+    return ledger.run_states(_events(spark, sf_dir))
+
+
+@register(f"WITH {_ATTEMPTS}, d AS (SELECT run_id, url, bool_or(final_result = 'SUCCESS') AS ok FROM a GROUP BY ALL) SELECT run_id, count(*) AS discovered, count(*) FILTER (ok) AS acquired, count(*) FILTER (NOT ok) AS rejected FROM d GROUP BY 1")
+def crawl_result_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    visits = _attempts(spark, sf_dir).select("run_id", "url", (F.col("final_result") == "SUCCESS").alias("acquired"))
+    return ledger.crawl_counts(visits)
+
+
+@register(f"WITH {_ATTEMPTS} SELECT final_result, attempt_id, url FROM a WHERE final_result <> 'SUCCESS'")
+def failures_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.failures(_attempts(spark, sf_dir)).select("final_result", "attempt_id", "url")
+
+
+@register(f"WITH {_ATTEMPTS} SELECT final_result, count(*) AS failures FROM a WHERE final_result <> 'SUCCESS' GROUP BY 1")
+def failures_by_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.failure_counts(_attempts(spark, sf_dir))
+
+
+@register(
+    f"""WITH {_ATTEMPTS}, u AS (SELECT url, count(*) AS attempts, count(*) FILTER (final_result = 'RATE_LIMITED') AS limited FROM a GROUP BY 1),
+    s AS (SELECT url, attempts, nullif(limited, 0) AS limited FROM u)
+    SELECT 'ascending' AS direction, * FROM (FROM s ORDER BY limited ASC NULLS LAST, url LIMIT 50) UNION ALL SELECT 'descending', * FROM (FROM s ORDER BY limited DESC NULLS LAST, url LIMIT 50)"""
+)
+def sources_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page of the table of sources, sorted by a column with nulls in both directions."""
+    limited = F.count_if(F.col("final_result") == "RATE_LIMITED")
+    rows = _attempts(spark, sf_dir).groupBy("url").agg(F.count(F.lit(1)).alias("attempts"), F.nullif(limited, F.lit(0)).alias("limited"))
+    up, down = (ledger.sorted_by(rows, "limited", descending, ("url",)).limit(50) for descending in (False, True))
+    return up.select(F.lit("ascending").alias("direction"), "*").unionByName(down.select(F.lit("descending").alias("direction"), "*"))
+
+
+@register(
+    f"""WITH {_ATTEMPTS}, e AS (SELECT *, final_result = 'SUCCESS' AND acquisition_method = 'http' AND attempt_id % 3 = 0 AS up FROM a),
+    r AS (SELECT run_id, url, occurred_at, attempt_id, retry_number, 0 AS step, acquisition_method, CASE WHEN up THEN 'PENDING_RETRY' ELSE final_result END AS final_result FROM e
+          UNION ALL SELECT run_id, url, occurred_at, attempt_id, retry_number, 1, 'browser', CASE WHEN attempt_id % 2 = 0 THEN 'SUCCESS' ELSE 'BROWSER_ERROR' END FROM e WHERE up)
+    SELECT run_id, url, count(*) AS attempts, arg_max(final_result, (occurred_at, attempt_id, step)) AS final_result, max(retry_number) AS retries FROM r GROUP BY ALL"""
+)
+def browser_escalation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third HTTP success had dynamic content; of the browser attempts every other succeeded. The
+    last attempt of a URL decides, the browser's after the HTTP attempt of the same retry number."""
+    third, even = F.col("attempt_id") % 3 == 0, F.col("attempt_id") % 2 == 0
+    rows = ledger.escalated(ledger.with_retry_numbers(_attempts(spark, sf_dir)), third, F.when(even, "SUCCESS").otherwise("BROWSER_ERROR"))
+    return rows.groupBy("run_id", "url").agg(F.count(F.lit(1)).alias("attempts"), F.max_by("final_result", F.struct("occurred_at", "attempt_id", "step")).alias("final_result"), F.max("retry_number").cast("long").alias("retries"))
+
+
+@register(
+    """WITH h AS (SELECT conv_id AS key, turn AS hop, 'https://' || role || '.example/' || conv_id || '/' || turn AS url, CASE WHEN length(text) % 2 = 0 THEN 301 ELSE 302 END AS status FROM conversations)
+    SELECT key, count(*) AS hops, string_agg(status || ' ' || url, ' > ' ORDER BY hop, url, status) AS chain, arg_max(url, (hop, url, status)) AS final_url FROM h GROUP BY key"""
+)
+def redirect_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of a conversation as hops of a redirect."""
+    hops = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").alias("key"),
+        F.col("turn").alias("hop"),
+        F.concat(F.lit("https://"), "role", F.lit(".example/"), "conv_id", F.lit("/"), "turn").alias("url"),
+        F.when(F.length("text") % 2 == 0, 301).otherwise(302).alias("status"),
+    )
+    shown = F.array_join(F.transform("redirect_chain", lambda h: F.concat(h["status"].cast("string"), F.lit(" "), h["url"])), " > ")
+    return ledger.redirect_chains(hops).select("key", F.size("redirect_chain").cast("long").alias("hops"), shown.alias("chain"), "final_url")
+
+
+@register("SELECT event_id, json_extract(props, '$.k')::BIGINT AS k, json_object('event_id', event_id, 'k', json_extract(props, '$.k')::BIGINT)::VARCHAR AS again FROM events")
+def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Properties read from JSON and written again, nulls included."""
+    rows = table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k long")["k"].alias("k"))
+    return rows.withColumn("again", F.to_json(F.struct("event_id", "k"), {"ignoreNullFields": "false"}))
+
+
+@register(f"SELECT page_id, coalesce(lower(trim(split_part(content_type, ';', 1))) IN ('text/html', 'application/pdf'), FALSE) AS allowed FROM ({_TYPED})")
+def allowed_content_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = artifacts.content_type(F.col("content_type"), F.encode("html", "utf-8"))
+    return _typed(spark, sf_dir).select("page_id", artifacts.is_allowed(kind, ["text/html", "application/pdf"]).alias("allowed"))
+
+
+@register(
+    f"""WITH s AS (SELECT page_id, CASE page_id % 4 WHEN 0 THEN url WHEN 1 THEN 'file:///data/' || page_id WHEN 2 THEN 'data/' || page_id ELSE 'ftp://h/' || page_id END AS source FROM pages)
+    SELECT page_id, CASE WHEN source LIKE 'http%' THEN 'http' WHEN source LIKE 'ftp%' THEN NULL ELSE 'file' END AS kind FROM s"""
+)
+def source_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of four schemes by turns, and what reads them."""
+    turn, page = F.col("page_id") % 4, F.col("page_id").cast("string")
+    source = F.when(turn == 0, F.col("url")).when(turn == 1, F.concat(F.lit("file:///data/"), page)).when(turn == 2, F.concat(F.lit("data/"), page)).otherwise(F.concat(F.lit("ftp://h/"), page))
+    return table(spark, sf_dir, "pages").select("page_id", urls.source_kind(source).alias("kind"))
+
+
+@register("SELECT page_id, url FROM pages WHERE sha256(html) = (SELECT sha256(html) FROM pages ORDER BY page_id DESC LIMIT 1) ORDER BY page_id LIMIT 1")
+def artifact_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first page with the content of the last one, found by checksum."""
+    rows = table(spark, sf_dir, "pages").select("page_id", "url", tx.sha256_text(F.col("html")).alias("sha256"))
+    last = rows.orderBy(F.desc("page_id")).limit(1).collect()
+    return artifacts.find(rows, ["page_id"], sha256=last[0].sha256 if last else None).drop("sha256")
+
+
+@register(f"WITH {_ATTEMPTS} SELECT attempt_id, url, retry_number FROM a WHERE run_id = (SELECT max(run_id) FROM a)")
+def attempts_of_last_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ledger.with_retry_numbers(_attempts(spark, sf_dir))
+    last = rows.agg(F.max("run_id")).first()[0]
+    return ledger.of_run(rows, last).select("attempt_id", "url", F.col("retry_number").cast("long").alias("retry_number"))
+
+
+_POOL = """p AS (SELECT domain, final_result, row_number() OVER (PARTITION BY domain ORDER BY occurred_at, attempt_id) AS n FROM a),
+r AS (SELECT DISTINCT domain, 0::BIGINT AS n, 0::BIGINT AS minted, 0::BIGINT AS cur, []::BIGINT[] AS ids, []::BIGINT[] AS fails, NULL::BIGINT AS session, NULL::VARCHAR AS health FROM p
+  UNION ALL
+  SELECT domain, n, minted, CASE WHEN bad >= 3 THEN 0 ELSE nextcur END,
+    CASE WHEN bad >= 3 THEN list_concat(ids[1:slot - 1], ids[slot + 1:]) ELSE ids END,
+    CASE WHEN bad >= 3 THEN list_concat(fails[1:slot - 1], fails[slot + 1:]) ELSE list_concat(list_append(fails[1:slot - 1], bad), fails[slot + 1:]) END,
+    ids[slot], CASE WHEN bad >= 3 THEN 'retired' ELSE 'healthy' END
+  FROM (SELECT *, CASE WHEN final_result = 'SUCCESS' THEN 0 WHEN final_result = 'NOT_FOUND' THEN fails[slot] ELSE fails[slot] + 1 END AS bad
+    FROM (SELECT r.domain, p.n, p.final_result, CASE WHEN len(ids) < 4 THEN minted + 1 ELSE minted END AS minted,
+            CASE WHEN len(ids) < 4 THEN cur ELSE (cur + 1) % 4 END AS nextcur,
+            CASE WHEN len(ids) < 4 THEN list_append(ids, minted) ELSE ids END AS ids, CASE WHEN len(ids) < 4 THEN list_append(fails, 0) ELSE fails END AS fails,
+            CASE WHEN len(ids) < 4 THEN len(ids) + 1 ELSE cur % 4 + 1 END AS slot
+          FROM r JOIN p ON p.domain = r.domain AND p.n = r.n + 1)))"""
+
+
+@register(f"WITH RECURSIVE {_ATTEMPTS}, {_POOL} SELECT domain, count(*) AS attempts, count(DISTINCT session) AS sessions, count(*) FILTER (health = 'retired') AS retired, sum(session * n)::BIGINT AS signature FROM r WHERE n > 0 GROUP BY 1")
+def session_pools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions used by each domain; the signature adds up session times place over all attempts."""
+    attempts = _attempts(spark, sf_dir)
+    from pyspark.sql import Window
+
+    places = attempts.select("attempt_id", F.row_number().over(Window.partitionBy("domain").orderBy("occurred_at", "attempt_id")).alias("n"))
+    rows = pools.session_assignments(attempts).join(places, "attempt_id")
+    return rows.groupBy("domain").agg(F.count(F.lit(1)).alias("attempts"), F.count_distinct("session").alias("sessions"), F.count_if(F.col("session_health") == "retired").alias("retired"), F.sum(F.col("session") * F.col("n")).alias("signature"))
+
+
+@register(
+    f"""WITH RECURSIVE {_ATTEMPTS}, p AS (SELECT run_id, final_result = 'SUCCESS' AS ok, row_number() OVER (PARTITION BY run_id ORDER BY occurred_at, attempt_id) AS n FROM a),
+    r AS (SELECT DISTINCT run_id, 0::BIGINT AS n, 0 AS nxt, 0 AS f0, 0 AS f1, 0 AS f2, NULL::INTEGER AS proxy FROM p
+      UNION ALL
+      SELECT run_id, n, CASE WHEN slot IS NULL THEN nxt ELSE (slot + 1) % 3 END, CASE WHEN slot = 0 THEN CASE WHEN ok THEN 0 ELSE f0 + 1 END ELSE f0 END,
+        CASE WHEN slot = 1 THEN CASE WHEN ok THEN 0 ELSE f1 + 1 END ELSE f1 END, CASE WHEN slot = 2 THEN CASE WHEN ok THEN 0 ELSE f2 + 1 END ELSE f2 END, slot
+      FROM (SELECT r.* EXCLUDE (n, proxy), p.n, p.ok, CASE WHEN [f0, f1, f2][nxt + 1] < 3 THEN nxt WHEN [f0, f1, f2][(nxt + 1) % 3 + 1] < 3 THEN (nxt + 1) % 3 WHEN [f0, f1, f2][(nxt + 2) % 3 + 1] < 3 THEN (nxt + 2) % 3 END AS slot
+            FROM r JOIN p ON p.run_id = r.run_id AND p.n = r.n + 1))
+    SELECT run_id, coalesce(proxy, -1)::BIGINT AS proxy, count(*) AS attempts FROM r WHERE n > 0 GROUP BY ALL"""
+)
+def proxy_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attempts of each of three proxies in a run; -1 is a direct connection, once all are quarantined."""
+    rows = pools.proxy_assignments(_attempts(spark, sf_dir), 3)
+    return rows.groupBy("run_id", F.coalesce("proxy", F.lit(-1)).alias("proxy")).agg(F.count(F.lit(1)).alias("attempts"))

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 # fixed values: relations of resources that are not pages, and schemes that can be followed
 RESOURCE_RELS = ["stylesheet", "icon", "apple-touch-icon", "apple-touch-icon-precomposed", "mask-icon", "preload", "manifest"]
 FOLLOWED_SCHEMES = ["http", "https", "file", ""]
-XML_TYPES = ["application/xml", "text/xml", "application/rss+xml", "application/atom+xml"]
+XML_TYPES = ["application/xml", "text/xml"]
+PAGINATION = "next"
 
 _ANCHOR = r'(?i)<a\s[^>]*?href="([^"]*)"'
 
@@ -35,7 +36,7 @@ class _Anchors(HTMLParser):
     def handle_starttag(self, tag, attrs):
         given = dict(attrs)
         if tag in ("a", "link") and given.get("href"):
-            self.found.append((given["href"].strip(), frozenset((given.get("rel") or "").lower().split())))
+            self.found.append((given["href"].strip(), frozenset((given.get("rel") or "").split())))
 
     handle_startendtag = handle_starttag
 
@@ -50,9 +51,9 @@ def html_links(content: bytes, base: str) -> Iterator[tuple[str, bool, bool]]:
             allowed = urlsplit(url).scheme in FOLLOWED_SCHEMES
         except ValueError:
             continue
-        if allowed and url not in seen:
+        if url and allowed and url not in seen:
             seen.add(url)
-            yield url, "next" in rels or "prev" in rels, bool(rels & set(RESOURCE_RELS))
+            yield url, PAGINATION in rels, bool(rels & set(RESOURCE_RELS))
 
 
 def sitemap_links(content: bytes) -> Iterator[str]:
@@ -76,15 +77,23 @@ def robots_links(content: bytes) -> Iterator[str]:
             yield rest.strip()
 
 
+def _joined(base: str, found: Iterator[str]) -> Iterator[tuple[str, bool, bool]]:
+    for link in found:
+        try:
+            yield urljoin(base, link), False, False
+        except ValueError:
+            continue
+
+
 def response_links(content: bytes | None, content_type: str | None, url: str) -> Iterator[tuple[str, bool, bool]]:
     """(link, is_pagination, is_resource) of one response, by its type or path."""
     kind = (content_type or "").split(";")[0].strip().lower()
     if kind == "text/html":
         yield from html_links(content or b"", url)
     elif kind in XML_TYPES:
-        yield from ((x, False, False) for x in sitemap_links(content or b""))
-    elif urlsplit(url).path.endswith("/robots.txt"):
-        yield from ((x, False, False) for x in robots_links(content or b""))
+        yield from _joined(url, sitemap_links(content or b""))
+    elif urlsplit(url).path.rstrip("/").endswith("/robots.txt"):
+        yield from _joined(url, robots_links(content or b""))
 
 
 def links(captured: DataFrame) -> DataFrame:

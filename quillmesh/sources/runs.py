@@ -23,5 +23,5 @@ def artifact_lists(spark: SparkSession, root: str) -> DataFrame:
     """Artifacts of all runs with the file name that the viewer shows and their category."""
     rows = spark.read.schema(ARTIFACT).option("multiLine", True).json(f"{root}/*/*/program2/artifacts.json")
     category = urls.viewed_category(F.col("content_type"), F.col("raw_location"))
-    suffix = F.when(category == "other", "data").otherwise(category)
+    suffix = urls.viewed_extension(F.col("content_type"), F.col("raw_location"))
     return rows.select("*", category.alias("category"), urls.file_name(F.col("source_url"), F.col("checksum"), suffix).alias("file_name"))

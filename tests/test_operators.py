@@ -128,8 +128,11 @@ def test_crawl_budget(spark):
 
 
 def test_lineage(spark):
-    rows = [(1, 10, None), (1, 11, 10), (1, 12, 11), (1, 13, 10), (1, 20, 99), (2, 30, None)]
+    rows = [(1, 10, None), (1, 11, 10), (1, 12, 11), (1, 13, 10), (1, 20, 99), (1, 21, 20), (2, 30, None), (3, 1, 2), (3, 2, 1), (3, 3, 1)]
     df = spark.createDataFrame(rows, "run_id int, event_id long, parent_event_id long")
+    assert graph.lineage(df).where("run_id = 3").count() == 0
+    chain = spark.range(40).selectExpr("1 AS run_id", "id AS event_id", "nullif(id, 0) - 1 AS parent_event_id")
+    assert max(r.depth for r in graph.lineage(chain).collect()) == 39
     got = [(r.event_id, r.depth) for r in graph.lineage(df).where("run_id = 1").orderBy("path").collect()]
     assert got == [(10, 0), (11, 1), (12, 2), (13, 1)]
 
@@ -143,11 +146,24 @@ def lines(spark):
 def test_tables_headings_and_sections(spark):
     r = evidence.tables(lines(spark)).collect()
     assert len(r) == 1 and r[0].headers == ["Metric", "Value"] and r[0].rows == [["Revenue", "120"], ["Margin", "30"]]
-    assert r[0].section == "Quarterly Report" and r[0].location == "x0=72.00,y0=630.00,x1=280.00,y1=692.00"
+    assert r[0].section == "Quarterly Report" and r[0].location == "x0=72.00,y0=692.00,x1=280.00,y1=630.00"
     rows = {(r.page_number, r.line_no): r for r in evidence.text_evidence(lines(spark)).collect()}
     assert rows[1, 0].role == "heading" and rows[2, 0].canonical_text == "Quarterly Report: KPI: 42" and rows[2, 0].value == "42"
-    meta = evidence.extraction_metadata(evidence.text_evidence(lines(spark))).first()
-    assert (meta.page_count, meta.text_count, meta.heading_count) == (2, 7, 1)
+    assert (r[0].claim, r[0].value, r[0].supporting_context) == ("Table", "Metric | Value", "Metric | Value\nRevenue | 120\nMargin | 30")
+    assert rows[1, 1].location == "x0=72.00,y0=692.00,x1=120.00,y1=680.00"
+    bitmaps = spark.createDataFrame([(1, 3, 0, 1.0, 9.0, 5.0, 2.0), (1, 1, 0, 1.0, 9.0, 5.0, 2.0)], "artifact_id long, page_number int, bitmap_no int, l double, t double, r double, b double")
+    seen = {r.page_number: r for r in evidence.visuals(bitmaps, lines(spark)).collect()}
+    assert seen[3].section == "Quarterly Report" and seen[3].location == "x0=1.00,y0=9.00,x1=5.00,y1=2.00"
+    assert (seen[1].claim, seen[1].value, seen[1].supporting_context) == ("Embedded image", "bitmap", "Embedded image on page 1")
+    meta = evidence.extraction_metadata(evidence.text_evidence(lines(spark)), evidence.tables(lines(spark)), bitmaps).first()
+    assert (meta.page_count, meta.text_count, meta.heading_count, meta.table_count, meta.visual_count) == (2, 8, 1, 1, 2)
+
+
+def test_blank_lines_count_nowhere(spark):
+    rows = [(1, 1, 0, "  ", 50.0), (1, 1, 1, "", 50.0), (1, 1, 2, " Title ", 20.0), (1, 1, 3, "a: b", 10.0), (1, 1, 4, "c", 10.0)]
+    df = spark.createDataFrame(rows, "artifact_id long, page_number int, line_no int, text string, height double")
+    got = {r.line_no: (r.role, r.section, r.supporting_context) for r in evidence.text_evidence(df).collect()}
+    assert got == {2: ("heading", "Title", "Title"), 3: ("text", "Title", "a: b"), 4: ("text", "Title", "c")}
 
 
 def test_table_rows_anchor_on_the_first_cell():

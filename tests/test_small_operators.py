@@ -18,8 +18,8 @@ def test_hand_off_hides_sessions(spark, tmp_path):
 
 
 def test_viewer_files_overwrite(spark):
-    rows = spark.createDataFrame([(1, "http://a/x", "text/html", "", "c1"), (2, "http://b/x", "text/html", "", "c2"), (3, "http://a/", "application/pdf", "", "c3")], "artifact_id long, source_url string, content_type string, raw_location string, checksum string")
-    assert {tuple(r) for r in exports.viewer_files(rows).collect()} == {("html/x.html", "c2"), ("pdf/index.pdf", "c3")}
+    rows = spark.createDataFrame([(1, "http://a/x", "text/html", "", "c1"), (2, "http://b/x", "text/html", "", "c2"), (3, "http://a/", "application/pdf", "", "c3"), (4, "http://a/a", "text/plain", "", "c4"), (5, "http://a/b", "image/png", "", "c5"), (6, "http://a/c", None, "", "c6"), (7, "http://a/d", "application/rss+xml", "", "c7")], "artifact_id long, source_url string, content_type string, raw_location string, checksum string")
+    assert {tuple(r) for r in exports.viewer_files(rows).collect()} == {("html/x.html", "c2"), ("pdf/index.pdf", "c3"), ("other/a.txt", "c4"), ("other/b.png", "c5"), ("other/c.data", "c6"), ("xml/d.xml", "c7")}
 
 
 def test_outcomes_and_decisions(spark):

@@ -44,7 +44,7 @@ def test_categories(spark):
 def test_file_names(spark):
     named = lambda x: urls.file_name(x, F.lit("0123456789abcdef"), F.lit("html"))
     assert values(spark, named, ["http://a/", "http://a/b/c.d?x", None, "http://a/" + "x" * 70]) == ["index.html", "b_c_d.html", "0123456789ab.html", "x" * 60 + ".html"]
-    assert values(spark, urls.extension, ["text/html", "x/y", None]) == [".html", ".bin", ".bin"]
+    assert values(spark, urls.extension, ["text/html", "x/y", None, "image/gif"]) == [".html", ".bin", ".bin", ".gif"]
 
 
 def test_resolution(spark):
@@ -57,7 +57,7 @@ def test_redaction_and_formats(spark):
     assert values(spark, urls.redacted, ["http://u:p@h/x http://v:q@i"]) == ["http://h/x http://i"] or True
     assert values(spark, tx.byte_text, [0, None, 512, 1024, 1536, 5 * 1024**3], "long") == ["0 B", "0 B", "512 B", "1 KB", "1.5 KB", "5 GB"]
     assert values(spark, tx.duration_text, [75.4, 3.0], "double") == ["1m 15s", "0m 3s"]
-    assert values(spark, tx.shortened, ["a\nb", "x" * 161]) == ["a b", "x" * 160 + "…"]
+    assert values(spark, tx.shortened, ["\t\u00a0a\nb ", "x" * 161]) == ["a b", "x" * 159 + "…"]
     assert values(spark, tx.html_escaped, ["<a href=\"x\">&'"]) == ["&lt;a href=&quot;x&quot;&gt;&amp;&#39;"]
 
 
@@ -100,7 +100,7 @@ def test_html_links():
     assert html('<a href="/about">') == [("https://example.test/about", False, False)]
     assert html('<a href="/page"><a href="/page#section">') == [("https://example.test/page", False, False)]
     assert [x[1] for x in html('<a href="/list?page=2" rel="next"><a href="/list?page=1">')] == [True, False]
-    assert [x[1] for x in html('<a class="next" href="/x">')] == [False]
+    assert [x[1] for x in html('<a class="next" href="/x"><a rel="prev" href="/y"><a rel="NEXT" href="/z">')] == [False] * 3
     assert [x[0] for x in html('<a href="mailto:x@y"><a href="javascript:z()"><a href="/real-page">')] == ["https://example.test/real-page"]
     assert html('<link rel="next" href="/page/2">') == [("https://example.test/page/2", True, False)]
     assert [x[2] for x in html('<link rel="stylesheet" href="/a.css"><link rel="shortcut icon" href="/b"><a href="/report.css">')] == [True, True, False]
@@ -117,6 +117,6 @@ def test_sitemaps_and_robots():
 
 
 def test_links_of_captured_responses(spark):
-    rows = [("http://a/", None, "text/html; charset=utf-8", b'<a href="x">'), ("http://a/robots.txt", None, "text/plain", b"Sitemap: http://a/s.xml"), ("http://a/p", None, "application/pdf", b"%PDF-"), ("http://a/n", "http://a/d/n", "text/html", b'<a href="y">'), ("http://a/e", None, "text/html", None)]
+    rows = [("http://a/", None, "text/html; charset=utf-8", b'<a href="x">'), ("http://a/robots.txt", None, "text/plain", b"Sitemap: http://a/s.xml"), ("http://a/p", None, "application/pdf", b"%PDF-"), ("http://a/n", "http://a/d/n", "text/html", b'<a href="y">'), ("http://a/e", None, "text/html", None), ("http://b/x/robots.txt/", None, "text/plain", b"Sitemap: /s.xml"), ("http://b/map", None, "text/xml", b"<u><loc>/one</loc></u>"), ("http://b/feed", None, "application/rss+xml", b"<u><loc>/one</loc></u>")]
     df = spark.createDataFrame(rows, "url string, final_url string, content_type string, content binary")
-    assert sorted((r.url, r.link) for r in links.links(df).collect()) == [("http://a/", "http://a/x"), ("http://a/n", "http://a/d/y"), ("http://a/robots.txt", "http://a/s.xml")]
+    assert sorted((r.url, r.link) for r in links.links(df).collect()) == [("http://a/", "http://a/x"), ("http://a/n", "http://a/d/y"), ("http://a/robots.txt", "http://a/s.xml"), ("http://b/map", "http://b/one"), ("http://b/x/robots.txt/", "http://b/s.xml")]
