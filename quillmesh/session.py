@@ -8,6 +8,9 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+#: Rows of any text are sent to Python in batches of so many, so that a task holds little at once.
+ROWS_PER_BATCH = 1000
+
 _shipped: set[str] = set()
 
 
@@ -27,7 +30,9 @@ def build(cores: int | str = 8, partitions: int = 8, memory: str = "8g") -> Spar
 
 
 def ship_package(spark: SparkSession) -> SparkSession:
-    """Send this package to the executors' Python once per application, so that they can import it."""
+    """Send this package to the executors' Python once per application, so that they can import it,
+    and bound the batches that it gets."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         here = Path(__file__).resolve().parent
