@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmesh.llm.texts import distinct_texts
-from quillmesh.llm.words import ascii_words
+from quillmesh.llm.words import ascii_words, freeing
 from quillmesh.storage import materialize
 
 #: The end of a text as a token; no word is empty.
@@ -35,7 +35,9 @@ LEAST_COUNT = 3
 EXCHANGE_ROUNDS = 12
 #: Weight of the class's own probability in a transition.
 TRANSITION_PRIOR = 20.0
-HELD_WORDS = 300_000
+HELD_WORDS = 100_000
+#: Texts whose words a task holds at a time.
+TEXTS_TOGETHER = 200
 
 
 class Ids(dict):
@@ -53,6 +55,11 @@ class Model(NamedTuple):
     base: np.ndarray  # log10 of the unigram base of each id
 
 
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return (b.slice(at, TEXTS_TOGETHER) for b in batches for at in range(0, b.num_rows, TEXTS_TOGETHER))
+
+
+@freeing
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def sent(counts: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["word", "c"])
@@ -79,10 +86,11 @@ def _sequence(texts: pa.Array, ids: Ids) -> tuple[np.ndarray, np.ndarray, list[l
     return out, starts, words
 
 
+@freeing
 def _pairs(batches: Iterator[pa.RecordBatch], sent, left: np.ndarray, right: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
     """Counts of left[v] * width + right[w] over neighbouring tokens v, w, without negative ones."""
     codes, counts = np.empty(0, np.int64), np.empty(0, np.int64)
-    for batch in batches:
+    for batch in _sliced(batches):
         ids, _, _ = _sequence(batch.column(0), sent.value)
         if not len(ids):
             continue
@@ -142,6 +150,7 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int = EXCHANGE_ROUNDS) -
     return of
 
 
+@freeing
 def _best_class(batches: Iterator[pa.RecordBatch], gains: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
     """For each word, the class of the highest likelihood, from the classes it follows."""
     for batch in batches:
@@ -209,14 +218,13 @@ def train(texts: DataFrame, core: int = CORE, classes: int = CLASSES, dictionary
     return Model(ids, word_class, transitions, *padded), rare_words, constants
 
 
+@freeing
 def _score(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
     """Of each text, the score without what depends on rare words' counts, and its rare words."""
     model: Model = sent.value
     names = ["key", "n", "known", "base", "score", "word"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary()]
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in _sliced(batches):
         ids, starts, words = _sequence(batch.column(1), model.ids)
         cls = model.classes[ids]
         before = np.concatenate([[model.classes[model.ids[END]]], cls[:-1]])

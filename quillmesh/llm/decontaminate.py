@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmesh.llm.texts import distinct_texts
+from quillmesh.llm.words import freeing
 from quillmesh.storage import materialize, small_side
 
 WINDOW, STRIDE = 48, 16
@@ -85,6 +86,7 @@ class Space(NamedTuple):
     norms: np.ndarray  # squared weights of the parts
 
 
+@freeing
 def _frequencies(batches: Iterator[pa.RecordBatch], vocabulary) -> Iterator[pa.RecordBatch]:
     ids = vocabulary.value
     counts = np.zeros(len(ids), np.int64)
@@ -96,6 +98,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch], vocabulary) -> Iterator[pa.R
     yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(counts[held])], ["id", "n"])
 
 
+@freeing
 def _partial(rows: Iterator[pd.DataFrame], sent, right: bool) -> Iterator[pd.DataFrame]:
     """Of a part of the matrix A and a factor M: A'(AM) by features, or (AM)'(AM)."""
     factor = sent.value
@@ -245,6 +248,7 @@ def decide(passage: Passage, region: list[str], known: float = 0.0) -> tuple[flo
 MATCH = "key long, item_id long, cosine double, passage_share double, answer_share double, start_word int, end_word int"
 
 
+@freeing
 def _matches(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
     kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int32(), pa.int32()]
     names = [x.split()[0] for x in MATCH.split(", ")]

@@ -182,6 +182,7 @@ def lattice(path: str) -> Lattice:
     return _lattices[path]
 
 
+@freeing
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
         counts: Counter = Counter()
@@ -191,6 +192,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(counts.values(), pa.int64())], ["lang", "word", "c"])
 
 
+@freeing
 def _expectations(batches: Iterator[pa.RecordBatch], path: str, langs: list[str], sent) -> Iterator[pa.RecordBatch]:
     found, probs = lattice(path), sent.value
     sums = np.zeros((len(langs), found.size + 1))

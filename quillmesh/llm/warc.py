@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmesh.llm.words import freeing
 from quillmesh.storage import materialize, new_path, small_side
 
 VERSION = "WARC/1.1"
@@ -132,6 +133,7 @@ def _candidates(file: str, data: bytes) -> Iterator[tuple]:
         at = data.find(MAGIC, at + 1)
 
 
+@freeing
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [x.split()[0] for x in CANDIDATES.split(", ")]
     kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_()]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 from collections.abc import Callable, Iterator
 from functools import wraps
 
@@ -16,8 +19,18 @@ CACHED_WORDS = 200_000
 CACHES: list[dict] = []
 
 
+def _trim() -> None:
+    """Hand memory that is free but held by the allocators back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
 def freeing(task: Callable) -> Callable:
-    """A generator that empties all caches at its end."""
+    """A generator that empties all caches at its end, as its worker may then wait idle for long."""
 
     @wraps(task)
     def run(*args):
@@ -26,7 +39,7 @@ def freeing(task: Callable) -> Callable:
         finally:
             for cache in CACHES:
                 cache.clear()
-            pa.default_memory_pool().release_unused()
+            _trim()
 
     return run
 
