@@ -344,4 +344,20 @@ def op4_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op4_parity_sketch_join": op4_parity_sketch_join}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_parity_sketch_join": r"""
+        WITH RECURSIVE d AS (
+          SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id,
+                 list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+          FROM documents),
+        s AS (SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+              ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS g FROM d),
+        e AS (SELECT r, unnest(g) AS gram FROM s),
+        common AS (SELECT a.r AS a, b.r AS b, count(*) AS n FROM e a JOIN e b ON a.gram = b.gram AND a.r < b.r GROUP BY ALL),
+        link AS (SELECT a, b FROM common JOIN s x ON x.r = a JOIN s y ON y.r = b WHERE 100 * n >= 90 * (len(x.g) + len(y.g) - n)),
+        either AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+        reach AS (SELECT r, r AS other FROM s UNION SELECT reach.r, either.b FROM reach JOIN either ON reach.other = either.a)
+        SELECT s.doc_id, len(s.g)::BIGINT AS n_shingles, least_id AS component_id
+        FROM s JOIN (SELECT reach.r, min(s.doc_id) AS least_id FROM reach JOIN s ON s.r = reach.other GROUP BY 1) USING (r)
+    """
+}

@@ -406,4 +406,15 @@ def op7_suffix_automata(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op7_suffix_automata": op7_suffix_automata}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_suffix_automata": r"""
+        WITH d AS (SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+        windows AS (SELECT r, p, array_to_string(w[p : p + 34], ' ') AS words FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS p FROM d)),
+        repeated AS (SELECT r, p FROM windows QUALIFY count(*) OVER (PARTITION BY words) > 1),
+        words AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+        marked AS (SELECT words.r, words.p, word, max(repeated.p) OVER (PARTITION BY words.r ORDER BY words.p ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
+                   FROM words LEFT JOIN repeated ON repeated.r = words.r AND repeated.p = words.p),
+        kept AS (SELECT r, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (NOT gone) AS t FROM marked GROUP BY r)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)
+    """
+}
