@@ -207,7 +207,7 @@ def test_brown_scores(spark, odd_rows):
     from quillmesh.llm.brown import END, class_model_scores
 
     rows = odd_rows + [(200 + i, prose(300 + i, 200), "en") for i in range(40)]
-    got = class_model_scores(frame(spark, rows), core=64, classes=8, dictionary=200).collect()
+    got = class_model_scores(frame(spark, rows), core=64, classes=8, least_share=0.0005).collect()
     held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
     tokens = [(i, [*brute.words(t), END]) for i, t, _ in rows]
     count = Counter(w for i, ws in tokens if not held(i) for w in ws)
@@ -217,19 +217,49 @@ def test_brown_scores(spark, odd_rows):
     assert sum(r.score for r in got if r.held_out) > sum(r.base_score for r in got if r.held_out)
 
 
-def test_brown_probabilities_sum_to_one(spark, odd_rows):
+def test_brown_scores_equal_brute_force(spark, odd_rows):
+    """Scores from dicts of class counts, given the classes; each context's probabilities sum to one."""
     from quillmesh.llm import brown
 
-    texts = frame(spark, odd_rows).select("text")
-    model, rare, x = brown.train(texts, core=32, classes=6, dictionary=100)
-    words, classes = len(model.ids), model.transitions.shape[0]
-    in_class = [0.0] * classes
-    for i in range(words):
-        in_class[model.classes[i]] += 10 ** model.emissions[i]
-    weight = max(x["rare_tokens"], 1)
-    in_class[-1] += sum((r.c - x["discount"]) / weight for r in rare.collect()) + x["discount"] * x["rare_kinds"] / weight
-    for row in model.transitions:
-        assert sum(10**p * e for p, e in zip(row, in_class)) == pytest.approx(1, abs=1e-6)
+    train = [t for _, t, _ in odd_rows if t is not None and len(t) < 50_000]
+    scored = train[:12] + ["never seen words", "w1 never w2 never", "", None]
+    model, others, x = brown.train(spark.createDataFrame([(t,) for t in train], "text string"), core=32, classes=6, least_share=0.002)
+    count = Counter(w for t in train for w in [*brute.words(t), brown.END])
+    dictionary, rare = {w: int(model.classes[i]) for w, i in model.ids.items()}, x["rare"]
+    table = {bytes(r.word): (r.c, r["class"]) for r in others.collect()}
+    assert len(dictionary) > 32 and {w: c for w, (c, _) in table.items()} == {w: c for w, c in count.items() if w not in dictionary}
+    assert all((k == rare) == (c < brown.LEAST_COUNT) for c, k in table.values()) and any(k != rare for _, k in table.values())
+    history = lambda w: dictionary.get(w, rare)
+    own = lambda w: dictionary[w] if w in dictionary else table[w][1] if w in table else rare
+    cells, tokens = Counter(), Counter()
+    for t in train:
+        ws = [brown.END, *brute.words(t), brown.END]
+        cells.update((history(v), own(w)) for v, w in zip(ws, ws[1:]))
+    for w, c in count.items():
+        tokens[own(w)] += c
+    n, all_cells = rare + 1, sum(cells.values())
+    share = {b: (sum(cells[a, b] for a in range(n)) + 0.5) / (all_cells + 0.5 * n) if tokens[b] or b == rare else 0.0 for b in range(n)}
+    total_share = sum(share.values())
+
+    def move(a, b):
+        return (cells[a, b] + brown.TRANSITION_PRIOR * share[b] / total_share) / (sum(cells[a, k] for k in range(n)) + brown.TRANSITION_PRIOR)
+
+    rares = [c for c, k in table.values() if k == rare]
+    once, twice = rares.count(1), rares.count(2)
+    cut = (once + 0.5) / (once + 2 * twice + 1)
+
+    def emit(w):
+        if own(w) != rare:
+            return count[w] / tokens[own(w)]
+        return (count[w] - cut if w in count else cut * len(rares)) / sum(rares)
+
+    texts = spark.createDataFrame(list(enumerate(scored)), "key long, text string")
+    got = {r.key: r.score for r in brown.score_texts(texts, model, others, x).collect()}
+    for i, t in enumerate(scored):
+        ws = [brown.END, *brute.words(t), brown.END]
+        assert got[i] == pytest.approx(sum(math.log10(move(history(v), own(w)) * emit(w)) for v, w in zip(ws, ws[1:])), abs=1e-6)
+    for a in range(n):
+        assert sum(move(a, own(w)) * emit(w) for w in count) + move(a, rare) * emit(b"never seen") == pytest.approx(1, abs=1e-9)
 
 
 def test_exchange_finds_the_classes():
@@ -355,6 +385,57 @@ def test_kneser_ney_is_a_distribution(spark):
     assert np.exp(logs).sum() + (CHARACTERS - len(alphabet)) * other == pytest.approx(1, abs=1e-3)
 
 
+def kneser_ney(texts, order, characters, units):
+    """p(symbol, context) of an interpolated modified Kneser-Ney model, by recursion over dicts."""
+    raw = Counter()
+    for text in texts:
+        for u in units(text):
+            for end in range(3, len(u) + 1):
+                raw[u[max(0, end - order) : end]] += 1
+    counts = {order: {g: c for g, c in raw.items() if len(g) == order}}
+    for n in range(order - 1, 0, -1):
+        lower = Counter(g[1:] for g in counts[n + 1])
+        lower.update({g: c for g, c in raw.items() if len(g) == n})
+        counts[n] = dict(lower)
+    cuts, totals, weights = {}, {}, {}
+    for n, table in counts.items():
+        n1, n2, n3, n4 = (sum(a == i for a in table.values()) for i in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2) if n1 else 0.5
+        cuts[n] = [max(0.1, min(i - 0.1, i - (i + 1) * y * up / here)) if here and up else 0.5 for i, here, up in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+        for g, a in table.items():
+            totals[g[:-1]] = totals.get(g[:-1], 0) + a
+            weights[g[:-1]] = weights.get(g[:-1], 0.0) + cuts[n][min(a, 3) - 1]
+
+    def p(symbol, context):
+        below = p(symbol, context[1:]) if context else 1 / characters
+        if context not in totals:
+            return below
+        a = counts[len(context) + 1].get(context + symbol, 0)
+        seen = a - cuts[len(context) + 1][min(a, 3) - 1] if a else 0.0
+        return seen / totals[context] + weights[context] / totals[context] * below
+
+    return p
+
+
+def test_perplexity_equals_brute_force(spark, odd_rows, monkeypatch):
+    from quillmesh.llm import quality as q
+
+    monkeypatch.setattr(q, "LEARNED_SHARE", 1.0)
+    rows = odd_rows + [(500 + i, prose(900 + i, 60, 60), "en") for i in range(12)]
+    trusted = {*range(2, 10), *range(500, 508), 82}
+    labels = spark.createDataFrame([(i, 1, 0) for i in trusted], "doc_id long, quality int, toxic int")
+    p = kneser_ney([t for i, t, _ in rows if i in trusted], q.ORDER, q.CHARACTERS, q.units)
+    got = Counter()
+    for r in q.quality(frame(spark, rows), labels).collect():
+        got[r.doc_id, r.lang, r.symbols, None if r.perplexity is None else f"{r.perplexity:.4g}"] += 1
+    want = Counter()
+    for i, t, lang in rows:
+        us = q.units(t or "")
+        logs = [math.log(p(u[e - 1], u[max(0, e - q.ORDER) : e - 1])) for u in us for e in range(3, len(u) + 1)]
+        want[i, lang, len(logs), f"{math.exp(-sum(logs) / len(logs)):.4g}" if logs else None] += 1
+    assert got == want
+
+
 def test_contamination(spark, odd_rows):
     from quillmesh.llm.decontaminate import contaminated
 
