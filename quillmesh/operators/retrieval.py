@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Vectors of the smaller side that tasks hold at once; more are searched block by block.
-BLOCK_ROWS = 50_000
+#: Bytes of vectors in a block, of blocks that are sent to all tasks, and scores that a task holds.
+BLOCK_BYTES, BROADCAST_BYTES, SCORES_TOGETHER = 8_000_000, 64_000_000, 4_000_000
 _FOUND = "query_id long, target_id long, similarity double"
 
 
@@ -48,45 +47,69 @@ def _nearest(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.column_stack([rows[keep], columns[keep]])
 
 
+def _packed(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """``ids, data``: unit vectors in blocks of at most BLOCK_BYTES, as matrices of doubles."""
+
+    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, parts, size = [], [], 0
+
+        def block() -> pd.DataFrame:
+            return pd.DataFrame({"ids": [np.concatenate(ids).tobytes()], "data": [np.concatenate(parts).tobytes()]})
+
+        for pdf in frames:
+            if not len(pdf):
+                continue
+            own, matrix = pdf[id_col].to_numpy(np.int64), _unit(pdf[vector_col])
+            step = max(1, BLOCK_BYTES // max(1, matrix.shape[1] * 8))
+            for at in range(0, len(own), step):
+                more = matrix[at : at + step]
+                if size and size + more.nbytes > BLOCK_BYTES:
+                    yield block()
+                    ids, parts, size = [], [], 0
+                ids.append(own[at : at + step])
+                parts.append(more)
+                size += more.nbytes
+        if size:
+            yield block()
+
+    return vectors.mapInPandas(pack, "ids binary, data binary")
+
+
 def top_k(queries: DataFrame, targets: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", few: str = "queries") -> DataFrame:
     """``query_id, rank, target_id, similarity``: for each query its k most similar other targets.
 
     Cosine in double precision, ranked by the similarity at 9 decimals and then the id; zero vectors
-    have similarity 0. ``few`` names the smaller side: it is counted, and sent to tasks in blocks of
-    bounded size; the other side is never moved before only k rows a query are left. Null vectors and
-    ids take no part.
+    have similarity 0. Both sides become blocks of bounded size, and every pair of blocks is one matrix
+    product in a task. ``few`` names the smaller side: if its blocks are within ``BROADCAST_BYTES``
+    they are sent to all tasks, else blocks meet blocks on the executors; only k rows a query and pair
+    of blocks are shuffled. Null vectors and ids take no part.
     """
     usable = f"{id_col} IS NOT NULL AND {vector_col} IS NOT NULL"
     queries, targets = queries.where(usable).select(id_col, vector_col), targets.where(usable).select(id_col, vector_col)
     small, large = (queries, targets) if few == "queries" else (targets, queries)
-    spark = small.sparkSession
-    blocks = max(1, -(-small.count() // BLOCK_ROWS))
-
-    def found(block: int) -> DataFrame:
-        held = small.where(F.pmod(F.xxhash64(id_col), F.lit(blocks)) == block).toPandas()
-        sent = spark.sparkContext.broadcast((held[id_col].to_numpy(np.int64), _unit(held[vector_col]) if len(held) else np.zeros((0, 1))))
-
-        def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            ids, matrix = sent.value
-            for pdf in frames:
-                if not len(pdf) or not len(ids):
-                    continue
-                own, vectors = pdf[id_col].to_numpy(np.int64), _unit(pdf[vector_col])
-                for at in range(0, len(own), 2048):
-                    rows, part = own[at : at + 2048], vectors[at : at + 2048]
-                    scores = np.round(part @ matrix.T, 9)
+    size = small.agg(F.coalesce(F.sum(F.size(vector_col).cast("long")), F.lit(0))).first()[0] * 8
+    blocks = _packed(small.coalesce(max(1, size // BLOCK_BYTES)), id_col, vector_col).select(F.col("ids").alias("small_ids"), F.col("data").alias("small_data"))
+    pairs = _packed(large, id_col, vector_col).crossJoin(F.broadcast(blocks) if size <= BROADCAST_BYTES else blocks)
+
+    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for large_ids, large_data, small_ids, small_data in zip(pdf["ids"], pdf["data"], pdf["small_ids"], pdf["small_data"]):
+                ids, own = np.frombuffer(small_ids, np.int64), np.frombuffer(large_ids, np.int64)
+                matrix, vectors = np.frombuffer(small_data).reshape(len(ids), -1), np.frombuffer(large_data).reshape(len(own), -1)
+                step = max(1, SCORES_TOGETHER // len(ids))
+                for at in range(0, len(own), step):
+                    rows = own[at : at + step]
+                    scores = np.round(vectors[at : at + step] @ matrix.T, 9)
                     scores[rows[:, None] == ids[None, :]] = -np.inf
                     q, t, s = (ids, rows, scores.T) if few == "queries" else (rows, ids, scores)
-                    pairs = _nearest(s, t, k)
-                    values = s[pairs[:, 0], pairs[:, 1]]
+                    found = _nearest(s, t, k)
+                    values = s[found[:, 0], found[:, 1]]
                     good = np.isfinite(values)
-                    yield pd.DataFrame({"query_id": q[pairs[good, 0]], "target_id": t[pairs[good, 1]], "similarity": values[good]})
-
-        return large.mapInPandas(search, _FOUND)
+                    yield pd.DataFrame({"query_id": q[found[good, 0]], "target_id": t[found[good, 1]], "similarity": values[good]})
 
-    every = reduce(DataFrame.unionByName, (found(b) for b in range(blocks)))
     order = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "target_id")
-    return every.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= k).select("query_id", "rank", "target_id", F.round("similarity", 6).alias("similarity"))
+    ranked = pairs.mapInPandas(search, _FOUND).withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "target_id", F.round("similarity", 6).alias("similarity"))
 
 
 def hit_frequency(ranked: DataFrame, types: DataFrame, most: int = 10) -> DataFrame:

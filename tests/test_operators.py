@@ -186,8 +186,11 @@ def test_retrieval_in_blocks(spark, tables, monkeypatch):
     every = spark.read.parquet(f"{tables}/embeddings.parquet").select("vec_id", "embedding")
     few = every.where("vec_id < 40")
     whole = sorted(map(tuple, retrieval.top_k(few, every, 3).collect()))
-    monkeypatch.setattr(retrieval, "BLOCK_ROWS", 7)
-    assert sorted(map(tuple, retrieval.top_k(few, every, 3).collect())) == whole and len(whole) == 120
+    monkeypatch.setattr(retrieval, "BLOCK_BYTES", 7 * 64 * 8)
+    for sent in (retrieval.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(retrieval, "BROADCAST_BYTES", sent)
+        monkeypatch.setattr(retrieval, "SCORES_TOGETHER", 30)
+        assert sorted(map(tuple, retrieval.top_k(few, every, 3).collect())) == whole and len(whole) == 120
 
 
 def test_samples(spark):
