@@ -34,9 +34,9 @@ RANK, OVERSAMPLING, POWER_ROUNDS = 64, 16, 2
 #: Words of less inverse document frequency are left out of the vectors of passages that have others.
 LEAST_IDF = 1.5
 #: Latent cosine of a window and a passage's part from which on the passage is a candidate.
-COSINE = 0.4
-#: A window with less of the squared weight of a part can't hold enough of it to match.
-LEAST_MASS = 0.1
+COSINE = 0.6
+#: A window whose vector reaches less far along the part's can't hold enough of it to match.
+REACHED = 0.4
 #: Weighted share of a passage found in order, alone, or with that share of its answer.
 WHOLE, PART, ANSWER = 0.6, 0.4, 0.6
 #: About so many passages are searched at once.
@@ -44,11 +44,15 @@ PASSAGES_TOGETHER = 20_000
 #: Words of documents, and cosines, that a task computes together.
 WORDS_TOGETHER, COSINES_TOGETHER = 60_000, 1_000_000
 FEATURES_TOGETHER = 512
-_WORD = re.compile(r"[^\W_]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    """Lower-cased runs of letters and digits."""
+    text = (text or "").lower()
+    for c in set(text):
+        if not c.isalnum():
+            text = text.replace(c, " ")
+    return text.split()
 
 
 def answer_of(text: str | None) -> list[str]:
@@ -69,11 +73,17 @@ class Passage(NamedTuple):
     weights: np.ndarray  # of the words
     answer: list[str]
     answer_weights: np.ndarray
+    by_word: dict[str, float]  # the summed weight of each different word
+    total: float
+    step: int  # windows that start in one stretch of so many words are candidates together
 
-    @property
-    def step(self) -> int:
-        """Windows that start in one stretch of so many words are candidates together."""
-        return max(STRIDE, len(self.words) // 8 // STRIDE * STRIDE)
+
+def weighed(item: int, words: list[str], answer: list[str], of) -> Passage:
+    """A passage whose words have the weights that ``of`` gives a list of them."""
+    weights, by_word = of(words), {}
+    for w, x in zip(words, weights.tolist()):
+        by_word[w] = by_word.get(w, 0.0) + x
+    return Passage(item, words, weights, answer, of(answer), by_word, float(weights.sum()), max(STRIDE, len(words) // 8 // STRIDE * STRIDE))
 
 
 class Space(NamedTuple):
@@ -81,9 +91,9 @@ class Space(NamedTuple):
     owners: np.ndarray  # the passage of each part
     ids: dict[str, int]  # features; -1 is none
     vectors: np.ndarray  # of each feature in the latent space, and of none
-    masses: np.ndarray  # squared weight of each feature that counts, and of none
+    counts: np.ndarray  # whether a feature is in a part's vector, and of none
     parts: np.ndarray  # unit vectors of the parts in the latent space, a column each
-    norms: np.ndarray  # squared weights of the parts
+    lengths: np.ndarray  # of the parts in the latent space
 
 
 @freeing
@@ -156,7 +166,7 @@ def latent_space(benchmark: DataFrame, texts: DataFrame, total: int, id_col: str
         counted[found["id"]] = found["n"]
     weights = np.maximum(np.log((total + 1.0) / (counted + 0.5)), 0.05)
     of = lambda ws: weights[[vocabulary[w] for w in ws]]
-    passages = [Passage(i, ws, of(ws), answer, of(answer)) for i, ws, answer in passages]
+    passages = [weighed(i, ws, answer, of) for i, ws, answer in passages]
     owners, rows, counts = [], [], np.zeros(len(vocabulary), bool)
     for owner, passage in enumerate(passages):
         least = LEAST_IDF if (passage.weights >= LEAST_IDF).any() else 0.0
@@ -168,14 +178,14 @@ def latent_space(benchmark: DataFrame, texts: DataFrame, total: int, id_col: str
                 rows.append((found.tolist(), (n * weights[found]).tolist()))
                 counts[found] = True
     if not rows:
-        return Space(passages, np.empty(0, np.int64), vocabulary, np.zeros((len(vocabulary) + 1, 0), np.float32), np.zeros(len(vocabulary) + 1), np.zeros((0, 0), np.float32), np.empty(0))
+        return Space(passages, np.empty(0, np.int64), vocabulary, np.zeros((len(vocabulary) + 1, 0), np.float32), np.zeros(len(vocabulary) + 1, bool), np.zeros((0, 0), np.float32), np.empty(0, np.float32))
     space = randomised_svd(spark.createDataFrame(rows, "ids array<int>, values array<double>"), len(vocabulary), rank)
     latent = np.array([np.asarray(v) @ space[i] for i, v in rows])
-    latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
+    lengths = np.maximum(np.linalg.norm(latent, axis=1), 1e-12)
     used = np.where(counts, weights, 0.0)
     vectors = np.vstack([used[:, None] * space, np.zeros(space.shape[1])]).astype(np.float32)
-    norms = np.array([np.square(v).sum() for _, v in rows])
-    return Space(passages, np.array(owners), vocabulary, vectors, np.append(used**2, 0.0), np.ascontiguousarray(latent.T, np.float32), norms)
+    parts = np.ascontiguousarray((latent / lengths[:, None]).T, np.float32)
+    return Space(passages, np.array(owners), vocabulary, vectors, np.append(counts, False), parts, lengths.astype(np.float32))
 
 
 def weighted_lcs(a: list[str], b: list[str], weights: np.ndarray) -> float:
@@ -201,29 +211,28 @@ def candidates(texts: list[list[str]], space: Space) -> Iterator[tuple[int, int,
     base = np.cumsum(starts + wide) - (starts + wide)
     n = int(lengths.sum())
     ids = np.fromiter(map(space.ids.get, chain.from_iterable(texts), repeat(-1)), np.int64, n)
-    at = np.flatnonzero(space.masses[ids] > 0)
+    at = np.flatnonzero(space.counts[ids])
     if not len(at):
         return
     text = np.repeat(np.arange(len(texts)), lengths)[at]
     stretch = base[text] + (at - (np.cumsum(lengths) - lengths)[text]) // STRIDE
     first = np.flatnonzero(np.concatenate([[True], stretch[1:] != stretch[:-1]]))
     sums = np.zeros((int((starts + wide).sum()), space.vectors.shape[1]), np.float32)
-    mass = np.zeros(len(sums))
+    filled = np.zeros(len(sums), bool)
     sums[stretch[first]] = np.add.reduceat(space.vectors[ids[at]], first, axis=0)
-    mass[stretch[first]] = np.add.reduceat(space.masses[ids[at]], first)
+    filled[stretch[first]] = True
     count = len(sums) - wide + 1
-    mass = sum(mass[i : count + i] for i in range(wide))
-    heavy = np.flatnonzero(mass >= LEAST_MASS * space.norms.min())
-    step = max(1, COSINES_TOGETHER // max(1, len(space.norms)))
-    for i in range(0, len(heavy), step):
-        rows = heavy[i : i + step]
-        window = sum(sums[rows + k] for k in range(wide))
-        window /= np.maximum(np.linalg.norm(window, axis=1, keepdims=True), 1e-12)
-        cosines = window @ space.parts
-        near = np.argwhere((cosines >= COSINE) & (mass[rows][:, None] >= LEAST_MASS * space.norms))
-        owner = np.searchsorted(base, rows[near[:, 0]], "right") - 1
-        first_word = (rows[near[:, 0]] - base[owner]) * STRIDE
-        yield from zip(owner.tolist(), first_word.tolist(), near[:, 1].tolist(), cosines[near[:, 0], near[:, 1]].tolist())
+    rows = np.flatnonzero(np.logical_or.reduce([filled[i : count + i] for i in range(wide)]))
+    step = max(1, COSINES_TOGETHER // max(1, len(space.lengths)))
+    for i in range(0, len(rows), step):
+        part = rows[i : i + step]
+        window = sum(sums[part + k] for k in range(wide))
+        reach = window @ space.parts
+        norm = np.maximum(np.linalg.norm(window, axis=1, keepdims=True), 1e-12)
+        near = np.argwhere((reach >= COSINE * norm) & (reach >= REACHED * space.lengths))
+        owner = np.searchsorted(base, part[near[:, 0]], "right") - 1
+        first_word = (part[near[:, 0]] - base[owner]) * STRIDE
+        yield from zip(owner.tolist(), first_word.tolist(), near[:, 1].tolist(), (reach / norm)[near[:, 0], near[:, 1]].tolist())
 
 
 def region_of(passage: Passage, start: int, words: int) -> tuple[int, int]:
@@ -234,11 +243,10 @@ def region_of(passage: Passage, start: int, words: int) -> tuple[int, int]:
 
 def decide(passage: Passage, region: list[str], known: float = 0.0) -> tuple[float, float] | None:
     """The shares of passage and answer found in order, if they are a match and more than ``known``."""
-    weight, present = passage.weights.sum(), set(region)
-    most = passage.weights[[w in present for w in passage.words]].sum()
-    if most < max(PART, known) * weight:
+    by_word = passage.by_word
+    if sum(map(by_word.__getitem__, by_word.keys() & region)) < max(PART, known) * passage.total:
         return None  # no subsequence can be heavier than the words that occur
-    whole = weighted_lcs(passage.words, region, passage.weights) / weight
+    whole = weighted_lcs(passage.words, region, passage.weights) / passage.total
     if whole < PART or whole <= known:
         return None
     part = weighted_lcs(passage.answer, region, passage.answer_weights) / max(passage.answer_weights.sum(), 1e-12)
@@ -256,9 +264,10 @@ def _matches(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch
 
     def found(keys: list[int], texts: list[list[str]]) -> pa.RecordBatch:
         near: dict[tuple[int, int, int], float] = {}
+        owners, steps = space.owners.tolist(), [p.step for p in space.passages]
         for text, start, part, cosine in candidates(texts, space):
-            owner = int(space.owners[part])
-            at = text, owner, start - start % space.passages[owner].step
+            owner = owners[part]
+            at = text, owner, start - start % steps[owner]
             near[at] = max(cosine, near.get(at, cosine))
         best: dict[tuple[int, int], tuple] = {}
         for (text, owner, start), cosine in sorted(near.items()):
@@ -277,7 +286,7 @@ def _matches(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch
     for batch in batches:
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             words = words_of(text.as_py())
-            if words and len(space.norms):
+            if words and len(space.lengths):
                 keys.append(key)
                 texts.append(words)
                 held += len(words)

@@ -3,12 +3,13 @@
 A document is cut into full sequences, pieces of half, a quarter, ... of the capacity, and a last
 piece; a piece of length n is of class ``capacity // n``, and a bin of class j takes j pieces. Each
 worker fills its bins alone. What is left open (fewer than j pieces for each class and worker) is
-packed again by groups of workers, first by class and at last by first fit.
+packed again by groups of workers, first by class and at last by best fit.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import itertools
 import json
 import zlib
@@ -179,11 +180,12 @@ def _placed(held: list[tuple], sequence: int, j: int, worker: int, is_open: bool
 
 def _pack_rest(capacity: int):
     def pack(left: pd.DataFrame) -> pd.DataFrame:
-        """Open pieces of some workers: full bins by class, then first fit of the longest first."""
+        """Open pieces of some workers: full bins by class, then best fit of the longest first."""
         left = left.sort_values(["length", "doc_id", "start"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
         nth = left.groupby("class").cumcount()
         size = left.groupby("class")["length"].transform("size")
         sequence, offset, used = [0] * len(left), [0] * len(left), []
+        free: list[tuple[int, int]] = []  # free tokens and number of each open bin, in order
         whole: dict[tuple[int, int], int] = {}
         for i, (j, k, total, n) in enumerate(zip(left["class"], nth, size, left["length"])):
             if k // j < total // j:
@@ -191,9 +193,11 @@ def _pack_rest(capacity: int):
                 if s == len(used):
                     used.append(0)
             else:
-                s = next((s for s in range(len(used)) if used[s] + n <= capacity), len(used))
+                at = bisect.bisect_left(free, (n, -1))
+                s = free.pop(at)[1] if at < len(free) else len(used)
                 if s == len(used):
                     used.append(0)
+                bisect.insort(free, (capacity - used[s] - n, s))
             sequence[i], offset[i] = s, used[s]
             used[s] += n
         group = int(left["worker"].iloc[0]) // WORKERS_TOGETHER

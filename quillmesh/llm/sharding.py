@@ -57,9 +57,10 @@ def _ranged(rows: DataFrame, splitters: list[tuple[int, int]]) -> DataFrame:
         out = np.searchsorted(keys, k, "left")
         if len(hashes):
             same = np.minimum(np.searchsorted(hashes, k), len(hashes) - 1)
-            for row in np.flatnonzero(hashes[same] == k):
-                s, n = starts[same[row]], counts[same[row]]
-                out[row] = s + np.searchsorted(ids[s : s + n], i[row], "right")
+            at_splitter = hashes[same] == k
+            for h in np.unique(same[at_splitter]):
+                rows, s, n = np.flatnonzero(at_splitter & (same == h)), starts[h], counts[h]
+                out[rows] = s + np.searchsorted(ids[s : s + n], i[rows], "right")
         return pd.Series(out.astype(np.int32))
 
     return rows.withColumn("r", position("k", F.coalesce("id", F.lit(np.iinfo(np.int64).min))))

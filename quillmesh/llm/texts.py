@@ -25,7 +25,7 @@ def distinct_texts(docs: DataFrame, id_col: str, text_col: str) -> Distinct:
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("h", F.unhex(F.md5("text")))
     prints = materialize(rows.select("doc", "h"), "prints")
     found = prints.groupBy("h").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("rows"))
-    named = found.withColumn("texts", F.count(F.lit(1)).over(Window.partitionBy("rep")))
+    named = found.withColumn("texts", F.count(F.lit(1)).over(Window.partitionBy("rep", F.when(F.col("rep").isNull(), F.col("h")))))
     own = F.col("rep").isNull() | (F.col("texts") > 1)
     hashed = -F.shiftrightunsigned(F.xxhash64("h"), 1) - 1
     classes = materialize(named.select("h", "rep", "rows", F.when(own, hashed).otherwise(F.col("rep")).alias("key"), own.alias("own")), "classes")

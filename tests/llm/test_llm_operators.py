@@ -494,7 +494,7 @@ def test_retrieval_finds_what_exhaustive_comparison_finds(spark):
     docs, benchmark = frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")
     texts = docs.selectExpr("text", "1L AS rows")
     space = d.latent_space(benchmark, texts, len(rows), "item_id", "text")
-    assert space.vectors.shape[1] == 64 and len(space.norms) > 300
+    assert space.vectors.shape[1] == 64 and len(space.lengths) > 300
     want = set()
     for i, text, _ in rows:
         words = d.words_of(text)
