@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
-REQUIRED = ["kpi_code", "domain", "parameter", "variable_name", "definition"]
+# fixed values: the sheet's name, and the columns without which an entry is none
+SHEET = "KPI_Dictionary"
+REQUIRED = ["KPI_Code", "Variable_Name", "Definition"]
+_LINK = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
 def _column(reference: str) -> int:
@@ -23,9 +26,20 @@ def _column(reference: str) -> int:
     return n - 1
 
 
-def sheet_cells(data: bytes, part: str = "xl/worksheets/sheet1.xml") -> Iterator[tuple[int, int, str]]:
+def _part_of(book: zipfile.ZipFile, sheet: str) -> str:
+    """The part that holds the sheet of that name."""
+    sheets = {s.get("name"): s.get(_LINK) for s in ET.fromstring(book.read("xl/workbook.xml")).iter(f"{_NS}sheet")}
+    if sheet not in sheets:
+        raise ValueError(f"no sheet {sheet!r} (found: {sorted(sheets)})")
+    targets = {r.get("Id"): r.get("Target") for r in ET.fromstring(book.read("xl/_rels/workbook.xml.rels"))}
+    target = targets[sheets[sheet]]
+    return target.lstrip("/") if target.startswith("/") else f"xl/{target}"
+
+
+def sheet_cells(data: bytes, sheet: str = SHEET) -> Iterator[tuple[int, int, str]]:
     """(row, column, text) of the cells that aren't empty; shared and inline strings are resolved."""
     with zipfile.ZipFile(io.BytesIO(data)) as book:
+        part = _part_of(book, sheet)
         shared = []
         if "xl/sharedStrings.xml" in book.namelist():
             shared = ["".join(t.text or "" for t in item.iter(f"{_NS}t")) for item in ET.fromstring(book.read("xl/sharedStrings.xml")).iter(f"{_NS}si")]
@@ -42,38 +56,41 @@ def sheet_cells(data: bytes, part: str = "xl/worksheets/sheet1.xml") -> Iterator
                     yield int(row.get("r", i + 1)), _column(cell.get("r", "A1")), text.strip()
 
 
-def cells(spark: SparkSession, path: str) -> DataFrame:
-    """``file, row, column, text`` of workbooks' first sheets."""
+def cells(spark: SparkSession, path: str, sheet: str = SHEET) -> DataFrame:
+    """``file, row, column, text`` of one sheet of each workbook; one without it is an error."""
 
     def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            rows = [(p, *cell) for p, c in zip(pdf["path"], pdf["content"]) for cell in sheet_cells(bytes(c))]
+            rows = [(p, *cell) for p, c in zip(pdf["path"], pdf["content"]) for cell in sheet_cells(bytes(c), sheet)]
             yield pd.DataFrame(rows, columns=["file", "row", "column", "text"])
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(parse, "file string, row long, column long, text string")
 
 
-def dictionary(spark: SparkSession, path: str, required: list[str] | None = None) -> DataFrame:
-    """``file, row, entry`` of the rows below the header, entry a map from header to text, with
-    ``embedding_text``. Fails when a required header, any row, a code or an identity is missing, or a
-    code occurs twice."""
+def dictionary(spark: SparkSession, path: str, required: list[str] | None = None, sheet: str = SHEET) -> DataFrame:
+    """``file, row, entry`` of the rows below the header, entry a map from header to text (headers as
+    they are written, stripped), with ``source_row``, the entry as JSON, and ``embedding_text``. Fails
+    when the sheet, a required header or any row is missing, when a row lacks a required value, or when
+    a code occurs twice."""
     required = REQUIRED if required is None else required
     found = cells(spark, path)
     first = found.groupBy("file").agg(F.min("row").alias("top"))
     placed = found.join(F.broadcast(first), "file")
-    headers = placed.where("row = top").select("file", "column", F.lower(F.regexp_replace("text", r"\s+", "_")).alias("name"))
+    headers = placed.where("row = top").select("file", "column", F.col("text").alias("name"))
     named = placed.where("row > top").join(F.broadcast(headers), ["file", "column"])
     rows = named.groupBy("file", "row").agg(F.map_from_entries(F.collect_list(F.struct("name", "text"))).alias("entry"))
     missing = set(required) - {r.name for r in headers.select("name").distinct().collect()}
     if missing:
         raise ValueError(f"missing columns: {sorted(missing)}")
-    code = F.col("entry")["kpi_code"]
-    total, codes, nameless = rows.agg(F.count(F.lit(1)), F.count_distinct(code), F.count_if(code.isNull() | F.col("entry")["variable_name"].isNull())).first()
+    code, absent = F.col("entry")[required[0]], F.lit(False)
+    for name in required:
+        absent = absent | F.col("entry")[name].isNull()
+    total, codes, nameless = rows.agg(F.count(F.lit(1)), F.count_distinct(F.struct("file", code)), F.count_if(absent)).first()
     if not total:
         raise ValueError("no rows")
     if nameless:
-        raise ValueError(f"{nameless} rows without code or name")
+        raise ValueError(f"{nameless} rows without a required value")
     if codes < total:
         raise ValueError("a code occurs twice")
-    name, definition = F.col("entry")["variable_name"], F.col("entry")["definition"]
-    return rows.withColumn("embedding_text", F.concat(name, F.lit(": "), F.coalesce(definition, F.lit(""))))
+    text = F.concat(F.col("entry")["Variable_Name"], F.lit(": "), F.col("entry")["Definition"])
+    return rows.withColumns({"source_row": F.to_json("entry"), "embedding_text": text})

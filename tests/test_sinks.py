@@ -10,7 +10,7 @@ from quillmesh.operators import exports
 from quillmesh.sources import runs, sheets
 
 
-def workbook(rows):
+def workbook(rows, sheet="KPI_Dictionary"):
     shared = sorted({c for r in rows for c in r if c})
     at = {s: i for i, s in enumerate(shared)}
     cell = lambda i, j, c: f'<c r="{chr(65 + j)}{i}" t="s"><v>{at[c]}</v></c>' if c else ""
@@ -19,22 +19,31 @@ def workbook(rows):
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w") as z:
         z.writestr("xl/sharedStrings.xml", f"<sst {ns}>" + "".join(f"<si><t>{s}</t></si>" for s in shared) + "</sst>")
-        z.writestr("xl/worksheets/sheet1.xml", f"<worksheet {ns}><sheetData>{body}</sheetData></worksheet>")
+        link = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+        z.writestr("xl/workbook.xml", f'<workbook {ns} {link}><sheets><sheet name="Notes" r:id="r1"/><sheet name="{sheet}" r:id="r2"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="r1" Target="worksheets/sheet1.xml"/><Relationship Id="r2" Target="worksheets/sheet2.xml"/></Relationships>')
+        z.writestr("xl/worksheets/sheet1.xml", f"<worksheet {ns}><sheetData/></worksheet>")
+        z.writestr("xl/worksheets/sheet2.xml", f"<worksheet {ns}><sheetData>{body}</sheetData></worksheet>")
     return out.getvalue()
 
 
-HEADER = ["KPI code", "Domain", "Parameter", "Variable name", "Definition"]
+HEADER = ["KPI_Code", "Domain", "Parameter", "Variable_Name", "Definition"]
 ROW = ["A01", "Academics", "Programmes", "UG programme count", "Number of undergraduate programmes"]
 
 
 def test_dictionary(spark, tmp_path):
-    (tmp_path / "ok.xlsx").write_bytes(workbook([HEADER, ROW, [None] * 5, ["A02", "D", "P", "Other", None]]))
-    rows = {r.entry["kpi_code"]: r for r in sheets.dictionary(spark, str(tmp_path / "ok.xlsx")).collect()}
+    (tmp_path / "ok.xlsx").write_bytes(workbook([HEADER, ROW, [None] * 5, ["A02", None, "P", "Other", "x"]]))
+    rows = {r.entry["KPI_Code"]: r for r in sheets.dictionary(spark, str(tmp_path / "ok.xlsx")).collect()}
     assert set(rows) == {"A01", "A02"}
     assert rows["A01"].embedding_text == "UG programme count: Number of undergraduate programmes"
+    assert json.loads(rows["A02"].source_row) == {"KPI_Code": "A02", "Parameter": "P", "Variable_Name": "Other", "Definition": "x"}
+    (tmp_path / "other.xlsx").write_bytes(workbook([HEADER, ROW], "Other_Sheet"))
+    with pytest.raises(Exception, match="no sheet"):
+        sheets.dictionary(spark, str(tmp_path / "other.xlsx")).collect()
+    assert sheets.dictionary(spark, str(tmp_path / "other.xlsx"), sheet="Other_Sheet").count() == 1
 
 
-@pytest.mark.parametrize("rows,error", [([HEADER[:3], ROW[:3]], "missing columns"), ([HEADER], "no rows"), ([HEADER, ROW, ROW], "twice"), ([HEADER, [None] + ROW[1:]], "without code")])
+@pytest.mark.parametrize("rows,error", [([HEADER[:3], ROW[:3]], "missing columns"), ([HEADER], "no rows"), ([HEADER, ROW, ROW], "twice"), ([HEADER, [None] + ROW[1:]], "without a required"), ([HEADER, ROW[:4] + [None]], "without a required"), ([["kpi_code", *HEADER[1:]], ROW], "missing columns")])
 def test_bad_dictionaries(spark, tmp_path, rows, error):
     (tmp_path / "bad.xlsx").write_bytes(workbook(rows))
     with pytest.raises(ValueError, match=error):
