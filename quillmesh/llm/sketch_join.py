@@ -36,7 +36,7 @@ BYTES_PER_BUCKET = 4_000_000
 #: Members of a block value that are compared with as many others in one task.
 GROUP_BLOCK = 512
 #: Pairs per component and block value that the rounds test; None: all.
-NEAREST = (1, 16, None)
+NEAREST = (4, None)
 
 EMITTED = "bucket int, keys binary, docs binary, key long, doc long, hub long, n long, sketch array<long>"
 _NAMES = [x.split()[0] for x in EMITTED.split(", ")]
@@ -308,23 +308,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = materialize(hung.select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct(), "pairs")
     close = _close(pairs, meta, num, den)
     nearest = close.groupBy("b").agg(F.min(F.struct("apart", "a", "na", "nb")).alias("x")).select("x.a", "b", "x.na", "x.nb")
-    links = _linked(nearest, texts, k, num, den)
-    labels = components(links)
-    rest = materialize(_apart(close.join(nearest.select("a", "b"), ["a", "b"], "left_anti"), labels), "rest")
-    if not rest.isEmpty():
-        labels = _merged(labels, _linked(rest, texts, k, num, den))
+    labels = components(_linked(nearest, texts, k, num, den))
+    rest = _apart(close.join(nearest.select("a", "b"), ["a", "b"], "left_anti"), labels).select("a", "b", "na", "nb")
     members = hung.select("key", "doc").unionByName(hung.select("key", F.col("hub").alias("doc"))).distinct()
-    members = materialize(members, "members")
-    tested = pairs
+    members, tested = materialize(members, "members"), pairs
     for nearest in NEAREST:
-        more = _leftover_pairs(members, labels, meta, num, den, nearest)
-        more = materialize(more.join(tested, ["a", "b"], "left_anti"), "leftover")
-        if more.isEmpty():
+        more = materialize(_leftover_pairs(members, labels, meta, num, den, nearest).join(tested, ["a", "b"], "left_anti"), "leftover")
+        if rest is None and more.isEmpty():
             continue
+        left = _close(more, meta, num, den).select("a", "b", "na", "nb")
+        if rest is not None:
+            left, rest = materialize(left.unionByName(rest), "rest"), None
         tested = tested.unionByName(more)
-        found = _linked(_close(more, meta, num, den), texts, k, num, den)
-        if not found.isEmpty():
-            labels = _merged(labels, found)
+        if not left.isEmpty():
+            found = _linked(left, texts, k, num, den)
+            if not found.isEmpty():
+                labels = _merged(labels, found)
 
     by_key = classes.join(meta.select(F.col("doc").alias("key"), "n"), "key", "left").join(labels.withColumnRenamed("doc", "key"), "key", "left")
     by_key = by_key.select("h", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("component", "key").alias("component"))
