@@ -195,16 +195,18 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int = EXCHANGE_ROUNDS) -
 
 @freeing
 def _best_class(batches: Iterator[pa.RecordBatch], gains: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """For each word (key, contexts, counts, c) the class of the highest likelihood: ``gains`` has a row
-    for each context (log probability with each class), ``sizes`` the log of the classes' tokens."""
+    """For each word (key, contexts, counts) the class of the highest likelihood: ``gains`` has a row for
+    each context (log probability with each class; those before the word come first, one more than
+    there are classes), ``sizes`` the log of the classes' tokens. Where the word before has no class
+    as yet, the word's own class makes no difference to it."""
     for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
-        words, totals = batch.column(0), batch.column(3).to_numpy().astype(float)
-        contexts, counts = batch.column(1), batch.column(2)
+        words, contexts, counts = (batch.column(i) for i in range(3))
         row = np.repeat(np.arange(len(words)), np.diff(contexts.offsets.to_numpy()))
         cells = contexts.flatten().to_numpy(), counts.flatten().to_numpy().astype(float)
         table = np.zeros((len(words), len(gains)))
         np.add.at(table, (row, cells[0]), cells[1])
-        best = np.argmax(table @ gains - totals[:, None] * sizes, axis=1)
+        followed = table[:, : len(sizes) + 1].sum(1, keepdims=True)
+        best = np.argmax(table @ gains - followed * sizes, axis=1)
         yield pa.RecordBatch.from_arrays([words, pa.array(best.astype(np.int32))], [batch.schema.names[0], "class"])
 
 
@@ -239,8 +241,7 @@ def exchange_round(encoded: DataFrame, classes: int, word_class: np.ndarray, c:
     gains = np.vstack([after[:, :classes], after[:classes].T])
     known = np.flatnonzero(word_class[:m] >= 0)
     sizes = np.log(np.bincount(word_class[known], c[known], classes + 1)[:classes] + 1.0)
-    totals = encoded.sparkSession.createDataFrame([(i, float(x)) for i, x in enumerate(c)], "id int, c double")
-    chosen = _gathered(rows, "id").join(totals, "id").mapInArrow(lambda x: _best_class(x, gains, sizes), "id int, class int").toPandas()
+    chosen = _gathered(rows, "id").mapInArrow(lambda x: _best_class(x, gains, sizes), "id int, class int").toPandas()
     out = word_class.copy()
     out[chosen["id"]] = chosen["class"]
     # a word without any neighbour that has a class
@@ -290,7 +291,7 @@ def train(texts: DataFrame, core: int = CORE, classes: int = CLASSES, least_shar
     after = written.where("word IS NOT NULL").join(F.broadcast(class_of), "prev").groupBy("word", "context").agg(F.sum("n").alias("n"))
     after = materialize(after, "after")
     outside = counts.where((F.col("c") < least) & ~is_end)
-    classed = _gathered(after, "word").join(outside.where(F.col("c") >= LEAST_COUNT), "word")
+    classed = _gathered(after, "word").join(outside.where(F.col("c") >= LEAST_COUNT).select("word"), "word", "left_semi")
     classed = materialize(classed.mapInArrow(lambda x: _best_class(x, gains, sizes), "word binary, class int"), "classed")
     others = materialize(outside.join(classed, "word", "left").select("word", "c", F.coalesce("class", F.lit(rare)).alias("class")), "others")
     shifted = after.join(others.where(F.col("class") != rare).select("word", "class"), "word").groupBy("context", "class").agg(F.sum("n").alias("n")).toPandas()

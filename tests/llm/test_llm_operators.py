@@ -274,6 +274,48 @@ def test_exchange_finds_the_classes():
     assert len({(k, c) for k, c in zip(kind, found)}) == 2
 
 
+def test_exchange_rounds_raise_the_likelihood(spark):
+    """Words of two kinds, of which only some have a class at first; each round moves all of them."""
+    import numpy as np
+    from quillmesh.llm.brown import exchange_round
+
+    rng = np.random.default_rng(2)
+    words, classes = 60, 2
+    ids = [0]
+    for _ in range(6000):
+        kind = (ids[-1] % 2) ^ (rng.random() < 0.1)
+        ids.append(1 + 2 * int(rng.integers(words // 2)) - (1 - kind))
+    ids = np.array(ids) % words
+    rows = [(bytearray(part.astype(np.int32).tobytes()),) for part in np.array_split(ids, 7)]
+    encoded = spark.createDataFrame(rows, "ids binary")
+    c = np.bincount(ids, minlength=words).astype(float)
+    word_class = np.full(words + 1, -1, np.int64)
+    word_class[:10], word_class[words] = np.arange(10) % 2, classes
+    word_class[4] = 1  # one of the seeds is wrong
+    for _ in range(2):
+        word_class = exchange_round(encoded, classes, word_class, c)
+    even, odd = word_class[0:words:2], word_class[1:words:2]
+    assert np.mean(even == np.bincount(even).argmax()) > 0.95 and np.mean(odd == np.bincount(odd).argmax()) > 0.95
+    assert np.bincount(even).argmax() != np.bincount(odd).argmax()
+
+
+def test_texts_of_megabytes(spark):
+    from quillmesh.llm import decontaminate, language, sketch_join, substrings
+
+    long, near = prose(1, 500_000, 200_000), None
+    words = long.split()
+    near = " ".join(words[:499_000] + ["other"] * 5)
+    rows = [(1, long, "en"), (2, near, "en"), (3, " ".join(words[1000:1060]), "en"), (4, "x" * 300_000, "en")]
+    docs = frame(spark, rows)
+    linked = {r.doc_id: r.component_id for r in sketch_join.near_duplicates(docs).collect()}
+    assert linked == {1: 1, 2: 1, 3: 3, 4: 4}
+    removed = {r.doc_id: (r.n_words, r.n_removed) for r in substrings.remove_repeats(docs).collect()}
+    assert removed[1] == (500_000, 499_000) and removed[2] == (499_005, 499_000) and removed[3] == (60, 60) and removed[4] == (1, 0)
+    found = decontaminate.contaminated(docs, spark.createDataFrame([(7, rows[2][1])], "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 7), (2, 7), (3, 7)}
+    assert len(language.identify(docs).collect()) == 4
+
+
 def test_language(spark, odd_rows, tables):
     from quillmesh.llm.language import identify
 

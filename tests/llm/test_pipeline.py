@@ -63,3 +63,13 @@ def test_odd_rows_pass(spark, odd_rows, tables):  # noqa: F811
         out = stage(spark, docs, tables)
         assert out.columns == docs.columns and out.count() <= len(odd_rows)
         assert stage(spark, docs.limit(0), tables).count() == 0
+
+
+def test_near_copies_go_by_id_and_text(spark, tables):
+    import corpus_pipeline as p
+
+    one, two = prose(1, 80), prose(2, 80)
+    rows = [(1, one, "en"), (2, one + " x", "en"), (2, two, "en"), (3, two.upper(), "en"), (None, two, "en"), (1, one + " y", "de")]
+    left = {(r.doc_id, r.text) for r in p.drop_near_copies(spark, frame(spark, rows), tables).collect()}
+    # of {1, 2, 1} one row of id 1 stays, of {2, 3, null} the row of id 2
+    assert (2, two) in left and len(left) == 2 and {i for i, _ in left} == {1, 2}
