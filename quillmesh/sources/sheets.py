@@ -73,7 +73,7 @@ def dictionary(spark: SparkSession, path: str, required: list[str] | None = None
     when the sheet, a required header or any row is missing, when a row lacks a required value, or when
     a code occurs twice."""
     required = REQUIRED if required is None else required
-    found = cells(spark, path)
+    found = cells(spark, path, sheet)
     first = found.groupBy("file").agg(F.min("row").alias("top"))
     placed = found.join(F.broadcast(first), "file")
     headers = placed.where("row = top").select("file", "column", F.col("text").alias("name"))
