@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmesh.llm.texts import distinct_texts
-from quillmesh.llm.words import ascii_words, freeing
+from quillmesh.llm.words import ascii_words, freeing, trim
 from quillmesh.storage import materialize
 
 #: The end of a text as a token; no word is empty.
@@ -347,6 +347,7 @@ def score_texts(texts: DataFrame, model: Model, others: DataFrame, constants: di
     """``key, n_tokens, n_known, base_score, score`` of texts (columns key, text; keys are unique)."""
     spark = texts.sparkSession
     sent = spark.sparkContext.broadcast(model)
+    trim()
     parts = materialize(texts.mapInArrow(lambda x: _score(x, sent), "key long, n long, known long, base double, score double, word binary, before int"), "scores")
     x = constants
     weight = float(max(x["rare_tokens"], 1))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmesh.llm.texts import distinct_texts
-from quillmesh.llm.words import freeing
+from quillmesh.llm.words import freeing, trim
 from quillmesh.storage import materialize, small_side
 
 WINDOW, STRIDE = 48, 16
@@ -317,6 +317,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     for group in range(groups):
         own = benchmark.where(F.pmod(F.xxhash64(F.col(item_col)), F.lit(groups)) == group)
         sent = docs.sparkSession.sparkContext.broadcast(latent_space(own, weighted, total, item_col, item_text_col, rank))
+        trim()
         rows = materialize(texts.mapInArrow(lambda x, sent=sent: _matches(x, sent), MATCH), "matches")
         found = rows if found is None else found.unionByName(rows)
     best = F.max_by(F.struct("cosine", "passage_share", "answer_share", "start_word", "end_word"), F.struct("passage_share", "cosine", "start_word")).alias("x")

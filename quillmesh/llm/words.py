@@ -19,7 +19,7 @@ CACHED_WORDS = 200_000
 CACHES: list[dict] = []
 
 
-def _trim() -> None:
+def trim() -> None:
     """Hand memory that is free but held by the allocators back to the system."""
     gc.collect()
     pa.default_memory_pool().release_unused()
@@ -39,7 +39,7 @@ def freeing(task: Callable) -> Callable:
         finally:
             for cache in CACHES:
                 cache.clear()
-            _trim()
+            trim()
 
     return run
 

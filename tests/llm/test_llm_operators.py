@@ -305,7 +305,7 @@ def test_texts_of_megabytes(spark):
     long, near = prose(1, 500_000, 200_000), None
     words = long.split()
     near = " ".join(words[:499_000] + ["other"] * 5)
-    rows = [(1, long, "en"), (2, near, "en"), (3, " ".join(words[1000:1060]), "en"), (4, "x" * 300_000, "en")]
+    rows = [(1, long, "en"), (2, near, "en"), (3, " ".join(words[1000:1060]), "en"), (4, "x" * 30_000, "en")]
     docs = frame(spark, rows)
     linked = {r.doc_id: r.component_id for r in sketch_join.near_duplicates(docs).collect()}
     assert linked == {1: 1, 2: 1, 3: 3, 4: 4}
