@@ -362,10 +362,12 @@ def score_texts(texts: DataFrame, model: Model, others: DataFrame, constants: di
     more = met.groupBy("key").agg(F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("more"), F.sum(F.col("n") * base).alias("other_base"), F.sum(F.col("n") * emission).alias("other_score"))
     whole = parts.where("word IS NULL").select("key", "n", "known", "base", "score").dropDuplicates(["key"])
     zero = F.lit(0.0)
+    # the end is in every model, but nothing is known if nothing was learned
+    known = F.col("known") if x["total"] else F.lit(0).cast("long")
     return whole.join(more, "key", "left").select(
         "key",
         F.col("n").alias("n_tokens"),
-        (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
+        (known + F.coalesce("more", F.lit(0))).alias("n_known"),
         (F.col("base") + F.coalesce("other_base", zero)).alias("base_score"),
         (F.col("score") + F.coalesce("other_score", zero)).alias("score"),
     )

@@ -96,18 +96,18 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self.special):
             return self._exact(text)
-        out, words = [], 0
+        out, words = [], []
         for k, line in enumerate(text.split("\n")):
             parts = line.split(" ")
             if "" in parts:
                 break
-            words += len(parts)
+            words += parts
             if k:
                 out.append(self.newline)
             out.append(self.first[parts[0]])
             out.extend(map(self.later.__getitem__, parts[1:]))
         else:
-            if words == len(text.split()):
+            if words == text.split():  # else there is white space of another kind
                 return b"".join(out)
         longest = max(map(len, text.split()), default=0)
         odd_space = len(text) - sum(map(len, text.split())) > len(text) // 2

@@ -176,6 +176,20 @@ def test_packing(spark, odd_rows):
     assert padding <= 2048 + 0.03 * total
 
 
+def test_ids_of_any_white_space():
+    import public_tokenizers
+    from quillmesh.llm.packing import encoder
+    from tokenizers import Tokenizer
+
+    exact = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    own = encoder(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    rng = random.Random(5)
+    signs = ["a", "b", "word", "'s", "7", "é", ".", " ", " ", "\n", "\t", "\u00a0", "\u0085", "\u2003", "\u3000", "\r", "\x1c", "\v"]
+    texts = ["a\n\u00a0\nb\tc", *("".join(rng.choices(signs, k=rng.randint(0, 9))) for _ in range(100_000))]
+    for text, want in zip(texts, exact.encode_batch(texts, add_special_tokens=False)):
+        assert own.encode(text) == b"".join(i.to_bytes(4, "little") for i in want.ids), repr(text)
+
+
 def test_cut_is_whole():
     from quillmesh.llm.packing import cut
 
@@ -217,6 +231,14 @@ def test_brown_scores(spark, odd_rows):
     assert sum(r.score for r in got if r.held_out) > sum(r.base_score for r in got if r.held_out)
 
 
+def test_nothing_is_known_without_training_rows(spark):
+    from quillmesh.llm.brown import class_model_scores
+
+    held = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5 == 1]
+    got = class_model_scores(frame(spark, [(i, ["one two", None, ""][i % 3], "en") for i in held])).collect()
+    assert {(r.n_known, r.train_tokens) for r in got} == {(0, 0)} and len(got) == len(held)
+
+
 def test_brown_scores_equal_brute_force(spark, odd_rows):
     """Scores from dicts of class counts, given the classes; each context's probabilities sum to one."""
     from quillmesh.llm import brown
