@@ -144,7 +144,7 @@ def term_counts(rows: DataFrame, kept: DataFrame, limit: int = FILTER_ROWS) -> D
 
 def _compare(table: pa.Table) -> pa.Table:
     """Sums of absolute differences for the pairs of sources of two blocks, over one block of terms. Rows
-    without a term give each source's share of a term that it lacks."""
+    without a term give each source's share of a term that it lacks, and the block's number of terms."""
     lang, first, second = (table.column(c)[0].as_py() for c in ("lang", "first", "second"))
     source, sources = _coded(table.column("source").combine_chunks())
     term, terms = _coded(table.column("term").combine_chunks())
@@ -152,6 +152,10 @@ def _compare(table: pa.Table) -> pa.Table:
     shares, blocks = np.zeros((len(sources), len(terms)), np.int64), np.zeros(len(sources), np.int64)
     shares[source[~given]] = share[~given][:, None]
     shares[source[given], term[given]] = share[given]
+    lacking = np.zeros(len(sources), np.int64)
+    lacking[source[~given]] = share[~given]
+    # terms that no source of the two blocks has
+    others_have = int(table.column("terms").to_numpy()[~given].max()) - len(terms)
     blocks[source] = block
     names, left, right, sums = sources.to_pylist(), [], [], []
     order = sorted(range(len(names)), key=lambda i: names[i].encode())
@@ -162,12 +166,13 @@ def _compare(table: pa.Table) -> pa.Table:
             others = [j for j in order if blocks[i] == first and blocks[j] == second]
         left += [names[i]] * len(others)
         right += [names[j] for j in others]
-        sums += np.abs(shares[np.array(others, np.int64)] - shares[i]).sum(1).tolist()
+        them = np.array(others, np.int64)
+        sums += (np.abs(shares[them] - shares[i]).sum(1) + others_have * np.abs(lacking[them] - lacking[i])).tolist()
     n = len(sums)
     return pa.table({"lang": pa.array([lang] * n, pa.string()), "a": pa.array(left, pa.string()), "b": pa.array(right, pa.string()), "value": pa.array(sums, pa.int64())})
 
 
-def pair_distances(shares: DataFrame, groups: DataFrame, block_terms: int = BLOCK_TERMS, block_sources: int = BLOCK_SOURCES) -> DataFrame:
+def pair_distances(shares: DataFrame, groups: DataFrame, kept: DataFrame, block_terms: int = BLOCK_TERMS, block_sources: int = BLOCK_SOURCES) -> DataFrame:
     """``lang, a, b, value`` for each two sources of a language, both ways: the sum of |p - q| over all kept terms.
 
     Blocks of sources meet in pairs, once for each block of terms, so that a task holds about
@@ -176,14 +181,16 @@ def pair_distances(shares: DataFrame, groups: DataFrame, block_terms: int = BLOC
     hashed = lambda column, n: F.pmod(F.xxhash64(column), n).cast("int")
     sizes = groups.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / block_sources).alias("blocks"), F.greatest(F.ceil(F.max("v") / block_terms), F.lit(1)).alias("parts"))
     sizes = small_side(materialize(sizes, "sizes"))
-    cells = shares.join(sizes, "lang").select("lang", "source", "term", F.col("p").alias("share"), hashed("source", F.col("blocks")).alias("block"), "blocks", hashed("term", F.col("parts")).alias("part"))
+    cells = shares.join(sizes, "lang").select("lang", "source", "term", F.col("p").alias("share"), hashed("source", F.col("blocks")).alias("block"), "blocks", hashed("term", F.col("parts")).alias("part"), F.lit(0).cast("long").alias("terms"))
     lacking = groups.join(sizes, "lang").select(
         "lang", "source", F.lit(None).cast("binary").alias("term"), F.col("none").alias("share"), hashed("source", F.col("blocks")).alias("block"), "blocks",
         F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1)).alias("part"),
     )
+    in_part = kept.join(sizes, "lang").groupBy("lang", hashed("term", F.col("parts")).alias("part")).agg(F.count(F.lit(1)).alias("terms"))
+    lacking = lacking.join(small_side(materialize(in_part, "part-sizes")), ["lang", "part"], "left").withColumn("terms", F.coalesce("terms", F.lit(0)))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))
     met = cells.unionByName(lacking).withColumn("other", other)
-    met = met.select("lang", "part", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "block", "source", "term", "share")
+    met = met.select("lang", "part", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "block", "source", "term", "share", "terms")
     sums = met.groupBy("lang", "part", "first", "second").applyInArrow(_compare, "lang string, a string, b string, value long")
     one_way = sums.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
     both = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
@@ -229,7 +236,7 @@ def source_divergence(
     shares = materialize(counts.join(small_side(groups), ["lang", "source"]).select("lang", "source", "term", "c", F.expr(share("c")).alias("p")), "shares")
 
     within = Window.partitionBy("lang", "source").orderBy(F.desc("value"), F.asc("item"))
-    pairs = pair_distances(shares.select("lang", "source", "term", "p"), groups, **blocks)
+    pairs = pair_distances(shares.select("lang", "source", "term", "p"), groups, kept, **blocks)
     pairs = pairs.select("lang", F.col("a").alias("source"), F.lit("pair").alias("part"), F.col("b").alias("item"), "value").withColumn("rank", F.row_number().over(within))
 
     whole = small_side(materialize(groups.groupBy("lang").agg(F.sum("n").cast("long").alias("n"), F.max("v").alias("v")), "languages"))

@@ -134,7 +134,7 @@ def importance_resample(
     at = F.col("before") + F.row_number().over(Window.partitionBy("part").orderBy(*order))
     ranked = ranged.join(F.broadcast(starts), "part").withColumn("rank", at).withColumn("rank", F.when(F.col("rank") <= drawn, F.col("rank")).cast("long"))
     columns = ["doc_id", "n_features", "weight", "score", "rank", *[F.col(f"carried.`{c}`").alias(c) for c in carry]]
-    return ranked.select(columns).unionByName(scored.where(~enough).withColumn("rank", F.lit(None).cast("long")).select(columns))
+    return ranked.select(columns).union(scored.where(~enough).withColumn("rank", F.lit(None).cast("long")).select(columns))
 
 
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quillmesh.llm import brown, decontaminate, divergence, exact_dedup, importance, language, packing, quality, sharding, sketch_join, substrings, warc
+from quillmesh.llm import brown, decontaminate, divergence, exact_dedup, importance, language, packing, quality, sharding, sketch_join, substrings, url_filter, warc
 
-MODULES = [brown, packing, exact_dedup, sketch_join, sharding, substrings, warc, language, quality, decontaminate, importance, divergence]
+MODULES = [brown, packing, exact_dedup, sketch_join, sharding, substrings, warc, language, quality, decontaminate, url_filter, importance, divergence]
 
 
 def queries() -> dict:
