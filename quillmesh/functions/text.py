@@ -10,9 +10,13 @@ SERIALIZER_VERSION = "1"
 SHELL_VISIBLE_BYTES, SHELL_SCRIPT_SHARE = 200, 0.4
 
 
+# fixed values: white space of any kind
+WHITE_SPACE = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def stripped(text: Column) -> Column:
     """Without white space of any kind at both ends."""
-    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def claim(line: Column) -> Column:

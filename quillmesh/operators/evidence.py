@@ -5,7 +5,6 @@ A lines table has artifact_id, page_number, line_no, text and a box l, t, r, b (
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,10 +25,10 @@ def location(left: Column, top: Column, right: Column, bottom: Column) -> Column
 
 def headings(lines: DataFrame, height: str = "height") -> DataFrame:
     """The filled lines with ``is_heading``: at least 1.5 times as high as the page's median line."""
-    lines = filled(lines)
-    medians = lines.groupBy("artifact_id", "page_number").agg(F.median(height).alias("__median"))
-    flag = F.col(height) >= HEADING_RATIO * F.col("__median")
-    return lines.join(medians, ["artifact_id", "page_number"]).withColumn("is_heading", F.coalesce(flag, F.lit(False))).drop("__median")
+    # one shuffle by artifact serves the pages' medians and the sections
+    median = F.median(height).over(Window.partitionBy("artifact_id", "page_number"))
+    flag = F.col(height) >= HEADING_RATIO * median
+    return filled(lines).repartition("artifact_id").withColumn("is_heading", F.coalesce(flag, F.lit(False)))
 
 
 def sections(lines: DataFrame) -> DataFrame:
@@ -60,16 +59,24 @@ def text_evidence(lines: DataFrame) -> DataFrame:
     )
 
 
-def table_rows(cells: list[tuple[float, float, int]], tolerance: float = ROW_TOLERANCE) -> list[list[int]]:
-    """Rows of cells (centre height, left, line number), from the top: a cell belongs to a row if it
-    is within the tolerance of the row's first cell. Gives line numbers from left to right."""
-    rows: list[list[tuple[float, float, int]]] = []
-    for cell in sorted(cells, key=lambda c: (-c[0], c[2])):
-        if rows and abs(rows[-1][0][0] - cell[0]) <= tolerance:
-            rows[-1].append(cell)
-        else:
-            rows.append([cell])
-    return [[c[2] for c in sorted(row, key=lambda c: (c[1], c[2]))] for row in rows]
+_CELL = "struct<centre:double,line_no:int,l:double,t:double,r:double,b:double,text:string>"
+
+
+def table_rows(cells: Column, tolerance: float = ROW_TOLERANCE) -> Column:
+    """Rows of cells (an array of structs with centre, line_no, l), from the top: a cell belongs to the
+    last row if it is within the tolerance of that row's first cell, and else begins one. Cells of a
+    row go from left to right."""
+    from_top = F.array_sort(cells, lambda x, y: F.when(x["centre"] != y["centre"], F.signum(y["centre"] - x["centre"])).otherwise(x["line_no"] - y["line_no"]).cast("int"))
+
+    def place(rows: Column, cell: Column) -> Column:
+        last = F.element_at(rows, -1)
+        near = (F.size(rows) > 0) & (F.abs(F.get(last, F.lit(0))["centre"] - cell["centre"]) <= tolerance)
+        grown = F.concat(F.slice(rows, 1, F.size(rows) - 1), F.array(F.concat(last, F.array(cell))))
+        return F.when(F.coalesce(near, F.lit(False)), grown).otherwise(F.concat(rows, F.array(F.array(cell))))
+
+    rows = F.aggregate(from_top, F.array().cast(f"array<array<{_CELL}>>"), place)
+    from_left = lambda x, y: F.when(x["l"] != y["l"], F.signum(x["l"] - y["l"])).otherwise(x["line_no"] - y["line_no"]).cast("int")
+    return F.transform(rows, lambda row: F.array_sort(row, from_left))
 
 
 def tables(lines: DataFrame) -> DataFrame:
@@ -77,25 +84,18 @@ def tables(lines: DataFrame) -> DataFrame:
     supporting_context``: the table of a page, if at least two rows of several cells are equally wide;
     the first is the header. The location's y0 is the top.
 
-    One page is a group; pages are small. The section is that of the page's last line.
+    The rows are a fold over the page's cells in one expression; pages are small. The section is that
+    of the page's last line.
     """
-    schema = "artifact_id long, page_number int, headers array<string>, rows array<array<string>>, location string, section string"
-
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("line_no")
-        by_line = pdf.set_index("line_no")
-        cells = [((t + b) / 2, left, n) for t, b, left, n in zip(pdf["t"], pdf["b"], pdf["l"], pdf["line_no"])]
-        wide = [row for row in table_rows(cells) if len(row) >= 2]
-        if len(wide) < 2 or len({len(row) for row in wide}) > 1:
-            return pd.DataFrame(columns=["artifact_id", "page_number", "headers", "rows", "location", "section"])
-        box = by_line.loc[[n for row in wide for n in row]]
-        texts = [[by_line.loc[n, "text"] for n in row] for row in wide]
-        # Python's rounding of the box differs from the JVM's, and is what readers of the text expect
-        place = f"x0={box['l'].min():.2f},y0={box['t'].max():.2f},x1={box['r'].max():.2f},y1={box['b'].min():.2f}"
-        return pd.DataFrame([(pdf["artifact_id"].iloc[0], pdf["page_number"].iloc[0], texts[0], texts[1:], place, pdf["section"].iloc[-1])], columns=["artifact_id", "page_number", "headers", "rows", "location", "section"])
-
-    rows = sections(headings(lines)).select("artifact_id", "page_number", "line_no", "text", "section", *(F.col(c).cast("double").alias(c) for c in "ltrb"))
-    found = rows.groupBy("artifact_id", "page_number").applyInPandas(build, schema)
+    rows = sections(headings(lines))
+    cell = F.struct(((F.col("t") + F.col("b")) / 2).cast("double").alias("centre"), F.col("line_no").cast("int").alias("line_no"), *(F.col(c).cast("double").alias(c) for c in "ltrb"), "text")
+    pages = rows.groupBy("artifact_id", "page_number").agg(table_rows(F.collect_list(cell)).alias("found"), F.max_by("section", "line_no").alias("section"))
+    wide = pages.withColumn("wide", F.filter("found", lambda row: F.size(row) >= 2))
+    even = (F.size("wide") >= 2) & (F.size(F.array_distinct(F.transform("wide", F.size))) == 1)
+    every, texts = F.flatten("wide"), F.transform("wide", lambda row: row["text"])
+    side = lambda pick, c: pick(F.transform(every, lambda x: x[c]))
+    place = location(side(F.array_min, "l"), side(F.array_max, "t"), side(F.array_max, "r"), side(F.array_min, "b"))
+    found = wide.where(even).select("artifact_id", "page_number", F.get(texts, F.lit(0)).alias("headers"), F.slice(texts, 2, F.size(texts)).alias("rows"), place.alias("location"), "section")
     header = F.array_join("headers", " | ")
     context = F.array_join(F.concat(F.array(header), F.transform("rows", lambda row: F.array_join(row, " | "))), "\n")
     return found.select("*", F.lit("table").alias("evidence_type"), F.lit("Table").alias("claim"), header.alias("value"), context.alias("supporting_context"))

@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmesh.storage import materialize
+from quillmesh.storage import materialize, small_side
 
 UNHEALTHY_AFTER = 3
 BACKOFF_BASE, BACKOFF_MOST = 1.0, 60.0
@@ -93,32 +93,27 @@ def with_retry_numbers(attempts: DataFrame) -> DataFrame:
     return attempts.withColumn("retry_number", F.row_number().over(_ordered("run_id", "url")) - 1)
 
 
-def _ranges(attempts: DataFrame) -> Column:
-    """The number of a row's time range; ranges hold about equally many rows of the whole ledger."""
-    n = int(attempts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = attempts.agg(F.percentile_approx("occurred_at", [i / n for i in range(1, n)] or [0.5], 1000)).first()[0] or []
-    starts = F.array(*map(F.lit, sorted(set(cuts)))) if cuts else F.array().cast("array<int>")
-    return F.coalesce(F.size(F.filter(starts, lambda x: x <= F.col("occurred_at"))), F.lit(0)) if cuts else F.lit(0)
-
-
 def _since_reset(attempts: DataFrame, key: str, counted: Column, reset: Column) -> DataFrame:
     """``streak``: counted rows since the last reset of the key, this row included; ``streak_before``:
     the same up to the row before.
 
-    Each key's rows are cut into time ranges, which are counted apart; what a range takes over from
+    The ledger is cut into ranges of (key, time), which are counted apart; what a range takes over from
     those before it comes from one row a range and key. So a hot key is the work of many tasks.
     """
-    rows = attempts.withColumn("__range", _ranges(attempts))
+    ranged = attempts.repartitionByRange(key, "occurred_at", "attempt_id")
+    rows = ranged.withColumn("__range", F.spark_partition_id())
     inside = _ordered(key, "__range").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("__island", F.sum(reset.cast("int")).over(inside))
     island = _ordered(key, "__range", "__island").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("streak", F.sum(counted.cast("int")).over(island)).withColumn("streak_before", F.lag("streak").over(_ordered(key, "__range")))
+    # written, as it is read twice and its ranges could differ in a second run
+    rows = materialize(rows, "streaks")
     ends = rows.groupBy(key, "__range").agg(F.max_by("streak", F.struct("occurred_at", "attempt_id")).alias("__tail"), (F.max("__island") > 0).cast("int").alias("__reset"))
     by_range = Window.partitionBy(key).orderBy("__range")
     ends = ends.withColumn("__since", F.sum("__reset").over(by_range))
     ends = ends.withColumn("__sum", F.sum("__tail").over(Window.partitionBy(key, "__since").orderBy("__range")))
     ends = ends.select(F.col(key).alias("__key"), F.col("__range").alias("__of"), F.coalesce(F.lag("__sum").over(by_range), F.lit(0)).alias("__carried"))
-    joined = rows.join(ends, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__range") == F.col("__of")))
+    joined = rows.join(small_side(materialize(ends, "range-ends")), F.col(key).eqNullSafe(F.col("__key")) & (F.col("__range") == F.col("__of")))
     streak = F.col("streak") + F.when(F.col("__island") == 0, F.col("__carried")).otherwise(0)
     # the row before is in the same island, or is the first island's, if nothing was reset up to it
     carried_before = F.when(F.col("__island") - reset.cast("int") == 0, F.col("__carried")).otherwise(0)

@@ -529,7 +529,7 @@ c AS (SELECT *, last_value(CASE WHEN is_heading THEN line END IGNORE NULLS) OVER
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of documents, blank ones included; a stripped line's length stands for its height."""
     rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("artifact_id"), F.lit(1).alias("page_number"), F.posexplode(F.split("text", "\n")).alias("line_no", "text"))
-    return rows.withColumn("height", F.length(tx.stripped(F.col("text"))).cast("double"))
+    return rows.withColumn("text", tx.stripped(F.col("text"))).withColumn("height", F.length("text").cast("double"))
 
 
 @register(

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 from urllib.parse import urldefrag, urljoin, urlsplit
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # fixed values: relations of resources that are not pages, and schemes that can be followed
@@ -96,20 +96,34 @@ def response_links(content: bytes | None, content_type: str | None, url: str) ->
         yield from _joined(url, robots_links(content or b""))
 
 
-def links(captured: DataFrame) -> DataFrame:
-    """``url, position, link, is_pagination, is_resource`` of captured responses (url, final_url,
-    content_type, content). Null content has no links."""
-    columns = "url string, position int, link string, is_pagination boolean, is_resource boolean"
+class ResponseLinks:
+    """The table function ``response_links(content, content_type, url)``: ``position, link,
+    is_pagination, is_resource`` of one response. Null content or url has no links."""
+
+    def eval(self, content: bytes | None, content_type: str | None, url: str | None):
+        if content is not None and url is not None:
+            for position, link in enumerate(response_links(bytes(content), content_type, url)):
+                yield position, *link
+
 
-    def parse(frames):
-        import pandas as pd
+def register_links(spark: SparkSession) -> str:
+    """Make the table function known to SQL and return its name; it goes with LATERAL."""
+    function = F.udtf(ResponseLinks, returnType="position int, link string, is_pagination boolean, is_resource boolean", useArrow=True)
+    spark.udtf.register("response_links", function)
+    return "response_links"
 
-        for pdf in frames:
-            rows = [
-                (url, i, *link)
-                for url, final, kind, content in zip(pdf["url"], pdf["final_url"], pdf["content_type"], pdf["content"])
-                for i, link in enumerate(response_links(content, kind, final or url))
-            ]
-            yield pd.DataFrame(rows, columns=["url", "position", "link", "is_pagination", "is_resource"])
 
-    return captured.select("url", "final_url", "content_type", F.col("content").cast("binary").alias("content")).mapInPandas(parse, columns)
+def lateral_links(captured: DataFrame, *keys: str) -> DataFrame:
+    """``keys, position, link, is_pagination, is_resource`` of captured responses (url, content_type,
+    content, and the keys): each response joined to its links."""
+    spark = captured.sparkSession
+    named = captured.select(*keys, F.col("url").alias("__url"), F.col("content_type").alias("__type"), F.col("content").cast("binary").alias("__content"))
+    own = "".join(f"c.`{k}`, " for k in keys)
+    return spark.sql(f"SELECT {own}l.* FROM {{rows}} c, LATERAL {register_links(spark)}(c.__content, c.__type, c.__url) l", rows=named)
+
+
+def links(captured: DataFrame) -> DataFrame:
+    """``url, position, link, is_pagination, is_resource`` of captured responses (url, final_url,
+    content_type, content), whose links start from the final URL."""
+    rows = captured.select(F.col("url").alias("requested"), F.coalesce(F.when(F.col("final_url") != "", F.col("final_url")), "url").alias("url"), "content_type", "content")
+    return lateral_links(rows, "requested").withColumnRenamed("requested", "url")

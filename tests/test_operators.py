@@ -166,9 +166,37 @@ def test_blank_lines_count_nowhere(spark):
     assert got == {2: ("heading", "Title", "Title"), 3: ("text", "Title", "a: b"), 4: ("text", "Title", "c")}
 
 
-def test_table_rows_anchor_on_the_first_cell():
-    # 0, 3, 6: the third is within reach of the second, but not of the first
-    assert evidence.table_rows([(10.0, 0, 0), (7.0, 5, 1), (4.0, 0, 2)]) == [[0, 1], [2]]
+@pytest.mark.parametrize(
+    "cells,rows",
+    [
+        # 10, 7, 4: the third is within reach of the second, but not of the first
+        ([(10.0, 0.0, 0), (7.0, 5.0, 1), (4.0, 0.0, 2)], [[0, 1], [2]]),
+        ([], []),
+        # from left to right, and by line where they stand at one place
+        ([(5.0, 9.0, 0), (5.0, 1.0, 3), (5.0, 1.0, 2), (5.0, 4.0, 1)], [[2, 3, 1, 0]]),
+        # of equal heights the first line begins the row
+        ([(-1.5, 0.0, 7), (-1.5, 0.0, 3), (-5.5, 0.0, 1), (-5.6, 0.0, 0)], [[1, 3, 7], [0]]),
+    ],
+)
+def test_table_rows(spark, cells, rows):
+    df = spark.createDataFrame([([(c, n, x, 0.0, 0.0, 0.0, "") for c, x, n in cells],)], f"cells array<{evidence._CELL}>")
+    assert [[c.line_no for c in row] for row in df.select(evidence.table_rows(F.col("cells")).alias("x")).first().x] == rows
+
+
+def test_uneven_and_single_rows_are_no_table(spark):
+    boxes = lambda rows: [(1, 1, n, f"c{n}", float(x), 100.0 - 10 * row, x + 5.0, 95.0 - 10 * row, 5.0) for n, (row, x) in enumerate(rows)]
+    schema = "artifact_id long, page_number int, line_no int, text string, l double, t double, r double, b double, height double"
+    for rows, n in (([(0, 1), (0, 50), (1, 1), (1, 50), (1, 90)], 0), ([(0, 1), (0, 50), (1, 1)], 0), ([(0, 1), (0, 50), (1, 1), (2, 1), (2, 50)], 1)):
+        assert evidence.tables(spark.createDataFrame(boxes(rows), schema)).count() == n
+
+
+def test_stripped_takes_white_space_of_any_kind(spark):
+    from quillmesh.functions.text import WHITE_SPACE, stripped
+
+    assert set(WHITE_SPACE) == {chr(i) for i in range(0x110000) if chr(i).isspace()}
+    texts = [f"{w}a{w}b{w}" for w in WHITE_SPACE] + ["", WHITE_SPACE, "\u200b x \u200b", None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", stripped(F.col("t")).alias("s")).collect()
+    assert all(r.s == (r.t.strip() if r.t is not None else None) for r in got)
 
 
 def test_retrieval_ranks_and_zero_vectors(spark):
