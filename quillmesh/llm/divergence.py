@@ -1,8 +1,8 @@
 """How far the sources of a language differ in their terms (operator 13).
 
 Kept terms are found by iceberg prefix refinement: a term in enough documents has only prefixes in
-at least as many, so prefixes (of bytes) are extended level by level, each level twice as long, and
-those in too few documents are discarded with all that they begin, until only complete terms remain.
+at least as many, so prefixes (of bytes) are extended level by level, each level three times as long,
+and those in too few documents are discarded with all that they begin, until only complete terms remain.
 A document is one row and lies in one task, so distinct documents are counted without shuffling ids:
 tasks send partial counts of prefixes that are still alive. Shares are exact integers.
 """
@@ -14,49 +14,43 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillmesh.llm.terms import distinct_pairs, slices, split_terms, summed
+from quillmesh.llm.terms import distinct_pairs, letter_terms, slices, summed
 from quillmesh.llm.words import freeing
 from quillmesh.storage import materialize, new_path, small_side
 
-#: What lies between terms, after A-Z are lower-cased: ASCII other than letters.
-SEPARATORS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 LEAST_DOCUMENTS, PRIOR, SCALE, TOP_TERMS = 30, 5, 1_000_000_000, 50
-#: Bytes of the first level's prefixes.
-FIRST_LEVEL = 3
-#: Tasks get hashes of what is alive, as a filter, when there are no more than this (8 bytes each); beyond, partial counts meet it by a join.
-FILTER_ROWS = 1_000_000
+#: Bytes of the first level's prefixes, and by how much each level is longer than the one before.
+FIRST_LEVEL, EXTENSION = 4, 3
+#: Tasks are told what is alive when it is no more terms than this, of so many bytes on average; beyond, partial counts meet it by a join.
+KNOWN_TERMS, BYTES_A_TERM = 500_000, 32
 #: Terms and, on average, sources whose shares one task compares.
 BLOCK_TERMS, BLOCK_SOURCES = 1024, 64
 
 
-def _hash(lang: bytes, term: bytes) -> int:
-    """Spark's ``xxhash64(lang, term)``."""
-    value = xxhash.xxh64_intdigest(term, seed=xxhash.xxh64_intdigest(lang, seed=42))
-    return value - 2**64 if value >= 2**63 else value
+class Known:
+    """What is alive, as (language, term) pairs numbered from 0 in the order of a table (columns lang,
+    term); without a table every pair may be alive."""
 
+    def __init__(self, table: pa.Table | None):
+        self.all = table is None
+        if table is not None:
+            lang, self.langs = _coded(table.column("lang").cast(pa.string()).combine_chunks())
+            term, self.terms = _coded(table.column("term").cast(pa.binary()).combine_chunks())
+            codes = lang * max(len(self.terms), 1) + term
+            self.order = np.argsort(codes)
+            self.codes = codes[self.order]
 
-class Filter:
-    """Sorted hashes of what is alive; None passes everything on."""
-
-    def __init__(self, hashes: np.ndarray | None):
-        self.hashes = None if hashes is None else np.sort(hashes)
-
-    def passes(self, langs: list[bytes], terms: pa.Array, lang: np.ndarray, term: np.ndarray) -> np.ndarray:
-        """Which (lang, term) pairs of indices may be alive."""
-        if self.hashes is None:
-            return np.ones(len(lang), bool)
-        different, at = np.unique(lang * len(terms) + term, return_inverse=True)
-        plain = terms.cast(pa.binary()).to_pylist()
-        own = np.array([_hash(langs[i], plain[j]) for i, j in zip((different // max(len(terms), 1)).tolist(), (different % max(len(terms), 1)).tolist())], np.int64)
-        place = np.searchsorted(self.hashes, own)
-        found = np.zeros(len(own), bool)
-        inside = place < len(self.hashes)
-        found[inside] = self.hashes[place[inside]] == own[inside]
-        return found[at]
+    def numbers(self, langs: pa.Array, terms: pa.Array, lang: np.ndarray, term: np.ndarray) -> np.ndarray:
+        """The numbers of pairs of indices of ``langs`` and ``terms``; -1 of those that aren't alive."""
+        own_lang, own_term = (pc.index_in(x.cast(kind), value_set=known).fill_null(-1).to_numpy().astype(np.int64) for x, known, kind in ((langs, self.langs, pa.string()), (terms, self.terms, pa.binary())))
+        lang, term = own_lang[lang], own_term[term]
+        code = np.where((lang >= 0) & (term >= 0), lang * max(len(self.terms), 1) + term, -1)
+        place = np.minimum(np.searchsorted(self.codes, code), max(len(self.codes) - 1, 0))
+        found = self.codes[place] == code if len(self.codes) else np.zeros(len(code), bool)
+        return np.where(found, self.order[place] if len(self.codes) else -1, -1)
 
 
 def _coded(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
@@ -64,9 +58,9 @@ def _coded(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return coded.indices.fill_null(0).to_numpy().astype(np.int64), coded.dictionary
 
 
-def _prefixes(part: pa.RecordBatch, before: int, width: int, alive: Filter) -> pa.RecordBatch:
+def _prefixes(part: pa.RecordBatch, before: int, width: int, alive: Known) -> pa.RecordBatch:
     """``lang, whole, prefix, docs``: of terms longer than ``before`` bytes whose prefix of that length is alive."""
-    row, index, terms = split_terms(part.column(1), SEPARATORS)
+    row, index, terms = letter_terms(part.column(1))
     plain = terms.cast(pa.binary())
     sizes = pc.binary_length(plain).to_numpy()
     longer = sizes > before
@@ -78,9 +72,9 @@ def _prefixes(part: pa.RecordBatch, before: int, width: int, alive: Filter) -> p
     row, candidate = distinct_pairs(row, candidate[index], part.num_rows, 2 * len(prefixes))
     found, docs = np.unique(lang[row] * (2 * max(len(prefixes), 1)) + candidate, return_counts=True)
     lang, candidate = found // (2 * max(len(prefixes), 1)), found % (2 * max(len(prefixes), 1))
-    if before:
+    if not alive.all:
         parent, parents = _coded(pc.binary_slice(prefixes, 0, before))
-        passed = alive.passes([x.encode() for x in langs.to_pylist()], parents, lang, parent[candidate // 2])
+        passed = alive.numbers(langs, parents, lang, parent[candidate // 2]) >= 0
         lang, candidate, docs = lang[passed], candidate[passed], docs[passed]
     return pa.RecordBatch.from_arrays([langs.take(pa.array(lang)), pa.array(candidate % 2 == 1), prefixes.take(pa.array(candidate // 2)), pa.array(docs)], ["lang", "whole", "prefix", "docs"])
 
@@ -90,56 +84,84 @@ def _prefix_task(batches: Iterator[pa.RecordBatch], before: int, width: int, sen
     yield from summed((_prefixes(part, before, width, sent.value) for part in slices(batches, 1)), ["lang", "whole", "prefix"], "docs")
 
 
-def _occurrences(part: pa.RecordBatch, alive: Filter) -> pa.RecordBatch:
-    """``lang, source, term, c``: of terms that may be kept."""
-    row, index, terms = split_terms(part.column(2), SEPARATORS)
-    lang, langs = _coded(part.column(0))
-    source, sources = _coded(part.column(1))
-    group, at = np.unique(lang * len(sources) + source, return_inverse=True)
-    found, count = np.unique(at[row] * max(len(terms), 1) + index, return_counts=True)
-    group, term = group[found // max(len(terms), 1)], found % max(len(terms), 1)
-    lang, source = group // max(len(sources), 1), group % max(len(sources), 1)
-    plain = terms.cast(pa.binary())
-    passed = alive.passes([x.encode() for x in langs.to_pylist()], plain, lang, term)
-    lang, source, term, count = (x[passed] for x in (lang, source, term, count))
-    return pa.RecordBatch.from_arrays([langs.take(pa.array(lang)), sources.take(pa.array(source)), plain.take(pa.array(term)), pa.array(count)], ["lang", "source", "term", "c"])
+def _counted(lang: pa.Array, source: pa.Array, text: pa.Array) -> tuple:
+    """Every (language, source, term) of texts, as indices, with its occurrences."""
+    row, index, terms = letter_terms(text)
+    lang, langs = _coded(lang)
+    source, sources = _coded(source)
+    group, at = np.unique(lang * max(len(sources), 1) + source, return_inverse=True)
+    size = max(len(terms), 1)
+    code = at[row] * size + index
+    if len(group) * size <= 16 * len(row) + 1024:
+        count = np.bincount(code, minlength=len(group) * size)
+        found = np.flatnonzero(count)
+        count = count[found]
+    else:
+        found, count = np.unique(code, return_counts=True)
+    group = group[found // size]
+    return langs, sources, terms, group // max(len(sources), 1), group % max(len(sources), 1), found % size, count
+
+
+@freeing
+def _numbered_task(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
+    """``source, number, c``: occurrences of the terms that are known, by their numbers."""
+
+    def counts() -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 2):
+            langs, sources, terms, lang, source, term, count = _counted(part.column(0), part.column(1), part.column(2))
+            number = sent.value.numbers(langs, terms, lang, term)
+            some = number >= 0
+            yield pa.RecordBatch.from_arrays([sources.take(pa.array(source[some])), pa.array(number[some].astype(np.int32)), pa.array(count[some])], ["source", "number", "c"])
+
+    yield from summed(counts(), ["source", "number"], "c")
 
 
 @freeing
-def _occurrence_task(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
-    yield from summed((_occurrences(part, sent.value) for part in slices(batches, 2)), ["lang", "source", "term"], "c")
+def _occurrence_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``lang, source, term, c``: occurrences of all terms."""
+
+    def counts() -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 2):
+            langs, sources, terms, lang, source, term, count = _counted(part.column(0), part.column(1), part.column(2))
+            yield pa.RecordBatch.from_arrays([langs.take(pa.array(lang)), sources.take(pa.array(source)), terms.cast(pa.binary()).take(pa.array(term)), pa.array(count)], ["lang", "source", "term", "c"])
+
+    yield from summed(counts(), ["lang", "source", "term"], "c")
 
 
-def _filter(alive: DataFrame, limit: int) -> Filter:
-    """A filter for tasks behind a count of its rows."""
-    if alive.limit(limit + 1).count() > limit:
-        return Filter(None)
-    hashes = alive.select(F.xxhash64("lang", "prefix").alias("h")).toArrow().column("h")
-    return Filter(hashes.to_numpy())
+def _known(alive: DataFrame, limit: int) -> pa.Table | None:
+    """The pairs (columns lang, term), if their number and bytes show that tasks can have them all."""
+    size = alive.limit(limit + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("lang") + F.octet_length("term")), F.lit(0))).first()
+    return alive.toArrow() if size[0] <= limit and size[1] <= limit * BYTES_A_TERM else None
 
 
-def kept_terms(rows: DataFrame, least: int, limit: int = FILTER_ROWS, first: int = FIRST_LEVEL) -> DataFrame:
+def kept_terms(rows: DataFrame, least: int, limit: int = KNOWN_TERMS, first: int = FIRST_LEVEL) -> DataFrame:
     """``lang, term`` (bytes): the terms in at least ``least`` rows of a language (columns lang, text; no nulls)."""
     spark = rows.sparkSession
-    path, before, width, alive, filtered = new_path(spark, "kept-terms"), 0, first, None, Filter(None)
+    path, before, width, alive, known = new_path(spark, "kept-terms"), 0, first, None, None
     while True:
-        sent = spark.sparkContext.broadcast(filtered)
+        sent = spark.sparkContext.broadcast(Known(known))
         counted = rows.select("lang", "text").mapInArrow(lambda x, a=before, b=width, s=sent: _prefix_task(x, a, b, s), "lang string, whole boolean, prefix binary, docs long")
-        if before and filtered.hashes is None:
-            counted = counted.join(alive.select("lang", F.col("prefix").alias("parent")), (F.substring(counted["prefix"], 1, before) == F.col("parent")) & (counted["lang"] == alive["lang"]), "left_semi")
+        if before and known is None:
+            parents = alive.select(F.col("lang").alias("parent_lang"), F.col("term").alias("parent"))
+            counted = counted.join(parents, (F.substring("prefix", 1, before) == F.col("parent")) & (F.col("lang") == F.col("parent_lang")), "left_semi")
         level = materialize(counted.groupBy("lang", "whole", "prefix").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least), "prefixes")
         level.where("whole").select("lang", F.col("prefix").alias("term")).write.mode("append").parquet(path)
-        alive = level.where("NOT whole").select("lang", "prefix")
+        alive = level.where("NOT whole").select("lang", F.col("prefix").alias("term"))
         if alive.isEmpty():
             return spark.read.schema("lang string, term binary").parquet(path)
-        filtered, before, width = _filter(alive, limit), width, 2 * width
+        known, before, width = _known(alive, limit), width, EXTENSION * width
 
 
-def term_counts(rows: DataFrame, kept: DataFrame, limit: int = FILTER_ROWS) -> DataFrame:
+def term_counts(rows: DataFrame, kept: DataFrame, limit: int = KNOWN_TERMS) -> DataFrame:
     """``lang, source, term, c``: occurrences (at least one) of kept terms in each group."""
-    sent = rows.sparkSession.sparkContext.broadcast(_filter(kept.withColumnRenamed("term", "prefix"), limit))
-    counted = rows.select("lang", "source", "text").mapInArrow(lambda x: _occurrence_task(x, sent), "lang string, source string, term binary, c long")
-    return counted.groupBy("lang", "source", "term").agg(F.sum("c").alias("c")).join(small_side(kept), ["lang", "term"], "left_semi")
+    spark, rows, known = rows.sparkSession, rows.select("lang", "source", "text"), _known(kept, limit)
+    if known is None:
+        counted = rows.mapInArrow(_occurrence_task, "lang string, source string, term binary, c long").join(kept, ["lang", "term"], "left_semi")
+        return counted.groupBy("lang", "source", "term").agg(F.sum("c").alias("c"))
+    sent = spark.sparkContext.broadcast(Known(known))
+    counted = rows.mapInArrow(lambda x: _numbered_task(x, sent), "source string, number int, c long").groupBy("source", "number").agg(F.sum("c").alias("c"))
+    numbered = spark.createDataFrame(known.append_column("number", pa.array(np.arange(known.num_rows), pa.int32())), "lang string, term binary, number int")
+    return counted.join(small_side(numbered), "number").select("lang", "source", "term", "c")
 
 
 def _compare(table: pa.Table) -> pa.Table:

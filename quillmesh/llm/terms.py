@@ -29,10 +29,27 @@ def slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Record
 def split_terms(texts: pa.Array, separators: str) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Row and dictionary index of every term of the texts, in order, and the dictionary. A-Z are
     lower-cased; what ``separators`` matches lies between terms; null has none."""
-    lists = pc.split_pattern_regex(pc.ascii_lower(texts.fill_null("")), pattern=separators)
+    return _coded_lists(pc.split_pattern_regex(pc.ascii_lower(texts.fill_null("")), pattern=separators))
+
+
+def letter_terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """``split_terms`` where terms are runs of letters and non-ASCII signs: bytes are mapped in one go
+    over the whole column, so that a plain split by white space is left."""
+    texts = texts.fill_null("").cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = (texts.buffers()[2] or pa.py_buffer(b"")).slice(int(offsets[0]), int(offsets[-1] - offsets[0])).to_pybytes()
+    mapped = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(np.ascontiguousarray(offsets - offsets[0])), pa.py_buffer(data.translate(_LETTERS)))
+    return _coded_lists(pc.ascii_split_whitespace(mapped))
+
+
+#: A-Z to a-z, other ASCII than letters to spaces.
+_LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
+
+
+def _coded_lists(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     words = pc.list_flatten(lists).dictionary_encode()
     row, index = pc.list_parent_indices(lists).to_numpy().astype(np.int64), words.indices.to_numpy().astype(np.int64)
-    empty = pc.index(words.dictionary, "").as_py()
+    empty = pc.index(words.dictionary, pa.scalar("", words.dictionary.type)).as_py()
     if empty >= 0:
         some = index != empty
         row, index = row[some], index[some]

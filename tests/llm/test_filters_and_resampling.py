@@ -140,13 +140,30 @@ def test_source_divergence_of_nothing(spark):
     assert diverged_by_operator(spark, []) == []
 
 
-def test_hashes_of_tasks_are_those_of_spark(spark):
-    from pyspark.sql import functions as F
-    from quillmesh.llm.divergence import _hash
-
-    pairs = [("", ""), ("en", "the"), ("é", "x" * 40), ("de", "ß" * 17)]
-    got = spark.createDataFrame(pairs, "a string, b string").select("a", "b", F.xxhash64("a", F.col("b").cast("binary")).alias("h")).collect()
-    assert all(_hash(r.a.encode(), r.b.encode()) == r.h for r in got)
+def test_known_terms_have_their_numbers():
+    import numpy as np
+    import pyarrow as pa
+    from quillmesh.llm.divergence import Known
+
+    pairs = [("en", b"the"), ("de", b"the"), ("de", b"\xc3\xbc"), ("", b"a")]
+    known = Known(pa.table({"lang": [p[0] for p in pairs], "term": pa.array([p[1] for p in pairs], pa.binary())}))
+    langs, terms = ["", "de", "xx", "en"], [b"a", b"the", b"\xc3\xbc", b"th"]
+    every = [(i, j) for i in range(4) for j in range(4)]
+    got = known.numbers(pa.array(langs), pa.array(terms, pa.binary()), *map(np.array, zip(*every)))
+    assert got.tolist() == [pairs.index((langs[i], terms[j])) if (langs[i], terms[j]) in pairs else -1 for i, j in every]
+    none = Known(pa.table({"lang": pa.array([], pa.string()), "term": pa.array([], pa.binary())}))
+    assert none.numbers(pa.array(langs), pa.array(terms, pa.binary()), np.array([0]), np.array([0])).tolist() == [-1]
+
+
+def test_letter_terms_are_split_terms(rows):
+    import pyarrow as pa
+    from quillmesh.llm.terms import letter_terms, split_terms
+
+    texts = pa.array([r[1] for r in rows] + ["A\x00B\x7fÇ-é_9z"], pa.string()).slice(3)
+    found = [f(texts, *more) for f, more in ((letter_terms, ()), (split_terms, (r"[\x00-\x40\x5B-\x60\x7B-\x7F]+",)))]
+    words = [(row.tolist(), terms.take(pa.array(index)).to_pylist()) for row, index, terms in found]
+    assert words[0] == words[1] and len(words[0][0]) > 1000
+    assert len(letter_terms(pa.array([], pa.string()))[0]) == 0 and len(letter_terms(pa.array([None, ""], pa.string()))[0]) == 0
 
 
 def test_prefixes_shrink_to_the_kept_terms(spark):
