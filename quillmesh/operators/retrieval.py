@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from quillmesh.storage import materialize
+
 #: Bytes of vectors in a block, of blocks that are sent to all tasks, and scores that a task holds.
 BLOCK_BYTES, BROADCAST_BYTES, SCORES_TOGETHER = 8_000_000, 64_000_000, 4_000_000
 _FOUND = "query_id long, target_id long, similarity double"
@@ -26,6 +29,12 @@ def require_dimension(vectors: DataFrame, column: str, dimension: int) -> DataFr
     return vectors.withColumn(column, F.when(F.size(column) == dimension, F.col(column)).otherwise(F.raise_error(wrong)))
 
 
+def require_finite(vectors: DataFrame, column: str) -> DataFrame:
+    """``vectors``, failing on the first row whose vector has an element that is null, NaN or infinite."""
+    odd = F.exists(column, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return vectors.withColumn(column, F.when(odd, F.raise_error(F.lit("a vector has an element that is no finite number"))).otherwise(F.col(column)))
+
+
 def _unit(vectors) -> np.ndarray:
     m = np.array(list(vectors), dtype=np.float64)
     norm = np.linalg.norm(m, axis=1, keepdims=True)
@@ -82,14 +91,24 @@ def top_k(queries: DataFrame, targets: DataFrame, k: int, id_col: str = "vec_id"
     have similarity 0. Both sides become blocks of bounded size, and every pair of blocks is one matrix
     product in a task. ``few`` names the smaller side: if its blocks are within ``BROADCAST_BYTES``
     they are sent to all tasks, else blocks meet blocks on the executors; only k rows a query and pair
-    of blocks are shuffled. Null vectors and ids take no part.
+    of blocks are shuffled. Null vectors and ids take no part. Vectors of uneven dimensions are an
+    error, and so are elements that are null, NaN or infinite.
     """
     usable = f"{id_col} IS NOT NULL AND {vector_col} IS NOT NULL"
     queries, targets = queries.where(usable).select(id_col, vector_col), targets.where(usable).select(id_col, vector_col)
     small, large = (queries, targets) if few == "queries" else (targets, queries)
-    size = small.agg(F.coalesce(F.sum(F.size(vector_col).cast("long")), F.lit(0))).first()[0] * 8
+    elements, least, most = small.agg(F.coalesce(F.sum(F.size(vector_col).cast("long")), F.lit(0)), F.min(F.size(vector_col)), F.max(F.size(vector_col))).first()
+    size = elements * 8
+    if least != most:
+        raise ValueError(f"vectors of {least} to {most} dimensions")
+    if most is not None:
+        small, large = (require_finite(require_dimension(x, vector_col, most), vector_col) for x in (small, large))
     blocks = _packed(small.coalesce(max(1, size // BLOCK_BYTES)), id_col, vector_col).select(F.col("ids").alias("small_ids"), F.col("data").alias("small_data"))
-    pairs = _packed(large, id_col, vector_col).crossJoin(F.broadcast(blocks) if size <= BROADCAST_BYTES else blocks)
+    packed = _packed(large, id_col, vector_col)
+    if size <= BROADCAST_BYTES:
+        pairs = packed.crossJoin(F.broadcast(blocks))
+    else:  # each pair of blocks meets once; blocks are packed once
+        pairs = materialize(packed, "large-blocks").crossJoin(materialize(blocks, "small-blocks"))
 
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -112,6 +131,16 @@ def top_k(queries: DataFrame, targets: DataFrame, k: int, id_col: str = "vec_id"
     return ranked.select("query_id", "rank", "target_id", F.round("similarity", 6).alias("similarity"))
 
 
+def timed(ranked: DataFrame, action: Callable[[DataFrame], None]) -> dict[str, float]:
+    """Run ``action`` (such as writing) on ranked hits and return ``queries, rows, seconds,
+    ms_per_query``. Queries and rows are counted in the same pass, so nothing runs twice."""
+    seen, began = Observation("retrieval"), time.perf_counter()
+    action(ranked.observe(seen, F.count_if(F.col("rank") == 1).alias("queries"), F.count(F.lit(1)).alias("rows")))
+    seconds = time.perf_counter() - began
+    found = seen.get
+    return {**found, "seconds": seconds, "ms_per_query": 1000 * seconds / found["queries"] if found["queries"] else None}
+
+
 def hit_frequency(ranked: DataFrame, types: DataFrame, most: int = 10) -> DataFrame:
     """``evidence_type, target_id, hits, place``: the targets hit most by each type of query."""
     counted = ranked.join(types, "query_id").groupBy("evidence_type", "target_id").agg(F.count(F.lit(1)).alias("hits"))

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from quillmesh.plans import catalogue, state  # noqa: F401  (state adds its queries to the catalogue)
+from quillmesh.plans import catalogue, formats, state  # noqa: F401  (the last two add their queries to the catalogue)
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 

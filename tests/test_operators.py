@@ -199,6 +199,33 @@ def test_stripped_takes_white_space_of_any_kind(spark):
     assert all(r.s == (r.t.strip() if r.t is not None else None) for r in got)
 
 
+@pytest.mark.parametrize("odd,error", [([1.0, float("nan")], "finite"), ([1.0, None], "finite"), ([float("inf"), 0.0], "finite"), ([1.0], "dimensions"), ([1.0, 2.0, 3.0], "dimensions")])
+@pytest.mark.parametrize("few", ["queries", "targets"])
+def test_odd_vectors_are_errors(spark, odd, error, few):
+    schema = "vec_id long, embedding array<float>"
+    good, bad = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], schema), spark.createDataFrame([(5, [1.0, 0.0]), (6, odd)], schema)
+    for queries, targets in ((good, bad), (bad, good)):
+        with pytest.raises(Exception, match=error):
+            retrieval.top_k(queries, targets, 2, few=few).collect()
+
+
+def test_top_k_of_sides_too_large_for_a_broadcast(spark, monkeypatch):
+    rng = __import__("random").Random(3)
+    vectors = spark.createDataFrame([(i, [rng.random() for _ in range(8)]) for i in range(300)], "vec_id long, embedding array<double>")
+    want = sorted(map(tuple, retrieval.top_k(vectors, vectors, 4).collect()))
+    monkeypatch.setattr(retrieval, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(retrieval, "BLOCK_BYTES", 2000)
+    assert sorted(map(tuple, retrieval.top_k(vectors, vectors, 4).collect())) == want
+
+
+def test_times_come_from_the_pass_itself(spark):
+    vectors = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(6)], "vec_id long, embedding array<double>")
+    written = []
+    times = retrieval.timed(retrieval.top_k(vectors, vectors, 3), lambda rows: written.extend(rows.collect()))
+    assert (times["queries"], times["rows"]) == (6, 18) and len(written) == 18 and times["ms_per_query"] == pytest.approx(1000 * times["seconds"] / 6)
+    assert retrieval.timed(retrieval.top_k(vectors.limit(0), vectors, 3), lambda rows: rows.collect())["ms_per_query"] is None
+
+
 def test_retrieval_ranks_and_zero_vectors(spark):
     e0 = [1.0] + [0.0] * 3
     targets = spark.createDataFrame([(1, e0), (2, [0.0, 1.0, 0.0, 0.0]), (3, [-1.0, 0.0, 0.0, 0.0]), (4, [0.0] * 4), (5, None)], "vec_id long, embedding array<float>")
