@@ -33,6 +33,8 @@ WORKERS_TOGETHER = 64
 END_ID = 1
 CACHED_WORDS = 150_000
 LONG_WORD = 1000
+# fixed values: white space other than the space and the newline
+ODD_SPACES = "\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, class int, worker int, open boolean"
 
@@ -93,22 +95,27 @@ class Encoder:
     def _word(self, word: str) -> bytes:
         return self._exact(word) if len(word) > LONG_WORD else self._bytes(self.quick.encode_ordinary(word))
 
-    def encode(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
-            return self._exact(text)
-        out, words = [], []
+    def _by_words(self, text: str) -> bytes | None:
+        """Of a text whose words have one space or newline between them and no other white space; else None."""
+        if any(w in text for w in ODD_SPACES):
+            return None
+        out = []
         for k, line in enumerate(text.split("\n")):
             parts = line.split(" ")
             if "" in parts:
-                break
-            words += parts
+                return None
             if k:
                 out.append(self.newline)
             out.append(self.first[parts[0]])
             out.extend(map(self.later.__getitem__, parts[1:]))
-        else:
-            if words == text.split():  # else there is white space of another kind
-                return b"".join(out)
+        return b"".join(out)
+
+    def encode(self, text: str) -> bytes:
+        if any(s in text for s in self.special):
+            return self._exact(text)
+        known = self._by_words(text)
+        if known is not None:
+            return known
         longest = max(map(len, text.split()), default=0)
         odd_space = len(text) - sum(map(len, text.split())) > len(text) // 2
         return self._exact(text) if longest > LONG_WORD or odd_space else self._bytes(self.quick.encode_ordinary(text))
