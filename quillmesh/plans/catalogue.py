@@ -412,7 +412,8 @@ def _attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def ledger_run_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A day is a run; each domain's streak of failures stands for its proxy's health."""
-    rows = ledger.failure_streaks(ledger.with_retry_numbers(_attempts(spark, sf_dir)))
+    # streaks first: their ranges are cut by a sample of what lies before them
+    rows = ledger.with_retry_numbers(ledger.failure_streaks(_attempts(spark, sf_dir)))
     return ledger.run_rollup(materialize(rows.withColumnRenamed("health", "proxy_status"), "attempts"))
 
 
