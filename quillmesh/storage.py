@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +29,33 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_root
 
 
+#: Paths given out inside each open ``clearing``.
+_given: list[list[str]] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/quillmesh/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/quillmesh/{name}-{uuid.uuid4().hex}"
+    if _given:
+        _given[-1].append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a written table; its readers must be done."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def clearing(spark: SparkSession) -> Iterator[None]:
+    """Tables that operators write inside are removed at the end. What is to last must have been
+    computed and written by then, to a path from before."""
+    _given.append([])
+    try:
+        yield
+    finally:
+        for path in _given.pop():
+            remove(spark, path)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
