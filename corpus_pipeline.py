@@ -16,7 +16,7 @@ from quillmesh.llm.packing import pack_documents
 from quillmesh.llm.quality import quality
 from quillmesh.llm.sketch_join import near_duplicates
 from quillmesh.session import ship_package
-from quillmesh.storage import materialize, small_side
+from quillmesh.storage import clearing, materialize, new_path, remove, small_side
 
 #: Word shingles and similarity (a percentage) of near duplicates.
 SHINGLE_WORDS, SIMILARITY = 5, 80
@@ -87,8 +87,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the documents of a folder of tables."""
+    """All stages on the documents of a folder of tables. What a stage wrote for itself is removed when
+    its result is written, and that when the next stage's is; the last two results stay."""
     docs = ship_package(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    spent = None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = new_path(spark, name.replace(" ", "-"))
+        with clearing(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if spent is not None:
+            remove(spark, spent)
+        docs, spent = spark.read.schema(docs.schema).parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
