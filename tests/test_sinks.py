@@ -36,13 +36,30 @@ def test_dictionary(spark, tmp_path):
     rows = {r.entry["KPI_Code"]: r for r in sheets.dictionary(spark, str(tmp_path / "ok.xlsx")).collect()}
     assert set(rows) == {"A01", "A02"}
     assert rows["A01"].embedding_text == "UG programme count: Number of undergraduate programmes"
-    assert json.loads(rows["A02"].source_row) == {"KPI_Code": "A02", "Parameter": "P", "Variable_Name": "Other", "Definition": "x"}
+    # all columns, also empty ones
+    assert rows["A02"].source_row.toPython() == {"KPI_Code": "A02", "Domain": None, "Parameter": "P", "Variable_Name": "Other", "Definition": "x"}
     (tmp_path / "other.xlsx").write_bytes(workbook([HEADER, ROW], "Other_Sheet"))
     with pytest.raises(Exception, match="no sheet"):
         sheets.dictionary(spark, str(tmp_path / "other.xlsx")).collect()
     assert sheets.dictionary(spark, str(tmp_path / "other.xlsx"), sheet="Other_Sheet").count() == 1
 
 
+def test_values_of_cells_keep_their_types():
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    kinds = [("A1", "", "<v>5</v>"), ("B1", "", "<v>2.50</v>"), ("C1", ' t="b"', "<v>1</v>"), ("D1", ' t="str"', "<v>5</v>"), ("E1", ' t="inlineStr"', "<is><t> a &quot;b&quot; </t></is>"), ("F1", "", "<v>007</v>"), ("G1", "", "<v>1E-3</v>"), ("AA1", ' t="e"', "<v>#N/A</v>"), ("H1", "", "")]
+    body = "<row>" + "".join(f'<c r="{at}"{kind}>{value}</c>' for at, kind, value in kinds) + "</row>"
+    data = io.BytesIO(workbook([["x"]]))
+    with zipfile.ZipFile(data) as old:
+        parts = {n: old.read(n) for n in old.namelist()}
+    parts["xl/worksheets/sheet2.xml"] = f"<worksheet {ns}><sheetData>{body}</sheetData></worksheet>".encode()
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        for name, content in parts.items():
+            z.writestr(name, content)
+    got = {column: (text, json.loads(value)) for _, column, text, value in sheets.sheet_cells(out.getvalue())}
+    assert got == {0: ("5", 5), 1: ("2.50", 2.5), 2: ("True", True), 3: ("5", "5"), 4: ('a "b"', 'a "b"'), 5: ("007", "007"), 6: ("1E-3", 0.001), 26: ("#N/A", "#N/A")}
+
+
 @pytest.mark.parametrize("rows,error", [([HEADER[:3], ROW[:3]], "missing columns"), ([HEADER], "no rows"), ([HEADER, ROW, ROW], "twice"), ([HEADER, [None] + ROW[1:]], "without a required"), ([HEADER, ROW[:4] + [None]], "without a required"), ([["kpi_code", *HEADER[1:]], ROW], "missing columns")])
 def test_bad_dictionaries(spark, tmp_path, rows, error):
     (tmp_path / "bad.xlsx").write_bytes(workbook(rows))
