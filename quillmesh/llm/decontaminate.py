@@ -37,6 +37,8 @@ LEAST_IDF = 1.5
 COSINE = 0.6
 #: A window whose vector reaches less far along the part's can't hold enough of it to match.
 REACHED = 0.4
+#: A window that reaches the first of the length needs the second of that cosine only.
+COPIED, SHARE = 0.95, 0.6
 #: Weighted share of a passage found in order, alone, or with that share of its answer.
 WHOLE, PART, ANSWER = 0.6, 0.4, 0.6
 #: About so many passages are searched at once.
@@ -94,6 +96,7 @@ class Space(NamedTuple):
     counts: np.ndarray  # whether a feature is in a part's vector, and of none
     parts: np.ndarray  # unit vectors of the parts in the latent space, a column each
     lengths: np.ndarray  # of the parts in the latent space
+    cosines: np.ndarray  # that a window must have with each part
 
 
 @freeing
@@ -153,6 +156,12 @@ def randomised_svd(rows: DataFrame, features: int, rank: int, rounds: int = POWE
     return basis @ vectors[:, order[values[order] > 1e-12 * max(values.max(), 1e-300)]]
 
 
+def least_cosines(words: list[int]) -> np.ndarray:
+    """``COSINE`` for parts as long as a window. Around a shorter one stand other words: of a window it
+    fills by a third, a third of the squared length is its own, so the cosine goes with the root."""
+    return (COSINE * np.sqrt(np.minimum(1.0, np.array(words) / WINDOW))).astype(np.float32)
+
+
 def latent_space(benchmark: DataFrame, texts: DataFrame, total: int, id_col: str, text_col: str, rank: int = RANK) -> Space:
     """The passages and their latent space; ``texts`` (text, rows) give document frequencies."""
     spark = benchmark.sparkSession
@@ -167,7 +176,7 @@ def latent_space(benchmark: DataFrame, texts: DataFrame, total: int, id_col: str
     weights = np.maximum(np.log((total + 1.0) / (counted + 0.5)), 0.05)
     of = lambda ws: weights[[vocabulary[w] for w in ws]]
     passages = [weighed(i, ws, answer, of) for i, ws, answer in passages]
-    owners, rows, counts = [], [], np.zeros(len(vocabulary), bool)
+    owners, rows, sizes, counts = [], [], [], np.zeros(len(vocabulary), bool)
     for owner, passage in enumerate(passages):
         least = LEAST_IDF if (passage.weights >= LEAST_IDF).any() else 0.0
         for ws in parts_of(passage.words):
@@ -175,17 +184,18 @@ def latent_space(benchmark: DataFrame, texts: DataFrame, total: int, id_col: str
             if len(found):
                 found = found.astype(np.int64)
                 owners.append(owner)
+                sizes.append(len(ws))
                 rows.append((found.tolist(), (n * weights[found]).tolist()))
                 counts[found] = True
     if not rows:
-        return Space(passages, np.empty(0, np.int64), vocabulary, np.zeros((len(vocabulary) + 1, 0), np.float32), np.zeros(len(vocabulary) + 1, bool), np.zeros((0, 0), np.float32), np.empty(0, np.float32))
+        return Space(passages, np.empty(0, np.int64), vocabulary, np.zeros((len(vocabulary) + 1, 0), np.float32), np.zeros(len(vocabulary) + 1, bool), np.zeros((0, 0), np.float32), np.empty(0, np.float32), np.empty(0, np.float32))
     space = randomised_svd(spark.createDataFrame(rows, "ids array<int>, values array<double>"), len(vocabulary), rank)
     latent = np.array([np.asarray(v) @ space[i] for i, v in rows])
     lengths = np.maximum(np.linalg.norm(latent, axis=1), 1e-12)
     used = np.where(counts, weights, 0.0)
     vectors = np.vstack([used[:, None] * space, np.zeros(space.shape[1])]).astype(np.float32)
     parts = np.ascontiguousarray((latent / lengths[:, None]).T, np.float32)
-    return Space(passages, np.array(owners), vocabulary, vectors, np.append(counts, False), parts, lengths.astype(np.float32))
+    return Space(passages, np.array(owners), vocabulary, vectors, np.append(counts, False), parts, lengths.astype(np.float32), least_cosines(sizes))
 
 
 def weighted_lcs(a: list[str], b: list[str], weights: np.ndarray) -> float:
@@ -229,10 +239,14 @@ def candidates(texts: list[list[str]], space: Space) -> Iterator[tuple[int, int,
         window = sum(sums[part + k] for k in range(wide))
         reach = window @ space.parts
         norm = np.maximum(np.linalg.norm(window, axis=1, keepdims=True), 1e-12)
-        near = np.argwhere((reach >= COSINE * norm) & (reach >= REACHED * space.lengths))
-        owner = np.searchsorted(base, part[near[:, 0]], "right") - 1
-        first_word = (part[near[:, 0]] - base[owner]) * STRIDE
-        yield from zip(owner.tolist(), first_word.tolist(), near[:, 1].tolist(), (reach / norm)[near[:, 0], near[:, 1]].tolist())
+        rows_near, parts_near = np.nonzero(reach >= REACHED * space.lengths)
+        reached, cosine, least = reach[rows_near, parts_near], reach[rows_near, parts_near] / norm[rows_near, 0], space.cosines[parts_near]
+        # a window that reaches nearly all of a part may hold much else
+        good = (cosine >= least) | ((reached >= COPIED * space.lengths[parts_near]) & (cosine >= SHARE * least))
+        rows_near, parts_near, cosine = rows_near[good], parts_near[good], cosine[good]
+        owner = np.searchsorted(base, part[rows_near], "right") - 1
+        first_word = (part[rows_near] - base[owner]) * STRIDE
+        yield from zip(owner.tolist(), first_word.tolist(), parts_near.tolist(), cosine.tolist())
 
 
 def region_of(passage: Passage, start: int, words: int) -> tuple[int, int]:

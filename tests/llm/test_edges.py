@@ -86,3 +86,18 @@ def test_texts_of_megabytes_in_exact_operators(spark):
     assert scored == {1: 60_001, 2: 60_001, 3: 60_002, 4: 2, 5: 1, 6: 3}
     judged = quality.quality(docs, spark.createDataFrame([(1, 1, 0), (3, 1, 0)], "doc_id long, quality int, toxic int"))
     assert judged.count() == 6
+
+
+def test_short_passages_among_words_of_other_passages(spark):
+    """A short passage word for word, in a window that is full of other passages' words."""
+    import random
+
+    from quillmesh.llm.decontaminate import contaminated
+
+    rng = random.Random(11)
+    vocabulary = [f"v{i}" for i in range(900)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([16, 18, 40])))) for i in range(120)]
+    docs = [(i, " ".join([*rng.choices(vocabulary, k=60), *text.split(), *rng.choices(vocabulary, k=60)]), "en") for i, text in items]
+    clean = [(1000 + i, " ".join(rng.choices(vocabulary, k=140)), "en") for i in range(60)]
+    found = {(r.doc_id, r.item_id) for r in contaminated(spark.createDataFrame(docs + clean, DOCS), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert found == {(i, i) for i, _ in items}
