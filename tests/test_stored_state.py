@@ -1,7 +1,9 @@
 """Stored tables, budgets, packages and raw files: what is there after repeats, failures and writers at once."""
 
 import glob
+import gzip
 import hashlib
+import json
 import os
 import random
 from concurrent.futures import ThreadPoolExecutor
@@ -11,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillmesh.operators import packages, running, stored
+from quillmesh.plans import state
 from quillmesh.sources import links, raw_files
 
 # --- budgets ------------------------------------------------------------------------------------
@@ -194,6 +197,27 @@ def test_a_failed_export_leaves_what_was_there(spark, tmp_path, crawl, monkeypat
         packages.export_run(3, *crawl, str(tmp_path))
 
 
+def test_evidence_of_a_package_takes_little_disk(spark, tmp_path, crawl):
+    runs, events, rows, _ = crawl
+    evidence = spark.range(200_000).select((F.lit(10) + F.col("id") % 2).alias("artifact_id"), (F.col("id") * 7).alias("claim")).repartition(6)
+    m = packages.export_run(1, runs, events, rows, evidence, str(tmp_path)).first()
+    files = sorted((tmp_path / "run-1" / "evidence").glob("part-*"))
+    assert m.summary.evidence_total == 200_000 and spark.read.json(f"{tmp_path}/run-1/evidence").distinct().count() == 200_000
+    assert len(files) == 6 and sum(f.stat().st_size for f in files) < 10 * 200_000
+    for f in files:
+        own = [json.loads(line)["artifact_id"] for line in gzip.decompress(f.read_bytes()).splitlines()]
+        assert own == sorted(own)
+
+
+def test_pairs_of_evidence_are_whole_in_any_number_of_parts(spark, monkeypatch):
+    monkeypatch.setattr(state, "EVIDENCE_A_TASK", 1000)
+    own, claims = (spark.range(n).select(F.col("id").alias(key), (F.col("id") % 3).alias("nation")) for n, key in ((60, "artifact_id"), (3000, "c_custkey")))
+    found = state._evidence(own, claims)
+    assert found.distinct().count() == found.count() == 60_000 and found.where("artifact_id % 3 <> nation OR c_custkey % 3 <> nation").isEmpty()
+    assert found.groupBy(F.spark_partition_id()).count().count() > 3
+    assert state._evidence(own.limit(0), claims).isEmpty()
+
+
 # --- raw files ----------------------------------------------------------------------------------
 
 
