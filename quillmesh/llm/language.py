@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +29,14 @@ PLAIN_LENGTH = 32
 CHARACTERS_TOGETHER = 200_000
 #: Probability of a character that no piece covers.
 UNCOVERED = 1e-9
+#: Words of all languages whose expectations are summed together.
+WORDS_TOGETHER = 20_000
 EM_ROUNDS = 3
 SMOOTHING = 0.05
 #: About so many labelled texts are learned from (a sample by hash of the id).
 TRAINING_TEXTS = 20_000
 CACHED_WORDS = 100_000
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 def parts(text: str) -> list[str]:
@@ -76,6 +79,24 @@ class Lattice:
                     entry[1] = True
         self.hashes = np.array(sorted(prefixes), np.uint64)
         self.piece, self.more = (np.array([prefixes[h][k] for h in self.hashes.tolist()]) for k in (0, 1))
+        # an open table of at most a quarter of its slots: a slot has a place in ``hashes``, or -1
+        bits = max(4, (4 * len(self.hashes)).bit_length())
+        self.shift, self.slots = np.uint64(64 - bits), np.full(1 << bits, -1, np.int32)
+        for place, slot in enumerate((self.hashes * _MIX >> self.shift).tolist()):
+            while self.slots[slot] >= 0:
+                slot = (slot + 1) % len(self.slots)
+            self.slots[slot] = place
+
+    def _places(self, total: np.ndarray) -> np.ndarray:
+        """The place of each hash in ``hashes``, or -1."""
+        slot = (total * _MIX >> self.shift).astype(np.int64)
+        out = self.slots[slot]
+        other = np.flatnonzero((out >= 0) & (self.hashes[out] != total))
+        while len(other):  # the slot has another prefix
+            slot[other] = (slot[other] + 1) % len(self.slots)
+            place = out[other] = self.slots[slot[other]]
+            other = other[(place >= 0) & (self.hashes[place] != total[other])]
+        return out
 
     def pieces(self, codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each size from 1: places (start * words + word, ascending) and the piece of that size there."""
@@ -86,11 +107,13 @@ class Lattice:
             inside = np.searchsorted(at, (length - size + 1) * n)
             at = at[:inside]
             total = total[:inside] * _BASE + flat[at + (size - 1) * n] + np.uint64(1)
-            entry = np.minimum(np.searchsorted(self.hashes, total), len(self.hashes) - 1)
-            known = self.hashes[entry] == total
-            piece = np.where(known, self.piece[entry], self.size)
-            out.append((at[piece < self.size], piece[piece < self.size]))
-            alive = known & self.more[entry]
+            entry = self._places(total)
+            known = np.flatnonzero(entry >= 0)
+            entry = entry[known]
+            piece = self.piece[entry]
+            ends = piece < self.size
+            out.append((at[known[ends]], piece[ends]))
+            alive = known[self.more[entry]]
             at, total = at[alive], total[alive]
             if not len(at):
                 break
@@ -126,12 +149,13 @@ class Lattice:
                 a, b = begins[start], begins[start + 1]
                 if a == b:
                     continue
-                rows = at[a:b] - start * n
-                other = out[start + size if backward else start, rows]
+                # each word has a weight of size 1 everywhere
+                rows = slice(None) if size == 1 else at[a:b] - start * n
+                here, other = out[t], out[start + size if backward else start][rows]
                 if log:
-                    out[t, rows] = np.logaddexp(out[t, rows], other + weight[a:b])
+                    here[rows] = np.logaddexp(here[rows], other + weight[a:b])
                 else:
-                    out[t, rows] += other * weight[a:b]
+                    here[rows] += other * weight[a:b]
         return out
 
     @staticmethod
@@ -192,11 +216,24 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(counts.values(), pa.int64())], ["lang", "word", "c"])
 
 
+def _together(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """The batches, joined until they have ``rows`` rows."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held)
+
+
 @freeing
 def _expectations(batches: Iterator[pa.RecordBatch], path: str, langs: list[str], sent) -> Iterator[pa.RecordBatch]:
     found, probs = lattice(path), sent.value
     sums = np.zeros((len(langs), found.size + 1))
-    for batch in batches:
+    for batch in _together(batches, WORDS_TOGETHER):
         lang = np.array(batch.column(0).to_pylist(), object)
         words, counts = np.array(batch.column(1).to_pylist(), object), batch.column(2).to_numpy().astype(float)
         for i, name in enumerate(langs):
@@ -235,31 +272,43 @@ def train(texts: DataFrame, path: str, rounds: int = EM_ROUNDS, limit: int = TRA
     return langs, probs, np.log(rows["n"].to_numpy() / total)
 
 
-_scored: dict[str, np.ndarray] = {}
+class _Numbered(dict):
+    """Words by number, from 0 in order of their first use."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
+_scored = _Numbered()
 CACHES.append(_scored)
 
 
 @freeing
 def _predict(batches: Iterator[pa.RecordBatch], path: str, langs: list[str], sent) -> Iterator[pa.RecordBatch]:
     found, (probs, prior) = lattice(path), sent.value
-    known = _scored
+    known, known_scores = _scored, np.empty((0, len(langs)))
     known.clear()
     for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
         if len(known) > CACHED_WORDS:
             known.clear()
+            known_scores = known_scores[:0]
         texts = [t.as_py() for t in batch.column(1)]
-        split = [parts(t) if langs and has_letter(t) else None for t in texts]
-        new = list({w for words in split if words for w in words if w not in known})
+        split = [parts(t) if langs and has_letter(t) else [] for t in texts]  # a letter is in a word
+        before, sizes = len(known), np.fromiter(map(len, split), np.int64, len(split))
+        numbers = np.fromiter(map(known.__getitem__, chain.from_iterable(split)), np.int64, sizes.sum())
+        new, more = list(islice(known, before, None)), [known_scores]
         for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            known.update(zip(part, found.log_likelihoods(part, probs)))
-        names, scores = [], []
-        for words in split:
-            if words is None:
+            more.append(found.log_likelihoods(new[at : at + 20_000], probs))
+        known_scores = np.concatenate(more)
+        names, scores, begin = [], [], 0
+        for size in sizes.tolist():
+            if not size:
                 names.append("und")
                 scores.append(0.0)
                 continue
-            total = np.sum([known[w] for w in words], axis=0) + prior
+            total = known_scores[numbers[begin : begin + size]].sum(axis=0) + prior
+            begin += size
             posterior = np.exp(total - total.max())
             best = int(np.argmax(posterior))
             names.append(langs[best])

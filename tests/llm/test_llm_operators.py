@@ -385,6 +385,39 @@ def test_lattice_sums_all_segmentations(monkeypatch, plain):
     assert np.allclose(found.expected(words, counts, probs)[:-1], [want[x] for x in pieces])
 
 
+def test_words_of_small_batches_are_summed_together(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    from quillmesh.llm import language
+
+    found = language.Lattice(["a", "aa", "ab", "b", "▁a"])
+    probs = np.vstack([np.full((5, 2), 0.2), np.zeros(2)])
+    words = [("▁" + f"{i:b}".replace("0", "a").replace("1", "b"), i % 2, 1 + i % 3) for i in range(400)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([f"l{lang}"]), pa.array([word]), pa.array([c])], ["lang", "word", "c"]) for word, lang, c in words]
+    monkeypatch.setattr(language, "lattice", lambda path: found)
+    calls, whole = [], found.expected
+    monkeypatch.setattr(found, "expected", lambda *a: calls.append(1) or whole(*a))
+    sent = type("Sent", (), {"value": probs})
+    got = pa.Table.from_batches(list(language._expectations(iter(batches), "", ["l0", "l1"], sent))).to_pylist()
+    want = np.zeros((2, 6))
+    for word, lang, c in words:
+        want[lang] += whole([word], np.array([float(c)]), probs[:, lang])
+    assert np.allclose([want[r["i"], r["piece"]] for r in got], [r["e"] for r in got]) and len(got) == np.count_nonzero(want[:, :-1])
+    assert len(calls) == 2
+
+
+def test_prefixes_are_found_by_hash():
+    import numpy as np
+    from quillmesh.llm.language import Lattice
+
+    rng = random.Random(2)
+    found = Lattice(["".join(rng.choices("abcdé", k=rng.randint(1, 6))) for _ in range(3000)])
+    some = np.concatenate([found.hashes, found.hashes + np.uint64(1), np.arange(2000, dtype=np.uint64)])
+    place = {h: i for i, h in enumerate(found.hashes.tolist())}
+    assert found._places(some).tolist() == [place.get(h, -1) for h in some.tolist()]
+
+
+
 def test_long_words_are_scored_whole():
     import numpy as np
     from quillmesh.llm.language import Lattice
