@@ -281,3 +281,31 @@ def test_streamed_concurrency(spark, tmp_path):
     run = concurrency_changes(stream).writeStream.format("memory").queryName("changes").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
     run.awaitTermination()
     assert [(r.before, r.after) for r in spark.table("changes").collect()] == [(8, 4), (4, 5)]
+
+
+@pytest.mark.parametrize("few", ["queries", "targets"])
+def test_top_k_meets_no_pairs_of_blocks_where_one_side_is_sent(spark, few):
+    vectors = spark.range(300).select(F.col("id").alias("vec_id"), F.array(*[F.sin(F.col("id") * (i + 1)) for i in range(4)]).alias("embedding"))
+    plan = retrieval.top_k(vectors, vectors, 2, few=few)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and plan.count("MapInPandas") == 1
+
+
+@pytest.mark.parametrize("few", ["queries", "targets"])
+def test_a_search_holds_no_more_for_more_rows(few):
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    sent = SimpleNamespace(value=(np.arange(2000), retrieval._unit(rng.normal(size=(2000, 16)))))
+    held = {}
+    for batches in (4, 40):
+        frames = (pd.DataFrame({"vec_id": np.arange(1000) + 1000 * i, "embedding": list(rng.normal(size=(1000, 16)))}) for i in range(batches))
+        tracemalloc.start()
+        rows = sum(len(pdf) for pdf in retrieval._search_sent(frames, sent, "vec_id", "embedding", 3, few))
+        held[batches] = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows == 3 * (2000 if few == "queries" else 1000 * batches)
+    assert held[40] < 1.2 * held[4] and held[40] < 60e6
