@@ -16,7 +16,7 @@ from quillmesh.llm.packing import pack_documents
 from quillmesh.llm.quality import quality
 from quillmesh.llm.sketch_join import near_duplicates
 from quillmesh.session import ship_package
-from quillmesh.storage import clearing, materialize, new_path, remove, small_side
+from quillmesh.storage import clearing, materialize, new_path, remove, shuffles_removed, small_side, without
 
 #: Word shingles and similarity (a percentage) of near duplicates.
 SHINGLE_WORDS, SIMILARITY = 5, 80
@@ -24,9 +24,9 @@ SHINGLE_WORDS, SIMILARITY = 5, 80
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """``docs`` without the rows whose id and text hash are in ``dropped`` (doc_id, text_hash)."""
-    gone = small_side(materialize(dropped.select(F.col("doc_id").alias("__dropped_id"), F.col("text_hash").alias("__dropped_hash")).distinct(), "dropped"))
-    text_hash = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__dropped_id")) & (text_hash == F.col("__dropped_hash")), "left_anti")
+    gone = materialize(dropped.select(F.col("doc_id").alias("__dropped_id"), F.col("text_hash").alias("__dropped_hash")).distinct(), "dropped")
+    same = F.col("doc_id").eqNullSafe(F.col("__dropped_id")) & (F.unhex(F.md5(F.coalesce("text", F.lit("")))) == F.col("__dropped_hash"))
+    return without(docs, gone, same, F.col("doc_id"), F.col("__dropped_id"))
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +39,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: of equal texts the largest id stays, and of rows with the same id and text one."""
     found = materialize(exact_duplicates(docs).select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), "kept"), "copies")
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.sha2(F.coalesce("text", F.lit("")), 256) == F.col("__sha"))
-    gone = small_side(materialize(found.where("NOT kept").drop("kept").distinct(), "dropped"))
-    left = docs.join(gone, same, "left_anti")
+    gone = materialize(found.where("NOT kept").drop("kept").distinct(), "dropped")
+    left = without(docs, gone, same, F.col("doc_id"), F.col("__id"))
     repeated = materialize(found.where("kept").groupBy("__id", "__sha").count().where("count > 1").drop("count"), "repeated")
     if repeated.isEmpty():
         return left
@@ -57,9 +57,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     twice = found.where("doc_id = component_id").groupBy("doc_id").agg(F.min("lowered_hash").alias("first"), F.max("lowered_hash").alias("last")).where("first <> last")
     twice = found.where("doc_id = component_id").join(twice.select("doc_id", "first"), "doc_id").where("lowered_hash <> first")
     dropped = found.where(several).select("doc_id", "lowered_hash").unionByName(twice.select("doc_id", "lowered_hash")).distinct()
-    gone = small_side(materialize(dropped.select(F.col("doc_id").alias("__dropped_id"), F.col("lowered_hash").alias("__dropped_hash")), "dropped"))
+    gone = materialize(dropped.select(F.col("doc_id").alias("__dropped_id"), F.col("lowered_hash").alias("__dropped_hash")), "dropped")
     lowered = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__dropped_id")) & (F.unhex(F.md5(lowered)) == F.col("__dropped_hash")), "left_anti")
+    same = F.col("doc_id").eqNullSafe(F.col("__dropped_id")) & (F.unhex(F.md5(lowered)) == F.col("__dropped_hash"))
+    return without(docs, gone, same, F.col("doc_id"), F.col("__dropped_id"))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -93,7 +94,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     spent = None
     for name, stage in STAGES[:-1]:
         path = new_path(spark, name.replace(" ", "-"))
-        with clearing(spark):
+        with clearing(spark), shuffles_removed(spark):
             stage(spark, docs, sf_dir).write.parquet(path)
         if spent is not None:
             remove(spark, spent)

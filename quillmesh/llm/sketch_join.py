@@ -8,6 +8,10 @@ smallest id of each block value, tested by a 1024-bit parity sketch (its Hamming
 bound of the symmetric difference) and then exactly. Where a block value still holds several
 components, pairs between components are tested, in blocks of bounded size: in each round the
 nearest few of each component, in the last all of them.
+
+Block values are the bulk of what is moved. They go from the texts to their buckets by one shuffle,
+cut to 32 bits beside the bucket's number (values that agree by chance make candidates, no links),
+and only those that meet are written. Candidates meet as texts, which are smaller than their sets.
 """
 
 from __future__ import annotations
@@ -17,13 +21,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmesh.llm.links import components
 from quillmesh.llm.texts import distinct_texts
 from quillmesh.llm.words import ascii_words, freeing, mix, shingles, sorted_groups, word_hashes
-from quillmesh.storage import materialize, small_side
+from quillmesh.storage import BROADCAST_ROWS, materialize, sifted, small_side
 
 BAND_RATIO = 1.4
 #: A set with too many empty blocks also uses the next of these hash functions.
@@ -37,15 +42,33 @@ BYTES_PER_BUCKET = 4_000_000
 GROUP_BLOCK = 512
 #: Pairs per component and block value that the rounds test; None: all.
 NEAREST = (4, None)
+#: About so many texts are compared with one that is sent to their task.
+TEXTS_A_PART = 1000
 
-EMITTED = "bucket int, keys binary, docs binary, key long, doc long, hub long, n long, sketch array<long>"
-_NAMES = [x.split()[0] for x in EMITTED.split(", ")]
-_KINDS = [pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+#: Packed block values and their ids; where a task holds a value several times, with ``hubs``; or sizes and sketches.
+EMITTED = "bucket int, keys binary, docs binary, hubs binary, doc long, n long, sketch array<long>"
+MET = "key long, doc long, hub long, n long, sketch array<long>"
+_KINDS = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
 
 
-def _batch(**columns) -> pa.RecordBatch:
+def _batch(schema: str, **columns) -> pa.RecordBatch:
     n = len(next(iter(columns.values())))
-    return pa.RecordBatch.from_arrays([pa.array(columns[c], k) if c in columns else pa.nulls(n, k) for c, k in zip(_NAMES, _KINDS)], _NAMES)
+    fields = [x.split() for x in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(columns[c], _KINDS[k]) if c in columns else pa.nulls(n, _KINDS[k]) for c, k in fields], [c for c, _ in fields])
+
+
+def packed(x: np.ndarray) -> bytes:
+    """Numbers as their first bytes, their second bytes, ...: high bytes that repeat then compress well."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _steps(x: np.ndarray) -> np.ndarray:
+    return np.diff(x, prepend=np.int64(0))
 
 
 class Bands:
@@ -115,27 +138,31 @@ def parity_sketch(items: np.ndarray) -> np.ndarray:
 @freeing
 def _emit(batches: Iterator[pa.RecordBatch], k: int, bands: Bands, buckets: int) -> Iterator[pa.RecordBatch]:
     """Sizes and sketches of all sets; block values by bucket, each once from this task with its
-    smallest id; and the task's own members of values that it holds more than once."""
+    smallest id; and the task's own members of values that it holds more than once. The last and the
+    sizes only pass through a bucket, any one."""
     keys, docs, held = [], [], 0
 
     def flush() -> Iterator[pa.RecordBatch]:
         key, doc = np.concatenate(keys), np.concatenate(docs)
+        key = ((key >> np.uint64(40)) % np.uint64(buckets)).view(np.int64) << 32 | (key & np.uint64(0xFFFFFFFF)).view(np.int64)
         order = np.lexsort((doc, key))
         key, doc = key[order], doc[order]
         first = np.concatenate([[True], key[1:] != key[:-1]])
         hub = doc[np.flatnonzero(first)][np.cumsum(first) - 1]
-        more = ~first & (doc != hub)
-        if more.any():
-            yield _batch(key=key[more].view(np.int64), doc=doc[more], hub=hub[more])
+        more = np.flatnonzero(~first & (doc != hub))
+        for part in range(0, len(more), 20_000):
+            own = more[part : part + 20_000]
+            yield _batch(EMITTED, bucket=[int(mix(doc[own[:1]].view(np.uint64))[0]) % buckets], keys=[packed(key[own])], docs=[packed(doc[own])], hubs=[packed(hub[own])])
         key, doc = key[first], doc[first]
-        bucket = (key >> np.uint64(40)) % np.uint64(buckets)
-        order = np.argsort(bucket, kind="stable")
-        key, doc, bucket = key[order], doc[order], bucket[order]
+        order = np.lexsort((doc, key >> 32))
+        key, doc = key[order], doc[order]
+        bucket = key >> 32
         edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
         yield _batch(
+            EMITTED,
             bucket=bucket[edge[:-1]].astype(np.int32),
-            keys=[key[a:b].tobytes() for a, b in zip(edge, edge[1:])],
-            docs=[doc[a:b].tobytes() for a, b in zip(edge, edge[1:])],
+            keys=[packed(key[a:b].astype(np.uint32)) for a, b in zip(edge, edge[1:])],
+            docs=[packed(_steps(doc[a:b])) for a, b in zip(edge, edge[1:])],
         )
 
     for batch in batches:
@@ -154,32 +181,52 @@ def _emit(batches: Iterator[pa.RecordBatch], k: int, bands: Bands, buckets: int)
                     yield from flush()
                     keys, docs, held = [], [], 0
         if ids:
-            yield _batch(doc=ids, n=sizes, sketch=[s.tolist() for s in sketches])
+            spread = (mix(np.array(ids, np.int64).view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+            yield _batch(EMITTED, bucket=spread, doc=ids, n=sizes, sketch=[s.tolist() for s in sketches])
     if held:
         yield from flush()
 
 
 @freeing
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members of the block values that several tasks sent, hung on the smallest id."""
+    """Members of the block values that several tasks sent, hung on the smallest id; and what passes through."""
     for group in sorted_groups(batches, "bucket"):
-        key = np.frombuffer(b"".join(group.column("keys").to_pylist()), np.uint64)
-        doc = np.frombuffer(b"".join(group.column("docs").to_pylist()), np.int64)
+        sizes = group.filter(pc.is_valid(group["n"]))
+        if sizes.num_rows:
+            yield from sizes.append_column("key", pa.nulls(sizes.num_rows, pa.int64())).append_column("hub", pa.nulls(sizes.num_rows, pa.int64())).select(["key", "doc", "hub", "n", "sketch"]).combine_chunks().to_batches()
+        several = pc.is_valid(group["hubs"])
+        for row in group.filter(several).select(["keys", "docs", "hubs"]).to_pylist():
+            yield _batch(MET, key=unpacked(row["keys"], np.int64), doc=unpacked(row["docs"], np.int64), hub=unpacked(row["hubs"], np.int64))
+        sent = group.filter(pc.and_(pc.is_valid(group["keys"]), pc.invert(several)))
+        if not sent.num_rows:
+            continue
+        bucket = np.int64(sent["bucket"][0].as_py())
+        key = np.concatenate([unpacked(x, np.uint32) for x in sent["keys"].to_pylist()])
+        doc = np.concatenate([np.cumsum(unpacked(x, np.int64)) for x in sent["docs"].to_pylist()])
         order = np.lexsort((doc, key))
         key, doc = key[order], doc[order]
         first = np.concatenate([[True], key[1:] != key[:-1]])
         hub = doc[np.flatnonzero(first)][np.cumsum(first) - 1]
         more = doc != hub
-        yield pa.RecordBatch.from_arrays([pa.array(key[more].view(np.int64)), pa.array(doc[more]), pa.array(hub[more])], ["key", "doc", "hub"])
+        yield _batch(MET, key=bucket << 32 | key[more].astype(np.int64), doc=doc[more], hub=hub[more])
 
 
 @freeing
-def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+def _compared(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Links of rows (a, chunk, b, text) in that order: of the texts of one ``a`` and chunk its own
+    comes first, with no ``b``, and the others' are compared with it."""
+    own = np.empty(0, np.uint64)
     for batch in batches:
-        for part in range(0, batch.num_rows, 256):
-            b = batch.slice(part, 256)
-            sets = [shingles(word_hashes(ascii_words(t.as_py())), k).view(np.int64) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], ["doc", "items"])
+        found = []
+        for a, b, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
+            items = shingles(word_hashes(ascii_words(text.as_py())), k)
+            if b is None:
+                own = items
+                continue
+            both = len(np.intersect1d(own, items, assume_unique=True))
+            if both * den >= (len(own) + len(items) - both) * num:
+                found.append((a, b))
+        yield _batch("a long, b long", a=[a for a, _ in found], b=[b for _, b in found])
 
 
 def _near(na: Column, nb: Column, num: int, den: int) -> Column:
@@ -191,22 +238,28 @@ def _hamming(a: Column, b: Column) -> Column:
 
 
 def _close(pairs: DataFrame, meta: DataFrame, num: int, den: int) -> DataFrame:
-    """``a, b, na, nb, apart``: the pairs (a, b) that sizes and sketches don't exclude."""
+    """``a, b, apart``: the pairs (a, b) that sizes and sketches don't exclude."""
     left = meta.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     right = meta.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     sized = pairs.join(left, "a").join(right, "b").where(_near(F.col("na"), F.col("nb"), num, den)).withColumn("apart", _hamming(F.col("sa"), F.col("sb")))
     close = sized.where(F.col("apart") * (den + num) <= (F.col("na") + F.col("nb")) * (den - num))
-    return materialize(close.select("a", "b", "na", "nb", "apart"), "close")
+    return materialize(close.select("a", "b", "apart"), "close")
 
 
 def _linked(close: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The pairs of ``close`` (a, b, na, nb) whose whole sets link."""
-    ends = materialize(close.select(F.col("a").alias("doc")).union(close.select(F.col("b").alias("doc"))).distinct(), "ends")
-    sets = texts.join(small_side(ends), "doc", "left_semi").mapInArrow(lambda x: _sets(x, k), "doc long, items array<long>")
-    sets = materialize(sets.dropDuplicates(["doc"]), "sets")
-    full = close.join(sets.select(F.col("doc").alias("a"), F.col("items").alias("ia")), "a").join(sets.select(F.col("doc").alias("b"), F.col("items").alias("ib")), "b")
-    both = F.size(F.array_intersect("ia", "ib"))
-    return materialize(full.where(both * den >= (F.col("na") + F.col("nb") - both) * num).select("a", "b"), "links")
+    """The pairs of ``close`` (a, b; materialised) whose whole sets link. Each ``a`` is sent to the texts
+    that are compared with it, once for about ``TEXTS_A_PART`` of them."""
+    chunks = close.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / TEXTS_A_PART).cast("int").alias("chunks"))
+    dealt = materialize(close.select("a", "b").join(chunks, "a").select("a", "b", F.pmod(F.xxhash64("b", "a"), "chunks").cast("int").alias("chunk")), "dealt")
+    own = dealt.select(F.col("a").alias("doc"), "a", "chunk", F.lit(None).cast("long").alias("b")).distinct()
+    wanted = materialize(own.unionByName(dealt.select(F.col("b").alias("doc"), "a", "chunk", "b")), "wanted")
+    if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    else:
+        texts, _ = sifted(texts, F.col("doc"), wanted.select("doc").distinct(), F.col("doc"))
+    rows = texts.join(wanted, "doc").select("a", "chunk", "b", "text")
+    rows = rows.repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
+    return materialize(rows.mapInArrow(lambda x: _compared(x, k, num, den), "a long, b long"), "links")
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -256,14 +309,19 @@ def _between(batches: Iterator[pa.RecordBatch], num: int, den: int, nearest: int
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
-def _leftover_pairs(members: DataFrame, labels: DataFrame, meta: DataFrame, num: int, den: int, nearest: int | None) -> DataFrame:
-    """Pairs between components that still share a block value."""
-    known = F.coalesce("component", F.col("doc"))
-    named = members.join(labels, "doc", "left").withColumn("label", known)
-    mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"))
-    # of two members, the larger was tested against the smaller
-    mixed = materialize(mixed.where("lo <> hi AND size > 2").select("key", "size"), "mixed")
-    named = materialize(named.join(small_side(mixed), "key").select("key", "doc", "label", "size"), "named")
+def _leftover_pairs(hung: DataFrame, pairs: DataFrame, labels: DataFrame, meta: DataFrame, num: int, den: int, nearest: int | None) -> DataFrame:
+    """Pairs between components that still share a block value. ``pairs`` are those of ``hung``: a value
+    is in several components where one of them is."""
+    split = small_side(materialize(_apart(pairs, labels), "split"))
+    ends = hung.select("key", F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b"))
+    mixed = small_side(materialize(ends.join(split, ["a", "b"], "left_semi").select("key").distinct(), "mixed"))
+    ends = ends.join(mixed, "key", "left_semi")
+    members = materialize(ends.select("key", F.col("a").alias("doc")).unionByName(ends.select("key", F.col("b").alias("doc"))).distinct(), "members")
+    # of two members, the larger was tested against the smaller; values with the same members are tested once
+    sets = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("doc")).alias("x"), F.bit_xor(F.xxhash64("doc", F.lit(7))).alias("y")).where("size > 2")
+    chosen = materialize(sets.groupBy("size", "x", "y").agg(F.min("key").alias("key")).select("key", "size"), "chosen")
+    named = members.join(small_side(chosen), "key").join(labels, "doc", "left")
+    named = materialize(named.select("key", "doc", F.coalesce("component", "doc").alias("label"), "size"), "named")
     blocks = F.ceil(F.col("size") / GROUP_BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("doc", "key"), blocks).cast("int")
     spread = (
@@ -298,25 +356,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bands = Bands(num, den)
     size = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text_col))), F.lit(0))).first()[0]
     buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // BYTES_PER_BUCKET)
-    emitted = materialize(texts.mapInArrow(lambda x: _emit(x, k, bands, buckets), EMITTED), "sketches")
-    meta = emitted.where("n IS NOT NULL").select("doc", "n", "sketch").dropDuplicates(["doc"])
-    sent = emitted.where("bucket IS NOT NULL").select("bucket", "keys", "docs")
-    met = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_meet, "key long, doc long, hub long")
-    hung = materialize(emitted.where("hub IS NOT NULL").select("key", "doc", "hub").unionByName(met), "hung")
+    emitted = texts.mapInArrow(lambda x: _emit(x, k, bands, buckets), EMITTED)
+    met = materialize(emitted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_meet, MET), "met")
+    meta = met.where("n IS NOT NULL").select("doc", "n", "sketch").dropDuplicates(["doc"])
+    hung = met.where("hub IS NOT NULL").select("key", "doc", "hub")
 
     # whole sets are compared with the nearest hub first, then only between different components
     pairs = materialize(hung.select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct(), "pairs")
     close = _close(pairs, meta, num, den)
-    nearest = close.groupBy("b").agg(F.min(F.struct("apart", "a", "na", "nb")).alias("x")).select("x.a", "b", "x.na", "x.nb")
+    nearest = materialize(close.groupBy("b").agg(F.min(F.struct("apart", "a")).alias("x")).select("x.a", "b"), "nearest")
     labels = components(_linked(nearest, texts, k, num, den))
-    rest = _apart(close.join(nearest.select("a", "b"), ["a", "b"], "left_anti"), labels).select("a", "b", "na", "nb")
-    members = hung.select("key", "doc").unionByName(hung.select("key", F.col("hub").alias("doc"))).distinct()
-    members, tested = materialize(members, "members"), pairs
+    rest = _apart(close.select("a", "b").join(nearest, ["a", "b"], "left_anti"), labels)
+    tested = pairs
     for nearest in NEAREST:
-        more = materialize(_leftover_pairs(members, labels, meta, num, den, nearest).join(tested, ["a", "b"], "left_anti"), "leftover")
+        more = materialize(_leftover_pairs(hung, pairs, labels, meta, num, den, nearest).join(tested, ["a", "b"], "left_anti"), "leftover")
         if rest is None and more.isEmpty():
             continue
-        left = _close(more, meta, num, den).select("a", "b", "na", "nb")
+        left = _close(more, meta, num, den).select("a", "b")
         if rest is not None:
             left, rest = materialize(left.unionByName(rest), "rest"), None
         tested = tested.unionByName(more)

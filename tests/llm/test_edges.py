@@ -101,3 +101,46 @@ def test_short_passages_among_words_of_other_passages(spark):
     clean = [(1000 + i, " ".join(rng.choices(vocabulary, k=140)), "en") for i in range(60)]
     found = {(r.doc_id, r.item_id) for r in contaminated(spark.createDataFrame(docs + clean, DOCS), spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert found == {(i, i) for i, _ in items}
+
+
+def test_block_values_are_not_written_for_texts_of_their_own(spark):
+    """Sketch joins write little beside their input: what no other text shares goes by one shuffle."""
+    import os
+    import random
+
+    from quillmesh import storage
+    from quillmesh.llm.sketch_join import near_duplicates
+
+    rng = random.Random(11)
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(1000)), "en") for i in range(300)] + [(900, "one two three four", "en")]
+    docs = spark.createDataFrame([*rows, (901, rows[0][1] + " end", "en")], DOCS).repartition(4)
+    folder = os.path.join(storage.shared_folder(spark).removeprefix("file://"), "quillmesh")
+    size = lambda: sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(folder) for f in names)
+    before = size()
+    found = near_duplicates(docs, k=5, num=80, den=100)
+    assert size() - before < 0.15 * sum(len(t) for _, t, _ in rows)
+    assert {r.doc_id: r.component_id for r in found.collect()} == {i: i for i, _, _ in rows} | {901: 0}
+
+
+def test_near_copies_meet_without_broadcasts(spark, monkeypatch):
+    """More pairs, dropped rows and texts than are broadcast, and a text that is compared with many others."""
+    import random
+
+    import corpus_pipeline
+    from quillmesh import storage
+    from quillmesh.llm import sketch_join
+
+    rng = random.Random(3)
+    rows = []
+    for i in range(60):
+        words = [f"w{rng.randrange(10**5)}" for _ in range(90)]
+        rows += [(i * 100 + j, " ".join([*words, *(f"n{rng.randrange(10**6)}" for _ in range(j % 4))]), "en") for j in range(1 + i % 7 if i else 50)]
+    docs = spark.createDataFrame([*rows, (None, rows[0][1], "en")], DOCS).repartition(3)
+    want = {tuple(r) for r in sketch_join.near_duplicates(docs, k=5, num=80, den=100).collect()}
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()}
+    monkeypatch.setattr(storage, "BROADCAST_ROWS", 5)
+    monkeypatch.setattr(storage.small_side, "__defaults__", (5,))
+    monkeypatch.setattr(sketch_join, "BROADCAST_ROWS", 5)
+    monkeypatch.setattr(sketch_join, "TEXTS_A_PART", 7)
+    assert {tuple(r) for r in sketch_join.near_duplicates(docs, k=5, num=80, den=100).collect()} == want
+    assert kept == {i * 100 for i in range(60)} == {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()}
