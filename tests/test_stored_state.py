@@ -209,6 +209,27 @@ def test_evidence_of_a_package_takes_little_disk(spark, tmp_path, crawl):
         assert own == sorted(own)
 
 
+def test_evidence_is_neither_shuffled_nor_written_at_length(spark, tmp_path, crawl):
+    """Claims that many artifacts share take less than a byte a line, and no join deals them out anew,
+    whatever its statistics say."""
+    runs, _, _, _ = crawl
+    events = spark.range(400).selectExpr("1L AS run_id", "id AS event_id", "'acquisition' AS event_type", "'succeeded' AS status", "concat('u', id) AS source_url", "cast(null AS string) AS error_message", "id AS artifact_id")
+    rows = spark.range(500).select(F.col("id").alias("artifact_id"), F.lit("text/html").alias("content_type"))
+    evidence = spark.range(500, numPartitions=5).select((F.col("id") * 7 % 500).alias("artifact_id"), F.explode(F.expr("transform(sequence(1, 900), i -> i * 7919 % 100003)")).alias("claim"))
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        m = packages.export_run(1, runs, events, rows, evidence, str(tmp_path), packages.ZSTD).first()
+    finally:
+        spark.conf.set(setting, before)
+    files = sorted((tmp_path / "run-1" / "evidence").glob("part-*"))
+    assert len(files) == 5 and sum(f.stat().st_size for f in files) < 360_000
+    found = spark.read.json(f"{tmp_path}/run-1/evidence")
+    assert m.summary.evidence_total == found.count() == found.distinct().count() == spark.read.text(f"{tmp_path}/run-1/evidence").count() == 360_000
+    assert found.agg(F.max("artifact_id")).first()[0] == 399
+
+
 def test_pairs_of_evidence_are_whole_in_any_number_of_parts(spark, monkeypatch):
     monkeypatch.setattr(state, "EVIDENCE_A_TASK", 1000)
     own, claims = (spark.range(n).select(F.col("id").alias(key), (F.col("id") % 3).alias("nation")) for n, key in ((60, "artifact_id"), (3000, "c_custkey")))
